@@ -114,6 +114,10 @@ class BronzeConfig:
     def state_path(self) -> str:
         return f"{self.root}/_control/state"
 
+    @property
+    def catalog_path(self) -> str:
+        return f"{self.root}/_control/catalog"
+
     @property
     def log_path(self) -> str:
         return f"{self.root}/_control/load_log"

@@ -10,13 +10,10 @@ from pyspark.sql.types import StructField, StructType
 
 from firstpour.functions.naming import bronze_name_column
 from firstpour.functions.stamp import PARTITION_COLUMNS
+from firstpour.functions.text import text_literal
 from firstpour.operators.land import Landed, drop_other_runs
 
 
-def _path(path: str) -> str:
-    return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _ddl(schema: StructType) -> str:
     """Column list for CREATE TABLE; columns are nullable, as a later batch may lack them."""
     return StructType([StructField(f.name, f.dataType, True) for f in schema.fields]).toDDL()
@@ -46,12 +43,12 @@ def publish_full(spark: SparkSession, table: str, landed: Landed) -> None:
         and _same_columns(spark.table(table).schema, landed.schema)
     )
     if unchanged:
-        spark.sql(f"ALTER TABLE {table} SET LOCATION {_path(landed.path)}")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {text_literal(landed.path)}")
         spark.catalog.refreshTable(table)
     else:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
         spark.sql(
-            f"CREATE TABLE {table} ({_ddl(landed.schema)}) USING parquet LOCATION {_path(landed.path)}"
+            f"CREATE TABLE {table} ({_ddl(landed.schema)}) USING parquet LOCATION {text_literal(landed.path)}"
         )
     drop_other_runs(spark, landed.path)
 
@@ -62,7 +59,7 @@ def create_partitioned(spark: SparkSession, table: str, path: str, schema: Struc
     days = ", ".join(f"{c} STRING" for c in PARTITION_COLUMNS)
     spark.sql(
         f"CREATE TABLE {table} ({_ddl(schema)}, {days}) USING parquet "
-        f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) LOCATION {_path(path)}"
+        f"PARTITIONED BY ({', '.join(PARTITION_COLUMNS)}) LOCATION {text_literal(path)}"
     )
 
 

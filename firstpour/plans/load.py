@@ -13,7 +13,7 @@ from firstpour import storage
 from firstpour.config import BronzeConfig, JdbcDatabase, Source, watermark_to_text
 from firstpour.functions.charset import force_encode
 from firstpour.functions.stamp import in_utc, partition_values
-from firstpour.functions.text import quoted
+from firstpour.functions.text import quoted, text_literal
 from firstpour.operators import load_log, state
 from firstpour.operators.land import (
     Landed,
@@ -111,7 +111,12 @@ def current_watermark(spark: SparkSession, config: BronzeConfig, source: Source)
 
 
 def prepare(spark: SparkSession, config: BronzeConfig) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(config.schema)}")
+    """Make sure the bronze database exists; its own folder stays empty, as every table has a
+    location."""
+    spark.sql(
+        f"CREATE DATABASE IF NOT EXISTS {quoted(config.schema)} "
+        f"LOCATION {text_literal(config.catalog_path)}"
+    )
 
 
 def next_watermark(
