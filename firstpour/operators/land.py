@@ -141,6 +141,6 @@ def undo_after(spark, folder: str, committed: datetime) -> int:
     )
     count = 0
     for row in leftovers.toLocalIterator():
-        storage.delete(spark, row["file_path"])
+        storage.delete_file(spark, row["file_path"])
         count += 1
     return count

@@ -143,7 +143,7 @@ def next_watermark(
     else:
         known = [landed.high] if first else [landed.high, start.value]
         values = [F.lit(value).cast(type) for value in known]
-        frame = spark.range(1).select(F.greatest(*values, F.lit(None).cast(type)).alias("high"))
+        frame = spark.sql("VALUES (1)").select(F.greatest(*values, F.lit(None).cast(type)).alias("high"))
     zone = spark.conf.get("spark.sql.session.timeZone")
     high = frame.select(watermark_text(F.col("high"), type, zone)).first()[0]
     return high, type.simpleString()

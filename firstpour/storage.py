@@ -28,6 +28,13 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def delete_file(spark: SparkSession, uri: str) -> None:
+    """Delete a file named as a scan's metadata names it: as an encoded URI."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+    fs = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.delete(target, False)
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names directly under a folder, hidden ones left out; none when it does not exist."""
     fs, target = _open(spark, path)

@@ -1,0 +1,58 @@
+from datetime import date, datetime, timedelta, timezone
+
+import pytest
+
+from firstpour.config import BronzeConfig, Source, Split, source_from_row, watermark_to_text
+from firstpour.functions.naming import catalog_name
+
+ROW = {
+    "SRC_TYPE": "DB",
+    "SRC_NAME": "EBS",
+    "SRC_ORIGIN_NAME": "APPS",
+    "SRC_OBJECT_NAME": "GL PERIODS",
+    "SRC_FLAG_INCR": 1,
+}
+
+
+@pytest.mark.parametrize("flag, incremental", [(1, True), (2, True), (0, False), (None, False), (float("nan"), False)])
+def test_null_flag_is_off(flag, incremental):
+    assert source_from_row({**ROW, "SRC_FLAG_INCR": flag}).incremental is incremental
+
+
+def test_blank_text_is_absent():
+    source = source_from_row({**ROW, "SRC_OBJECT_CONSTRAINT": "  ", "SRC_DATE_CRITERIA": "", "FORCE_ENCODE": None})
+    assert (source.constraint, source.criteria, source.force_encode) == (None, None, None)
+
+
+def test_not_a_time_is_no_watermark():
+    import pandas as pd
+
+    assert watermark_to_text(pd.NaT) is None
+    assert source_from_row({**ROW, "SRC_DATE_LASTUPDATE": pd.NaT}).last_update is None
+
+
+def test_watermark_text():
+    east = datetime(2024, 1, 1, 2, tzinfo=timezone(timedelta(hours=2)))
+    assert watermark_to_text(east) == "2024-01-01 00:00:00+00:00"
+    assert watermark_to_text(datetime(2024, 1, 1)) == "2024-01-01 00:00:00"
+    assert watermark_to_text(date(2024, 1, 1)) == "2024-01-01"
+    assert watermark_to_text(7) == "7"
+
+
+def test_names():
+    config = BronzeConfig("DEV", "/root")
+    source = source_from_row(ROW)
+    assert source.bronze_name == "EBS_APPS_GL_PERIODS"
+    assert config.table(source) == "`bronze_dev`.`ebs_apps_gl_periods`"
+    assert Source("FILE", "EXCEL", "/in/a.xlsx", "My Sheet").bronze_name == "EXCEL_My_Sheet"
+
+
+def test_odd_names_stay_apart():
+    assert len({catalog_name(n) for n in ("V$A", "V#A", "V_A", "V.A")}) == 4
+
+
+def test_split_needs_one_way():
+    with pytest.raises(ValueError):
+        Split(4)
+    with pytest.raises(ValueError):
+        Split(4, column="a", expression="b")

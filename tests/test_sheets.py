@@ -1,0 +1,116 @@
+import os
+
+import pytest
+
+from firstpour.sources import decode_sheets, scan_sheets
+from firstpour.sources.sheets import sheet_columns
+from firstpour.sources.workbook import header_names, sheet_header, table_rows
+from firstpour.testing import Date, Error, Moment, Shared, workbook
+from tests.conftest import rows
+
+DATA = {
+    1: [Shared("name"), "n", "price", "day", "seen", "ok"],
+    2: [Shared("Zoë"), 1, 2.5, Date(45306), Moment(45306.75), True],
+    3: ["a & b", 10, 3.0, None, None, False],
+    5: [None, None, 0.1, Date(45306.5), Moment(0.25), None],
+}
+
+
+def cells(sheets, sheet, skip=0):
+    return list(table_rows(workbook(sheets), sheet, skip))
+
+
+def test_cell_kinds_become_text():
+    found = dict(cells({"Data": DATA}, "Data"))
+    assert found[2] == ["Zoë", "1", "2.5", "2024-01-15", "2024-01-15 18:00:00", "True"]
+    assert found[3] == ["a & b", "10", "3", None, None, "False"][: len(found[3])]
+    assert found[5] == [None, None, "0.1", "2024-01-15 12:00:00", "06:00:00"]
+
+
+def test_blank_rows_between_data_rows_come_out_empty():
+    assert [number for number, _ in cells({"Data": DATA}, "Data")] == [1, 2, 3, 4, 5]
+    assert dict(cells({"Data": DATA}, "Data"))[4] == []
+
+
+def test_trailing_blank_rows_do_not_come_out():
+    assert [n for n, _ in cells({"S": {1: ["a"], 2: [1], 3: [None], 9: [None, None]}}, "S")] == [1, 2]
+
+
+def test_error_values_are_blank():
+    assert dict(cells({"S": {1: ["a", "b"], 2: [Error("#DIV/0!"), 1]}}, "S"))[2] == [None, "1"]
+
+
+def test_large_and_long_numbers():
+    found = dict(cells({"S": {1: ["a", "b", "c"], 2: [12345678901234567, 0.30000000000000004, 1e20]}}, "S"))
+    assert found[2] == ["12345678901234567", "0.30000000000000004", "100000000000000000000"]
+
+
+def test_first_days_of_the_date_system():
+    found = dict(cells({"S": {1: ["a"], 2: [Date(1)], 3: [Date(59)], 4: [Date(61)]}}, "S"))
+    assert [found[i][0] for i in (2, 3, 4)] == ["1900-01-01", "1900-02-28", "1900-03-01"]
+
+
+def test_header_names():
+    assert header_names(["a", None, "a", "A", "b"], 7) == ["a", "Unnamed: 1", "a.1", "A.2", "b", "Unnamed: 5", "Unnamed: 6"]
+
+
+def test_header_is_as_wide_as_the_widest_row():
+    assert sheet_header(workbook({"S": {1: ["a"], 2: [1, 2, 3]}}), "S", 0) == ["a", "Unnamed: 1", "Unnamed: 2"]
+
+
+def test_skipped_title_row():
+    book = {"My Sheet": {1: ["Title"], 2: ["a", "b"], 3: [1, 2]}}
+    assert cells(book, "My Sheet", 1) == [(2, ["a", "b"]), (3, ["1", "2"])]
+
+
+def test_missing_sheet_fails():
+    with pytest.raises(ValueError, match="no sheet"):
+        cells({"S": {1: ["a"]}}, "T")
+
+
+def books(spark, *contents):
+    return spark.createDataFrame(
+        [(f"book{i}", bytearray(c)) for i, c in enumerate(contents)], "path string, content binary"
+    )
+
+
+def test_workbooks_are_matched_by_column_name(spark):
+    one = workbook({"S": {1: ["a", "b"], 2: [1, "x"]}})
+    two = workbook({"S": {1: ["c", "B", "a"], 2: ["z", "y", 2]}})
+    df = books(spark, one, two)
+    assert sheet_columns(df, "S", 0) == ["a", "b", "c"]
+    assert rows(decode_sheets(df, "S")) == [("1", "x", None), ("2", "y", "z")]
+
+
+def test_texts_for_missing_values_are_null(spark):
+    book = workbook({"S": {1: ["a", "b"], 2: ["NA", "x"], 3: ["n/a", "NULL"], 4: ["none", "0"]}})
+    assert rows(decode_sheets(books(spark, book), "S")) == [("none", "0"), (None, "x"), (None, None)]
+
+
+def test_cells_right_of_the_header_are_kept(spark):
+    book = workbook({"S": {1: ["a"], 2: [1, 2], 3: [3]}})
+    df = decode_sheets(books(spark, book), "S")
+    assert df.columns == ["a", "Unnamed: 1"]
+    assert rows(df) == [("1", "2"), ("3", None)]
+
+
+def test_blank_rows_count_only_with_more_than_one_column(spark):
+    narrow = workbook({"S": {1: ["a"], 2: [1], 4: [2]}})
+    wide = workbook({"S": {1: ["a", "b"], 2: [1], 4: [2]}})
+    assert decode_sheets(books(spark, narrow), "S").count() == 2
+    assert decode_sheets(books(spark, wide), "S").count() == 3
+
+
+def test_folder_of_workbooks(spark, tmp_path):
+    for i in range(3):
+        data = {1: ["Title"], 2: ["id", "book"], **{3 + j: [j, f"b{i}"] for j in range(100)}}
+        (tmp_path / f"b{i}.xlsx").write_bytes(workbook({"Other": {1: ["x"]}, "My Sheet": data}))
+    df = scan_sheets(spark, os.fspath(tmp_path), "My Sheet", skip_rows=1)
+    assert df.dtypes == [("id", "string"), ("book", "string")]
+    assert rows(df) == sorted(((str(j), f"b{i}") for i in range(3) for j in range(100)), key=repr)
+    assert scan_sheets(spark, os.fspath(tmp_path / "b1.xlsx"), "My Sheet", 1).count() == 100
+
+
+def test_given_columns_save_the_first_pass(spark):
+    book = workbook({"S": {1: ["a", "b"], 2: [1, 2]}})
+    assert rows(decode_sheets(books(spark, book), "S", columns=["b"])) == [("2",)]
