@@ -6,8 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampType
 
-from firstpour.functions.text import quoted
-from firstpour.operators.predicates import field_type
+from firstpour.operators.predicates import criteria_column, field_type
 
 
 def watermark_text(column: Column, type: DataType, zone: str) -> Column:
@@ -29,7 +28,7 @@ def observed(df: DataFrame, observation: Observation, criteria: str | None = Non
     high = F.lit(None).cast("string")
     if criteria:
         zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
-        high = watermark_text(F.max(quoted(criteria)), field_type(df, criteria), zone)
+        high = watermark_text(F.max(criteria_column(df, criteria)), field_type(df, criteria), zone)
     else:
         high = F.max(high)
     return df.observe(observation, F.count(F.lit(1)).alias("n"), high.alias("high"))
@@ -37,4 +36,4 @@ def observed(df: DataFrame, observation: Observation, criteria: str | None = Non
 
 def high_watermark(bronze: DataFrame, column: str) -> DataFrame:
     """Largest criteria value of a whole bronze table: a one-column scan."""
-    return bronze.agg(F.max(quoted(column)).alias("high"))
+    return bronze.agg(F.max(criteria_column(bronze, column)).alias("high"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
@@ -16,8 +16,19 @@ def condition(text: str | None) -> str:
     return re.sub(r"\A\s*where\b", "", text or "", flags=re.IGNORECASE).strip()
 
 
-def field_type(df: DataFrame, column: str) -> DataType:
-    return df.select(quoted(column)).schema[0].dataType
+def column_name(df: DataFrame, text: str) -> str | None:
+    """The column a text names, in the column's own spelling."""
+    return next((c for c in df.columns if c.lower() == text.strip().lower()), None)
+
+
+def criteria_column(df: DataFrame, text: str) -> Column:
+    """A watermark criterion: a column, or an expression over columns."""
+    name = column_name(df, text)
+    return F.col(quoted(name)) if name else F.expr(text)
+
+
+def field_type(df: DataFrame, text: str) -> DataType:
+    return df.select(criteria_column(df, text)).schema[0].dataType
 
 
 def constrain(df: DataFrame, text: str | None) -> DataFrame:
@@ -30,7 +41,7 @@ def since(df: DataFrame, column: str | None, value: str | None) -> DataFrame:
     with null would keep nothing. Rows whose own value is null or equal are not picked up."""
     if not column or value is None:
         return df
-    return df.where(F.col(quoted(column)) > F.lit(value).cast(field_type(df, column)))
+    return df.where(criteria_column(df, column) > F.lit(value).cast(field_type(df, column)))
 
 
 def select_rows(

@@ -187,12 +187,13 @@ def test_reset_by_hand_reloads_history(spark, config, put):
     assert (result.rows, result.watermark) == (0, "2")
 
 
+@pytest.mark.parametrize("criteria", ["n", "N", "coalesce(n, id)"])
 @pytest.mark.parametrize("exact", [False, True])
-def test_observed_watermark_equals_the_table_maximum(spark, config, put, exact):
+def test_observed_watermark_equals_the_table_maximum(spark, config, put, exact, criteria):
     config = replace(config, exact_watermark=exact)
     for last, day in ((3, DAY_1), (3, DAY_2), (7, DAY_3)):
         put("things", [(i, i) for i in range(1, last + 1)], SCHEMA)
-        result = load(spark, config, THINGS, day)
+        result = load(spark, config, replace(THINGS, criteria=criteria), day)
         high = high_watermark(read_bronze(spark, result.table), "n").first()["high"]
         assert result.watermark == str(high) == str(last)
 

@@ -57,3 +57,10 @@ def test_malformed_watermark_fails(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 1),)], "t timestamp")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         since(df, "t", "soon").collect()
+
+
+def test_criterion_may_be_an_expression_or_differ_in_case(spark):
+    df = spark.createDataFrame([(1, None, "a"), (None, 2, "b"), (3, 4, "c")], "a int, b int, `my id` string")
+    assert rows(since(df, "coalesce(a, b)", "1").select("my id")) == [("b",), ("c",)]
+    assert rows(since(df, "B", "2").select("my id")) == [("c",)]
+    assert rows(since(df, "my id", "b").select("my id")) == [("c",)]
