@@ -46,9 +46,8 @@ from firstpour.plans.load import prepare
 from firstpour.sources import (
     active_sources,
     decode_sheets,
-    file_count,
+    inventory,
     landed_files,
-    last_sequence,
     read_bronze,
     scan_jdbc as read_jdbc,
     scan_parquet,
@@ -201,8 +200,7 @@ def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _config(spark, sf_dir)
     landed = land_snapshot(_table(spark, sf_dir, "lineitem").repartition(8), f"{config.root}/lineitem", DAY_1)
     files = landed_files(spark, f"{config.root}/lineitem")
-    rows = spark.read.parquet(landed.path).agg(F.count(F.lit(1)).alias("n_rows"))
-    return file_count(files).crossJoin(last_sequence(files, "part-")).crossJoin(rows)
+    return inventory(files, "part-").withColumn("n_rows", F.lit(landed.rows).cast("bigint"))
 
 
 # ---------------------------------------------------------------- functions

@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firstpour.operators.records import append_records, read_records
+from firstpour.operators.records import append_records, make_records, read_records
 
 SCHEMA = (
     "START_TIME timestamp, END_TIME timestamp, SRC_NAME string, SRC_ORIGIN_NAME string, "
@@ -43,8 +43,7 @@ class LogRecord:
 
 def log_loads(spark: SparkSession, path: str, records: Sequence[LogRecord]) -> None:
     if records:
-        frame = spark.createDataFrame([r.row() for r in records], SCHEMA)
-        append_records(frame.coalesce(1), path)
+        append_records(make_records(spark, SCHEMA, [r.row() for r in records]), path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

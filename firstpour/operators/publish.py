@@ -20,7 +20,8 @@ def _ddl(schema: StructType) -> str:
 
 
 def is_partitioned(spark: SparkSession, table: str) -> bool:
-    return any(c.isPartition for c in spark.catalog.listColumns(table))
+    described = spark.sql(f"DESCRIBE TABLE {table}").collect()
+    return any(row["col_name"] == "# Partition Information" for row in described)
 
 
 def table_schema(spark: SparkSession, table: str) -> StructType | None:

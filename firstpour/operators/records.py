@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from firstpour import storage
 
@@ -14,6 +17,18 @@ def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
 
+def make_records(spark: SparkSession, schema: str, rows: Sequence[Sequence]) -> DataFrame:
+    """A few rows as literals, which Spark plans as a local relation; many rows as data."""
+    if len(rows) > 100:
+        return spark.createDataFrame(rows, schema).coalesce(1)
+    fields = StructType.fromDDL(schema).fields
+    items = [
+        F.struct([F.lit(value).cast(f.dataType).alias(f.name) for f, value in zip(fields, row)])
+        for row in rows
+    ]
+    return spark.sql("VALUES (1)").select(F.inline(F.array(items)))
+
+
 def append_records(records: DataFrame, path: str) -> str:
     """Write into a folder of its own: appends to one shared folder would share its temporary
     directory, which the first job to finish removes. Returns the folder's name."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from firstpour import storage
 from firstpour.functions.stamp import in_utc
-from firstpour.operators.records import append_records, read_records
+from firstpour.operators.records import append_records, make_records, read_records
 
 KEY = ("src_name", "src_origin_name", "src_object_name")
 SCHEMA = (
@@ -36,8 +36,7 @@ def advance(
     type: str | None,
     updated_at: datetime,
 ) -> None:
-    record = spark.createDataFrame([(*key, value, type, in_utc(updated_at))], SCHEMA)
-    append_records(record.coalesce(1), path)
+    append_records(make_records(spark, SCHEMA, [(*key, value, type, in_utc(updated_at))]), path)
 
 
 def compact_state(spark: SparkSession, path: str) -> None:

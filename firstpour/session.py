@@ -8,6 +8,8 @@ SETTINGS = {
     # Days and stored watermarks are UTC.
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # Timestamps other engines read as such, and with statistics filters can use.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Job-level commit: a failed or retried task leaves nothing in the target folder.
     "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "1",
 }

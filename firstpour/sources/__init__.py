@@ -1,6 +1,6 @@
 """Scans: database tables, lake tables, workbook sheets, the control table, landed files."""
 
-from firstpour.sources.inventory import file_count, landed_files, last_sequence
+from firstpour.sources.inventory import file_count, inventory, landed_files, last_sequence
 from firstpour.sources.jdbc import scan_jdbc
 from firstpour.sources.lake import read_bronze, scan_parquet
 from firstpour.sources.manifest import active_sources
@@ -11,6 +11,7 @@ __all__ = [
     "active_sources",
     "decode_sheets",
     "file_count",
+    "inventory",
     "landed_files",
     "last_sequence",
     "read_bronze",

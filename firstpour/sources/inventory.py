@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,12 +21,21 @@ def landed_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def last_sequence(files: DataFrame, stem: str) -> DataFrame:
-    """Highest number that follows ``stem`` in a file name; 0 when there is none."""
+def _sequence(stem: str) -> Column:
     digits = F.regexp_extract("file_name", rf"\A\Q{stem}\E(\d+)", 1)
     number = F.when(digits != "", digits.cast("bigint"))
-    return files.agg(F.coalesce(F.max(number), F.lit(0).cast("bigint")).alias("last_sequence"))
+    return F.coalesce(F.max(number), F.lit(0).cast("bigint")).alias("last_sequence")
+
+
+def last_sequence(files: DataFrame, stem: str) -> DataFrame:
+    """Highest number that follows ``stem`` in a file name; 0 when there is none."""
+    return files.agg(_sequence(stem))
 
 
 def file_count(files: DataFrame) -> DataFrame:
     return files.agg(F.count(F.lit(1)).alias("n_files"))
+
+
+def inventory(files: DataFrame, stem: str) -> DataFrame:
+    """File count and highest number in one pass."""
+    return files.agg(F.count(F.lit(1)).alias("n_files"), _sequence(stem))
