@@ -198,7 +198,8 @@ def bronze_pruned_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _config(spark, sf_dir)
-    landed = land_snapshot(_table(spark, sf_dir, "lineitem").repartition(8), f"{config.root}/lineitem", DAY_1)
+    lineitem = _table(spark, sf_dir, "lineitem")
+    landed = land_snapshot(lineitem, f"{config.root}/lineitem", DAY_1, options=WriteOptions(files=8))
     files = landed_files(spark, f"{config.root}/lineitem")
     return inventory(files, "part-").withColumn("n_rows", F.lit(landed.rows).cast("bigint"))
 

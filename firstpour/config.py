@@ -90,6 +90,8 @@ class BronzeConfig:
     # Rebalance a batch before the write. Costs one shuffle; worth it when a narrow watermark
     # filter over a very wide scan would leave thousands of tiny files.
     rebalance: bool = False
+    # Land this many files per load, at the cost of a shuffle; one file means one writing task.
+    files: int | None = None
     # Scan the whole bronze table for the watermark after every incremental load.
     exact_watermark: bool = False
     # Undo what an interrupted load left behind before loading again.

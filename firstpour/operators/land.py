@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from firstpour import storage
-from firstpour.functions.stamp import PARTITION_COLUMNS, partition_values, stamp
+from firstpour.functions.stamp import PARTITION_COLUMNS, in_utc, partition_values, stamp
 from firstpour.functions.text import quoted
-from firstpour.operators.metrics import observed
+from firstpour.operators.metrics import batch_metrics, observed
 
 
 @dataclass(frozen=True)
@@ -31,9 +31,12 @@ class WriteOptions:
     compression: str = "snappy"
     max_records_per_file: int | None = None
     rebalance: bool = False
+    files: int | None = None
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        """AQE evens the batch out by size, splitting large partitions, with no key to skew on."""
+        """Even the batch out, by size or to a number of files; with no key, so nothing can skew."""
+        if self.files:
+            return df.repartition(self.files)
         return df.hint("rebalance") if self.rebalance else df
 
     def writer(self, df: DataFrame) -> DataFrameWriter:
@@ -83,13 +86,15 @@ def land_full(
     batch = observed(options.prepare(stamp(df, run_ts)), observation, criteria)
     try:
         options.writer(batch).mode("errorifexists").parquet(path)
-        metrics = observation.get
+        rows, high = batch_metrics(
+            observation, lambda: spark.read.schema(batch.schema).parquet(path), criteria
+        )
     except Exception:
         storage.delete(spark, path)
         raise
-    if metrics["n"] == 0:
+    if rows == 0:
         storage.delete(spark, path)
-    return Landed(path, metrics["n"], metrics["high"], batch.schema)
+    return Landed(path, rows, high, batch.schema)
 
 
 def land_incremental(
@@ -112,8 +117,16 @@ def land_incremental(
     days = {name: F.lit(value) for name, value in partition_values(run_ts).items()}
     path = increments(folder)
     options.writer(batch.withColumns(days)).mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
-    metrics = observation.get
-    return Landed(path, metrics["n"], metrics["high"], batch.schema)
+
+    def landed() -> DataFrame:
+        spark = df.sparkSession
+        day = "/".join([path, *(f"{name}={value}" for name, value in partition_values(run_ts).items())])
+        storage.make_dirs(spark, day)
+        mine = F.col("fetch_date") == F.lit(in_utc(run_ts))
+        return spark.read.schema(batch.schema).parquet(day).where(mine)
+
+    rows, high = batch_metrics(observation, landed, criteria)
+    return Landed(path, rows, high, batch.schema)
 
 
 def drop_other_runs(spark, landed_path: str) -> None:

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from threading import Thread
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, TimestampType
 
 from firstpour.operators.predicates import criteria_column, field_type
 
+# Seconds to wait for observed metrics after their write has finished. They arrive through Spark's
+# listener bus, which drops events when it is overrun.
+OBSERVATION_WAIT = 60.0
+
 
 def watermark_text(column: Column, type: DataType, zone: str) -> Column:
     """A watermark as text that casts back to the same value in any session zone."""
@@ -17,21 +24,39 @@ def watermark_text(column: Column, type: DataType, zone: str) -> Column:
     return column.cast("string")
 
 
+def metric_columns(df: DataFrame, criteria: str | None) -> list[Column]:
+    """``n`` (rows) and ``high`` (largest criteria value, as text)."""
+    if criteria:
+        zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
+        high = watermark_text(F.max(criteria_column(df, criteria)), field_type(df, criteria), zone)
+    else:
+        high = F.max(F.lit(None).cast("string"))
+    return [F.count(F.lit(1)).alias("n"), high.alias("high")]
+
+
 def observed(df: DataFrame, observation: Observation, criteria: str | None = None) -> DataFrame:
-    """Attach ``n`` (rows) and ``high`` (largest criteria value, as text) to whatever consumes the
-    frame.
+    """Attach the metrics to whatever consumes the frame.
 
     Must sit directly below the write, after any shuffle: Spark counts each task of the last stage
     exactly once, while tasks of an earlier stage that is rerun for a lost executor would be
     counted again.
     """
-    high = F.lit(None).cast("string")
-    if criteria:
-        zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
-        high = watermark_text(F.max(criteria_column(df, criteria)), field_type(df, criteria), zone)
-    else:
-        high = F.max(high)
-    return df.observe(observation, F.count(F.lit(1)).alias("n"), high.alias("high"))
+    return df.observe(observation, *metric_columns(df, criteria))
+
+
+def batch_metrics(
+    observation: Observation, landed: Callable[[], DataFrame], criteria: str | None = None
+) -> tuple[int, str | None]:
+    """Metrics of a finished write; read off the landed rows, which only then are listed, if the
+    observed ones got lost."""
+    found: dict = {}
+    waiting = Thread(target=lambda: found.update(observation.get), daemon=True)
+    waiting.start()
+    waiting.join(OBSERVATION_WAIT)
+    if not found:
+        rows = landed()
+        found = rows.agg(*metric_columns(rows, criteria)).first().asDict()
+    return found["n"], found["high"]
 
 
 def high_watermark(bronze: DataFrame, column: str) -> DataFrame:

@@ -216,7 +216,9 @@ def attempt(
         first = not storage.children(spark, increments(folder))
 
         stage = "land"
-        options = WriteOptions(config.compression, config.max_records_per_file, config.rebalance)
+        options = WriteOptions(
+            config.compression, config.max_records_per_file, config.rebalance, config.files
+        )
         criteria = source.criteria if source.incremental else None
         sending = datetime.now(timezone.utc)
         if source.incremental:

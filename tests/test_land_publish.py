@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from firstpour import storage
 from firstpour.functions import partition_values
+from firstpour.operators import metrics
 from firstpour.operators.land import WriteOptions, conform, land_full, land_incremental
 from firstpour.operators.merge import merge_chunks
 from firstpour.operators.publish import is_partitioned, publish, sync_partitions, table_schema
@@ -168,3 +169,17 @@ def test_merge_keeps_duplicates_and_fills_missing(spark):
     a = spark.createDataFrame([(1, "x")], "id int, name string")
     b = spark.createDataFrame([(1,), (2,)], "id int")
     assert rows(merge_chunks([a, b, a])) == [(1, "x"), (1, "x"), (1, None), (2, None)]
+
+
+@pytest.mark.parametrize("land", [land_full, land_incremental])
+@pytest.mark.parametrize("size", [0, 5])
+def test_lost_metrics_are_read_off_the_landed_rows(spark, folder, monkeypatch, land, size):
+    land(spark.range(100, 103), folder, DAY_1, "id")
+    monkeypatch.setattr(metrics, "OBSERVATION_WAIT", 0.0)
+    landed = land(spark.range(size), folder, DAY_1_LATER, "id")
+    assert (landed.rows, landed.high) == (size, str(size - 1) if size else None)
+
+
+def test_number_of_files(spark, folder):
+    landed = land_full(spark.range(0, 1000, 1, 3), folder, DAY_1, "id", WriteOptions(files=5))
+    assert (landed.rows, file_count(landed_files(spark, landed.path)).first()["n_files"]) == (1000, 5)
