@@ -121,7 +121,8 @@ def land_incremental(
     def landed() -> DataFrame:
         spark = df.sparkSession
         day = "/".join([path, *(f"{name}={value}" for name, value in partition_values(run_ts).items())])
-        storage.make_dirs(spark, day)
+        if not storage.exists(spark, day):
+            return spark.createDataFrame([], batch.schema)
         mine = F.col("fetch_date") == F.lit(in_utc(run_ts))
         return spark.read.schema(batch.schema).parquet(day).where(mine)
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from firstpour import storage
 from firstpour.functions.naming import bronze_name_column
 from firstpour.functions.stamp import PARTITION_COLUMNS
 from firstpour.functions.text import text_literal
-from firstpour.operators.land import Landed, drop_other_runs
+from firstpour.operators.land import Landed, drop_other_runs, increments
 
 
 def _ddl(schema: StructType) -> str:
@@ -80,6 +81,42 @@ def sync_partitions(
     spark.catalog.refreshTable(table)
 
 
+def _day_folders(spark: SparkSession, path: str) -> Iterator[str]:
+    """Day partitions holding files, oldest first."""
+    for year in storage.children(spark, path):
+        for month in storage.children(spark, f"{path}/{year}"):
+            for day in storage.children(spark, f"{path}/{year}/{month}"):
+                folder = f"{path}/{year}/{month}/{day}"
+                if any(name.endswith(".parquet") for name in storage.children(spark, folder)):
+                    yield folder
+
+
+def _snapshots(spark: SparkSession, path: str) -> Iterator[str]:
+    """Completely written snapshots, newest day first."""
+    for day in reversed(storage.children(spark, path)):
+        for run in storage.children(spark, f"{path}/{day}"):
+            if storage.exists(spark, f"{path}/{day}/{run}/_SUCCESS"):
+                yield f"{path}/{day}/{run}"
+
+
+def attach(spark: SparkSession, table: str, folder: str, incremental: bool) -> None:
+    """Register a table this catalog does not know although earlier loads landed its files, as
+    after a restart with a catalog that does not outlive its session. Without it an empty batch
+    would look like the first one, and its watermark would be lost."""
+    if spark.catalog.tableExists(table):
+        return
+    path = increments(folder) if incremental else f"{folder}/snapshots"
+    found = next(_day_folders(spark, path) if incremental else _snapshots(spark, path), None)
+    if found is None:
+        return
+    schema = spark.read.parquet(found).schema
+    if incremental:
+        create_partitioned(spark, table, path, schema)
+        sync_partitions(spark, table)
+    else:
+        spark.sql(f"CREATE TABLE {table} ({_ddl(schema)}) USING parquet LOCATION {text_literal(found)}")
+
+
 def publish(
     spark: SparkSession,
     table: str,

@@ -25,7 +25,7 @@ from firstpour.operators.land import (
 )
 from firstpour.operators.metrics import high_watermark, watermark_text
 from firstpour.operators.predicates import field_type, select_rows
-from firstpour.operators.publish import is_partitioned, publish, table_schema
+from firstpour.operators.publish import attach, is_partitioned, publish, table_schema
 from firstpour.sources.jdbc import full_table_name, request_text, scan_jdbc
 from firstpour.sources.lake import scan_parquet
 from firstpour.sources.sheets import LEADING_ROWS, scan_sheets
@@ -204,12 +204,14 @@ def attempt(
             raise ValueError(f"run time {run_ts} is not after the last load at {start.updated_at}")
         if source.type not in READERS:
             raise ValueError(f"unknown source type {source.type!r}")
+        if config.reconcile and source.incremental and start.updated_at is not None:
+            if undo_after(spark, folder, start.updated_at) and spark.catalog.tableExists(table):
+                spark.catalog.refreshTable(table)
+        if source.incremental:
+            attach(spark, table, folder, True)
         known = table_schema(spark, table)
         if source.incremental and known is not None and not is_partitioned(spark, table):
             raise ValueError(f"{table} holds a full snapshot; drop it to load incrementally")
-        if config.reconcile and source.incremental and start.updated_at is not None:
-            if undo_after(spark, folder, start.updated_at) and known is not None:
-                spark.catalog.refreshTable(table)
 
         stage = "extract"
         df = READERS[source.type](spark, config, source, last)
@@ -229,6 +231,7 @@ def attempt(
         send = (datetime.now(timezone.utc) - sending).total_seconds()
         if rows == 0:
             record("WARNING", None, "no rows to land")
+            attach(spark, table, folder, source.incremental)
 
         stage = "publish"
         partition = partition_values(run_ts) if source.incremental else None

@@ -18,7 +18,7 @@ DAY_3 = datetime(2024, 1, 17, 10, tzinfo=timezone.utc)
 
 @pytest.fixture(scope="session")
 def spark():
-    builder = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.master("local[8,3]").config("spark.ui.enabled", "false")
     session = tuned(builder).config("spark.sql.shuffle.partitions", "4").getOrCreate()
     session.sparkContext.setLogLevel("OFF")
     yield session

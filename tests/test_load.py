@@ -268,3 +268,35 @@ def test_naive_run_time_is_utc(spark, config, put):
     put("things", [(1, 1)], SCHEMA)
     result = load(spark, config, THINGS, datetime(2024, 1, 15, 23, 59))
     assert read_bronze(spark, result.table).first()["fetch_day"] == "20240115"
+
+
+def test_incremental_table_survives_a_new_catalog(spark, config, put):
+    put("things", [(1, 1), (2, 2)], SCHEMA)
+    table = load(spark, config, THINGS, DAY_1).table
+    spark.sql(f"DROP TABLE {table}")
+    # An empty batch must not pass for a first one, or the next load would repeat everything.
+    result = load(spark, config, THINGS, DAY_2)
+    assert (result.rows, result.watermark, ids(spark, table)) == (0, "2", [1, 2])
+    spark.sql(f"DROP TABLE {table}")
+    put("things", [(1, 1), (2, 2), (3, 3)], f"{SCHEMA}")
+    result = load(spark, config, THINGS, DAY_3)
+    assert (result.rows, result.decision, ids(spark, table)) == (1, "sync", [1, 2, 3])
+
+
+def test_new_catalog_keeps_the_first_columns(spark, config, put):
+    put("things", [(1, 1)], SCHEMA)
+    table = load(spark, config, THINGS, DAY_1).table
+    spark.sql(f"DROP TABLE {table}")
+    put("things", [(1, 1, "a"), (2, 2, "b")], f"{SCHEMA}, name string")
+    load(spark, config, THINGS, DAY_2)
+    assert ids(spark, table) == [1, 2]
+    assert "name" not in read_bronze(spark, table).columns
+
+
+def test_full_table_survives_a_new_catalog(spark, config, put):
+    put("things", [(1, 1)], SCHEMA)
+    source = replace(THINGS, incremental=False)
+    table = load(spark, config, source, DAY_1).table
+    spark.sql(f"DROP TABLE {table}")
+    load(spark, config, replace(source, constraint="WHERE id > 99"), DAY_2)
+    assert ids(spark, table) == [1]
