@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from firstpour import storage
 from firstpour.config import BronzeConfig, JdbcDatabase, Source, watermark_to_text
 from firstpour.functions.charset import force_encode
+from firstpour.functions.naming import bronze_name_column
 from firstpour.functions.stamp import in_utc, partition_values
 from firstpour.functions.text import quoted, text_literal
 from firstpour.operators import load_log, state
@@ -110,6 +111,20 @@ def current_watermark(spark: SparkSession, config: BronzeConfig, source: Source)
     return stored_watermark(row["value"], row["type"], row["updated_micros"])
 
 
+def last_commit(spark: SparkSession, config: BronzeConfig, source: Source) -> datetime | None:
+    """Time of the last recorded load into the source's table, by this source or by another whose
+    name comes to the same table."""
+    key = [F.col(name) for name in state.KEY]
+    spellings = [F.lower(bronze_name_column(F.lit(type), *key)) for type in READERS]
+    row = (
+        state.read_state(spark, config.state_path)
+        .where(F.lit(source.bronze_name.lower()).isin(*spellings))
+        .agg(F.max(F.unix_micros("updated_at")).alias("micros"))
+        .first()
+    )
+    return None if row["micros"] is None else stored_watermark(None, None, row["micros"]).updated_at
+
+
 def prepare(spark: SparkSession, config: BronzeConfig) -> None:
     """Make sure the bronze database exists; its own folder stays empty, as every table has a
     location."""
@@ -204,8 +219,9 @@ def attempt(
             raise ValueError(f"run time {run_ts} is not after the last load at {start.updated_at}")
         if source.type not in READERS:
             raise ValueError(f"unknown source type {source.type!r}")
-        if config.reconcile and source.incremental and start.updated_at is not None:
-            if undo_after(spark, folder, start.updated_at) and spark.catalog.tableExists(table):
+        if config.reconcile and source.incremental:
+            committed = last_commit(spark, config, source)
+            if committed and undo_after(spark, folder, committed) and spark.catalog.tableExists(table):
                 spark.catalog.refreshTable(table)
         if source.incremental:
             attach(spark, table, folder, True)

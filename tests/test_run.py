@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import datetime, timezone
 
 import pytest
@@ -65,7 +66,10 @@ def test_no_active_source_is_no_work(spark, config, manifest):
     assert run(spark, config, manifest.where("false"), DAY_1) == []
 
 
-def test_sources_sharing_a_table_take_turns(spark, config, put):
+@pytest.mark.parametrize("reconcile", [False, True])
+def test_sources_sharing_a_table_take_turns(spark, config, put, reconcile):
+    """Neither may undo what the other has loaded."""
+    config = replace(config, reconcile=reconcile)
     # A space and an underscore give the same bronze table; so does the same row twice.
     put("a b", [(1, 1)], "id int, n int")
     put("a_b", [(2, 2)], "id int, n int")
@@ -74,6 +78,11 @@ def test_sources_sharing_a_table_take_turns(spark, config, put):
     results = run(spark, config, manifest, DAY_1)
     assert [r.error for r in results] == [None, None]
     assert rows(read_bronze(spark, results[0].table).select("id")) == [(1,), (2,)]
+    put("a b", [(1, 1), (3, 3)], "id int, n int")
+    put("a_b", [(2, 2), (4, 4)], "id int, n int")
+    results = run(spark, config, manifest, DAY_2)
+    assert [r.error for r in results] == [None, None]
+    assert rows(read_bronze(spark, results[0].table).select("id")) == [(1,), (2,), (3,), (4,)]
 
 
 def test_timestamp_watermark_cells(spark, config, root):
