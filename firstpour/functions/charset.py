@@ -21,23 +21,33 @@ CHARSETS = {
 }
 
 
+# Charsets in which plain ASCII text has the same bytes as in UTF-8.
+ASCII_BASED = ("US-ASCII", "ISO-8859-1", "UTF-8")
+
+
 def _repaired(column: Column, charset: str, errors: str) -> Column:
     if errors == "raise":
         return F.decode(F.encode(column, charset), "UTF-8")
     held = CHARSETS[charset]
-    reread = F.try_validate_utf8(F.encode(column, charset).cast("string"))
-    if held is None:
-        return F.coalesce(reread, column)
-    # A value with other characters cannot have come from this charset: leave it as it is.
-    return F.when(column.rlike(rf"\A[{held}]*\z"), F.coalesce(reread, column)).otherwise(column)
+    kept = F.make_valid_utf8(column)
+    reread = F.coalesce(F.try_validate_utf8(F.encode(column, charset).cast("string")), kept)
+    if held is not None:
+        # A value with other characters cannot have come from this charset.
+        reread = F.when(column.rlike(rf"\A[{held}]*\z"), reread).otherwise(kept)
+    if charset not in ASCII_BASED:
+        return reread
+    # Most values are plain ASCII, one byte a character, and need no conversion at all.
+    plain = (F.octet_length(column) == F.char_length(column)) & F.is_valid_utf8(column)
+    return F.when(plain, column).otherwise(reread)
 
 
 def force_encode(df: DataFrame, charset: str | None, errors: str = "keep") -> DataFrame:
     """Convert every text column through ``charset``; other columns pass through.
 
     Text whose bytes were read under the wrong charset is turned back into those bytes and read as
-    UTF-8. With ``errors="keep"`` a value this cannot be done for stays unchanged, so one odd row
-    neither fails a load nor loses data; with ``errors="raise"`` it fails the query.
+    UTF-8. With ``errors="keep"`` a value this cannot be done for stays as it is, so one odd row
+    neither fails a load nor loses data; only bytes that are no UTF-8 at all become replacement
+    characters. With ``errors="raise"`` such a value fails the query.
     """
     if not charset:
         return df

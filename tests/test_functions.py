@@ -21,6 +21,17 @@ def test_misread_text_is_repaired_and_clean_text_kept(spark):
     assert repaired == ["café", "plain", "café", "Ωmega", None, ""]
 
 
+@pytest.mark.parametrize("charset", ["UTF-8", "ISO-8859-1", "US-ASCII"])
+def test_broken_bytes_become_replacement_characters(spark, charset):
+    broken = spark.sql("SELECT CAST(X'8061' AS STRING) AS name UNION ALL SELECT CAST(X'61C3' AS STRING)")
+    assert rows(force_encode(broken, charset)) == [("a\ufffd",), ("\ufffda",)]
+
+
+def test_text_read_under_a_wide_charset_is_repaired(spark):
+    df = spark.createDataFrame([("abcdé!!".encode("utf-8").decode("utf-16-be"),)], "name string")
+    assert rows(force_encode(df, "UTF-16BE")) == [("abcdé!!",)]
+
+
 def test_strict_conversion_fails_on_other_characters(spark):
     df = spark.createDataFrame([("Ω",)], "name string")
     with pytest.raises(Exception, match="MALFORMED"):
