@@ -108,7 +108,7 @@ def land_incremental(
     """Append a batch to the run's day partition, keeping every file already there.
 
     The partition values are constants of the run, so the write needs neither a shuffle nor a
-    sort. A batch without rows writes no file.
+    sort. A batch without rows writes no file. One writer per table at a time.
     """
     observation = Observation()
     # A source column named like a partition column gives way to the partition value.
@@ -116,6 +116,8 @@ def land_incremental(
     batch = observed(options.prepare(plain), observation, criteria)
     days = {name: F.lit(value) for name, value in partition_values(run_ts).items()}
     path = increments(folder)
+    # What a killed driver's job left here would be committed along with this one.
+    storage.delete(df.sparkSession, f"{path}/_temporary")
     options.writer(batch.withColumns(days)).mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
 
     def landed() -> DataFrame:

@@ -7,9 +7,9 @@ from firstpour.functions.naming import catalog_name
 
 ROW = {
     "SRC_TYPE": "DB",
-    "SRC_NAME": "EBS",
-    "SRC_ORIGIN_NAME": "APPS",
-    "SRC_OBJECT_NAME": "GL PERIODS",
+    "SRC_NAME": "ERP",
+    "SRC_ORIGIN_NAME": "SALES",
+    "SRC_OBJECT_NAME": "ORDER LINES",
     "SRC_FLAG_INCR": 1,
 }
 
@@ -42,8 +42,8 @@ def test_watermark_text():
 def test_names():
     config = BronzeConfig("DEV", "/root")
     source = source_from_row(ROW)
-    assert source.bronze_name == "EBS_APPS_GL_PERIODS"
-    assert config.table(source) == "`bronze_dev`.`ebs_apps_gl_periods`"
+    assert source.bronze_name == "ERP_SALES_ORDER_LINES"
+    assert config.table(source) == "`bronze_dev`.`erp_sales_order_lines`"
     assert Source("FILE", "EXCEL", "/in/a.xlsx", "My Sheet").bronze_name == "EXCEL_My_Sheet"
 
 

@@ -80,7 +80,7 @@ def test_stamp_is_one_constant(spark):
 
 
 def test_name_column_agrees_with_name(spark):
-    sources = [("DB", "EBS", "APPS", "GL PERIODS"), ("FILE", "EXCEL", "/in/a b.xlsx", "My Sheet"), ("DB", "A", "B", "C")]
+    sources = [("DB", "ERP", "SALES", "ORDER LINES"), ("FILE", "EXCEL", "/in/a b.xlsx", "My Sheet"), ("DB", "A", "B", "C")]
     df = spark.createDataFrame(sources, "t string, n string, o string, b string")
     made = df.select(bronze_name_column(F.col("t"), F.col("n"), F.col("o"), F.col("b")).alias("name"))
     assert [r["name"] for r in made.collect()] == [bronze_name(*s) for s in sources]

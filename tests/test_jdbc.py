@@ -104,9 +104,9 @@ def test_incremental_load_over_jdbc(spark, url, root, orders):
 
 
 def test_names_and_literals():
-    assert full_table_name("APPS", "GL_PERIODS") == "APPS.GL_PERIODS"
+    assert full_table_name("SALES", "ORDER_LINES") == "SALES.ORDER_LINES"
     assert full_table_name("", "V$SESSION") == "V$SESSION"
-    assert full_table_name("APPS", "GL PERIODS") == 'APPS."GL PERIODS"'
+    assert full_table_name("SALES", "ORDER LINES") == 'SALES."ORDER LINES"'
     assert source_literal("5", LongType()) == "5"
     assert source_literal("2024-01-01 00:00:00.5", TimestampNTZType()) == "{ts '2024-01-01 00:00:00.5'}"
     assert source_literal("2024-01-01", DateType()) == "{d '2024-01-01'}"

@@ -151,12 +151,12 @@ def test_rebalanced_batch_is_whole_and_counted(spark, folder):
 
 def test_inventory_of_numbered_files(spark, root):
     files = spark.createDataFrame(
-        [("EBS_GL0007.parquet",), ("EBS_GL0012.parquet",), ("EBS_GL12345.parquet",), ("EBS_GL_PERIODS0099.parquet",)],
+        [("ERP_AR0007.parquet",), ("ERP_AR0012.parquet",), ("ERP_AR12345.parquet",), ("ERP_AR_LINES0099.parquet",)],
         "file_name string",
     )
-    assert last_sequence(files, "EBS_GL").first()[0] == 12345
-    assert last_sequence(files, "EBS_XX").first()[0] == 0
-    assert last_sequence(files.where("false"), "EBS_GL").first()[0] == 0
+    assert last_sequence(files, "ERP_AR").first()[0] == 12345
+    assert last_sequence(files, "ERP_XX").first()[0] == 0
+    assert last_sequence(files.where("false"), "ERP_AR").first()[0] == 0
 
 
 def test_inventory_reads_bare_day_folders(spark, root):
@@ -183,3 +183,12 @@ def test_lost_metrics_are_read_off_the_landed_rows(spark, folder, monkeypatch, l
 def test_number_of_files(spark, folder):
     landed = land_full(spark.range(0, 1000, 1, 3), folder, DAY_1, "id", WriteOptions(files=5))
     assert (landed.rows, file_count(landed_files(spark, landed.path)).first()["n_files"]) == (1000, 5)
+
+
+def test_leftovers_of_a_killed_write_are_not_committed(spark, folder):
+    """Finished tasks of a job whose driver died lie where the next job's commit would find them."""
+    day = "/".join(f"{k}={v}" for k, v in partition_values(DAY_1).items())
+    stale = f"{folder}/increments/_temporary/0/task_202401150900000000000000000000_0001_m_000000"
+    spark.range(90, 95).coalesce(1).write.parquet(f"{stale}/{day}")
+    landed = land_incremental(spark.range(3), folder, DAY_1)
+    assert (landed.rows, ids(spark.read.parquet(landed.path))) == (3, [0, 1, 2])

@@ -245,10 +245,10 @@ def test_workbook_loads_ignore_filters_unless_asked(spark, config, book):
 
 
 def test_similar_names_do_not_mix(spark, config, put):
-    put("gl", [(1, 1)], SCHEMA)
-    put("gl_periods", [(2, 2)], SCHEMA)
-    one = load(spark, config, replace(THINGS, object="gl"), DAY_1)
-    two = load(spark, config, replace(THINGS, object="gl_periods"), DAY_1)
+    put("orders", [(1, 1)], SCHEMA)
+    put("orders_old", [(2, 2)], SCHEMA)
+    one = load(spark, config, replace(THINGS, object="orders"), DAY_1)
+    two = load(spark, config, replace(THINGS, object="orders_old"), DAY_1)
     assert (ids(spark, one.table), ids(spark, two.table)) == ([1], [2])
 
 

@@ -2,14 +2,14 @@
 
 from datetime import datetime, timedelta
 
-import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from firstpour import BronzeConfig, LakeDatabase, Source, load, storage
 from firstpour.operators.predicates import since
 from firstpour.sources.workbook import _column_index, header_names, table_rows
 from firstpour.testing import Shared, letters, workbook
-from tests.conftest import rows
+from tests.conftest import DAY_1, DAY_2, rows
 
 START = datetime(2024, 1, 1)
 QUIET = dict(deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -27,6 +27,20 @@ def test_any_split_is_whole(spark, offsets, cut):
     assert rows(early.unionAll(late)) == rows(df)
 
 
+@settings(max_examples=4, **QUIET)
+@given(offsets=st.lists(st.integers(0, 9), min_size=1, max_size=20), cut=st.integers(0, 9))
+def test_two_loads_are_whole(spark, offsets, cut):
+    root = storage.scratch(spark, "split")
+    config = BronzeConfig("TEST", root, {"LAKE": LakeDatabase(f"{root}/source")}, root.rpartition("/")[2].replace("-", "_"))
+    data = [(i, START + timedelta(microseconds=o)) for i, o in enumerate(offsets)]
+    df = spark.createDataFrame(data, "id int, ts timestamp_ntz")
+    source = Source("DB", "LAKE", "", "things", None, True, "ts")
+    for arrived, day in ((df.where(df.ts <= START + timedelta(microseconds=cut)), DAY_1), (df, DAY_2)):
+        arrived.write.mode("overwrite").parquet(f"{root}/source")
+        table = load(spark, config, source, day).table
+    assert rows(spark.table(table).select("id", "ts")) == rows(df)
+
+
 @settings(max_examples=100, **QUIET)
 @given(index=st.integers(0, 16383), row=st.integers(1, 1_048_576))
 def test_cell_references(index, row):
