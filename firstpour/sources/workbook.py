@@ -8,6 +8,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from functools import lru_cache
 from xml.etree import ElementTree
 
 # XML namespaces of the workbook format.
@@ -19,20 +20,31 @@ PKG_REL = "{http://schemas.openxmlformats.org/package/2006/relationships}"
 DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)])
 
 
-def _column_index(reference: str) -> int:
+ROW, CELL, VALUE, INLINE, TEXT, RUN = (MAIN + tag for tag in ("row", "c", "v", "is", "t", "r"))
+
+
+@lru_cache(maxsize=None)
+def _letters_index(letters: str) -> int:
     index = 0
-    for letter in reference:
-        if not letter.isalpha():
-            break
-        index = index * 26 + ord(letter.upper()) - ord("A") + 1
+    for letter in letters.upper():
+        index = index * 26 + ord(letter) - ord("A") + 1
     return index - 1
 
 
+def _column_index(reference: str) -> int:
+    """Position of the column in a cell reference such as ``AB12``."""
+    return _letters_index(reference.rstrip("0123456789"))
+
+
 def _rich_text(element: ElementTree.Element) -> str:
     """Text of plain or rich strings; phonetic hints are not part of the value."""
-    plain = [t.text or "" for t in element.findall(f"{MAIN}t")]
-    runs = [t.text or "" for t in element.findall(f"{MAIN}r/{MAIN}t")]
-    return "".join(plain + runs)
+    parts = []
+    for child in element:
+        if child.tag == TEXT:
+            parts.append(child.text or "")
+        elif child.tag == RUN:
+            parts.extend(t.text or "" for t in child.iter(TEXT))
+    return "".join(parts)
 
 
 def _is_date_code(code: str) -> bool:
@@ -98,41 +110,73 @@ class Workbook:
         return {i for i, f in enumerate(formats) if f in DATE_FORMATS or f in custom}
 
     def _cell_text(self, cell: ElementTree.Element) -> str | None:
-        kind = cell.get("t", "n")
-        if kind == "inlineStr":
-            inline = cell.find(f"{MAIN}is")
-            return None if inline is None else _rich_text(inline) or None
-        text = cell.findtext(f"{MAIN}v")
-        if text is None or text == "" or kind == "e":
+        kind, text = cell.get("t", "n"), None
+        for child in cell:
+            if child.tag == VALUE:
+                text = child.text
+            elif child.tag == INLINE and kind == "inlineStr":
+                return _rich_text(child) or None
+        if not text or kind == "e":
             return None
         if kind == "s":
             return self.strings[int(text)] or None
+        if kind == "n":
+            if int(cell.get("s", 0)) in self.date_styles:
+                return _date_text(text, self.base)
+            return _number_text(text)
         if kind == "b":
             return "True" if text.strip() in ("1", "true") else "False"
         if kind == "d":
             moment = datetime.fromisoformat(text)
             return moment.date().isoformat() if moment.time() == datetime.min.time() else moment.isoformat(" ")
-        if kind != "n":
-            return text
-        return _date_text(text, self.base) if int(cell.get("s", 0)) in self.date_styles else _number_text(text)
+        return text
 
-    def rows(self, sheet: str) -> Iterator[tuple[int, list[str | None]]]:
-        """``(row number, cells)`` of the rows present, placed by cell reference."""
+    def _row_elements(self, sheet: str) -> Iterator[tuple[int, ElementTree.Element]]:
+        """Rows one at a time; the content of a row is dropped once it has been used."""
         if sheet not in self.sheets:
             raise ValueError(f"no sheet named {sheet!r}")
         number = 0
         with self.archive.open(self.sheets[sheet]) as part:
             for _, element in ElementTree.iterparse(part):
-                if element.tag != f"{MAIN}row":
+                if element.tag == ROW:
+                    number = int(element.get("r", number + 1))
+                    yield number, element
+                    element.clear()
+
+    def rows(self, sheet: str) -> Iterator[tuple[int, list[str | None]]]:
+        """``(row number, cells)`` of the rows present, without blank cells at the end."""
+        for number, element in self._row_elements(sheet):
+            cells: list[str | None] = []
+            for cell in element:
+                if cell.tag != CELL:
                     continue
-                number = int(element.get("r", number + 1))
-                cells: list[str | None] = []
-                for cell in element.findall(f"{MAIN}c"):
-                    index = _column_index(cell.get("r", "")) if cell.get("r") else len(cells)
-                    cells.extend([None] * (index + 1 - len(cells)))
-                    cells[index] = self._cell_text(cell)
-                element.clear()
-                yield number, cells
+                reference = cell.get("r")
+                if reference:
+                    gap = _column_index(reference) - len(cells)
+                    if gap > 0:
+                        cells.extend([None] * gap)
+                cells.append(self._cell_text(cell))
+            while cells and cells[-1] is None:
+                cells.pop()
+            yield number, cells
+
+    def width(self, sheet: str, skip: int) -> int:
+        """Columns used below the skipped rows. Looks at each row from its end, as far as needed."""
+        width = 0
+        for number, element in self._row_elements(sheet):
+            if number <= skip:
+                continue
+            cells = [cell for cell in element if cell.tag == CELL]
+            for place in range(len(cells) - 1, -1, -1):
+                cell = cells[place]
+                reference = cell.get("r")
+                column = _column_index(reference) if reference else place
+                if column < width:
+                    break
+                if self._cell_text(cell) is not None:
+                    width = column + 1
+                    break
+        return width
 
 
 def header_names(cells: list[str | None], width: int) -> list[str]:
@@ -167,10 +211,5 @@ def table_rows(content: bytes, sheet: str, skip: int) -> Iterator[tuple[int, lis
 
 def sheet_header(content: bytes, sheet: str, skip: int) -> list[str]:
     """Names of all columns, as many as the widest row has."""
-    header: list[str | None] = []
-    width = 0
-    for number, cells in table_rows(content, sheet, skip):
-        if number == skip + 1:
-            header = cells
-        width = max(width, len(cells))
-    return header_names(header, width)
+    number, header = next(table_rows(content, sheet, skip), (0, []))
+    return header_names(header if number == skip + 1 else [], Workbook(content).width(sheet, skip))
