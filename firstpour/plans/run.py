@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from datetime import datetime
 
 from pyspark import inheritable_thread_target
@@ -23,6 +23,10 @@ from firstpour.sources.manifest import active_sources
 
 KEY = {"src_name": "SRC_NAME", "src_origin_name": "SRC_ORIGIN_NAME", "src_object_name": "SRC_OBJECT_NAME"}
 
+# Log records written together: few enough to lose little with the driver, many enough not to leave
+# a file per load.
+LOG_BATCH = 50
+
 
 def plan(spark: SparkSession, config: BronzeConfig, manifest: DataFrame) -> list[tuple[Source, Watermark]]:
     """Active sources in table order with the watermark each starts from. One query for the whole
@@ -61,20 +65,24 @@ def run(
     for i, (source, _) in enumerate(planned):
         turns.setdefault(config.table(source), []).append(i)
     results: dict[int, LoadResult] = {}
+    unlogged: list[load_log.LogRecord] = []
 
-    def take_turns(indexes: list[int]) -> None:
+    def take_turns(indexes: list[int]) -> list[load_log.LogRecord]:
         for i in indexes:
             source, start = planned[i]
             results[i] = attempt(spark, config, source, run_ts, start)
+        return [record for i in indexes for record in results[i].records]
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, config.parallel)) as pool:
             work = inheritable_thread_target(spark)(take_turns)
-            for done in [pool.submit(work, indexes) for indexes in turns.values()]:
-                done.result()
+            for done in as_completed([pool.submit(work, indexes) for indexes in turns.values()]):
+                unlogged += done.result()
+                if len(unlogged) >= LOG_BATCH:
+                    load_log.log_loads(spark, config.log_path, unlogged)
+                    unlogged = []
     finally:
-        records = [r for i in sorted(results) for r in results[i].records]
-        load_log.log_loads(spark, config.log_path, records)
+        load_log.log_loads(spark, config.log_path, unlogged)
     return [results[i] for i in sorted(results)]
 
 

@@ -121,9 +121,12 @@ class Workbook:
         if kind == "s":
             return self.strings[int(text)] or None
         if kind == "n":
-            if int(cell.get("s", 0)) in self.date_styles:
+            if int(cell.get("s", 0)) not in self.date_styles:
+                return _number_text(text)
+            try:
                 return _date_text(text, self.base)
-            return _number_text(text)
+            except OverflowError:
+                return None  # no such date: shown as an error value
         if kind == "b":
             return "True" if text.strip() in ("1", "true") else "False"
         if kind == "d":

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -52,7 +53,7 @@ def scratch(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="firstpour-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
