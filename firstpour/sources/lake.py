@@ -20,8 +20,10 @@ def read_bronze(spark: SparkSession, table: str, merge_schema: bool = False) ->
     """
     if not merge_schema:
         return spark.table(table)
-    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    # The table's details follow its columns, one of which may have the same name.
+    location = described[-1]["data_type"]
     fixed = spark.table(table)
-    wide = spark.read.option("mergeSchema", "true").parquet(detail["data_type"])
+    wide = spark.read.option("mergeSchema", "true").parquet(location)
     # Partition folders read from a path are typed by their looks; the table declares them as text.
     return wide.withColumns({f.name: wide[f.name].cast(f.dataType) for f in fixed.schema.fields})

@@ -103,6 +103,15 @@ def test_incremental_load_over_jdbc(spark, url, root, orders):
     assert rows(kept) == rows(orders)
 
 
+def test_criteria_expression_runs_at_the_source(spark, url):
+    data = [(1, None, 5), (2, 1, 9), (3, 7, None), (4, None, None)]
+    frame = spark.createDataFrame(data, "ID int, A int, B int")
+    frame.write.jdbc(url, "versions", properties={"driver": DRIVER})
+    df = scan_jdbc(spark, database(url), "", "versions", "WHERE ID < 9", "COALESCE(A, B)", "4")
+    assert "COALESCE(A, B) > 4" in plan(df)
+    assert rows(df) == [(1, None, 5), (3, 7, None)]
+
+
 def test_names_and_literals():
     assert full_table_name("SALES", "ORDER_LINES") == "SALES.ORDER_LINES"
     assert full_table_name("", "V$SESSION") == "V$SESSION"

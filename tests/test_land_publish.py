@@ -192,3 +192,9 @@ def test_leftovers_of_a_killed_write_are_not_committed(spark, folder):
     spark.range(90, 95).coalesce(1).write.parquet(f"{stale}/{day}")
     landed = land_incremental(spark.range(3), folder, DAY_1)
     assert (landed.rows, ids(spark.read.parquet(landed.path))) == (3, [0, 1, 2])
+
+
+def test_merged_read_of_a_table_with_a_column_named_like_its_details(spark, folder, table):
+    source = spark.range(1).withColumn("Location", F.lit("here"))
+    publish(spark, table, land_incremental(source, folder, DAY_1), True, partition_values(DAY_1))
+    assert read_bronze(spark, table, merge_schema=True).first()["Location"] == "here"
