@@ -8,7 +8,6 @@ import re
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
-from functools import lru_cache
 from xml.etree import ElementTree
 
 # XML namespaces of the workbook format.
@@ -23,17 +22,20 @@ DATE_FORMATS = frozenset([*range(14, 23), *range(27, 37), *range(45, 48), *range
 ROW, CELL, VALUE, INLINE, TEXT, RUN = (MAIN + tag for tag in ("row", "c", "v", "is", "t", "r"))
 
 
-@lru_cache(maxsize=None)
-def _letters_index(letters: str) -> int:
-    index = 0
-    for letter in letters.upper():
-        index = index * 26 + ord(letter) - ord("A") + 1
-    return index - 1
+# Positions of the column letters met so far. A plain dictionary: this module is shipped to tasks by
+# value, which a cached function would not allow.
+_positions: dict[str, int] = {}
 
 
 def _column_index(reference: str) -> int:
     """Position of the column in a cell reference such as ``AB12``."""
-    return _letters_index(reference.rstrip("0123456789"))
+    letters = reference.rstrip("0123456789")
+    if letters not in _positions:
+        index = 0
+        for letter in letters.upper():
+            index = index * 26 + ord(letter) - ord("A") + 1
+        _positions[letters] = index - 1
+    return _positions[letters]
 
 
 def _rich_text(element: ElementTree.Element) -> str:

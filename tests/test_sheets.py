@@ -1,8 +1,12 @@
 import os
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 
 from firstpour.sources import decode_sheets, scan_sheets
+from firstpour.sources import workbook as decoder
 from firstpour.sources.sheets import sheet_columns
 from firstpour.sources.workbook import header_names, sheet_header, table_rows
 from firstpour.testing import Date, Error, Moment, Shared, workbook
@@ -118,3 +122,15 @@ def test_folder_of_workbooks(spark, tmp_path):
 def test_given_columns_save_the_first_pass(spark):
     book = workbook({"S": {1: ["a", "b"], 2: [1, 2]}})
     assert rows(decode_sheets(books(spark, book), "S", columns=["b"])) == [("2",)]
+
+
+def test_decoder_needs_no_package_on_the_executors(tmp_path):
+    content = workbook({"S": {1: ["a", "b"], 2: [1, 2]}})
+    (tmp_path / "task").write_bytes(cloudpickle.dumps((decoder.sheet_header, decoder.table_rows, content)))
+    code = (
+        "import sys; from pyspark import cloudpickle; header, rows, book = cloudpickle.load(open('task', 'rb'));"
+        "print(header(book, 'S', 0), list(rows(book, 'S', 0)), 'firstpour' in sys.modules)"
+    )
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=environment, capture_output=True, text=True)
+    assert done.stdout.strip().endswith("['a', 'b'] [(1, ['a', 'b']), (2, ['1', '2'])] False"), done.stderr
