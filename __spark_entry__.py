@@ -526,7 +526,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         publish_incremental, sync_partitions, publish_decision, empty_batch, schema_first, schema_merged,
         incremental_two_batches, watermark_state, full_load_with_watermark, run_manifest, load_log,
     ]
-    return {query.__name__: query for query in registered}
+    return {query.__name__: query for query in registered} | _llm()[0]
+
+
+def _llm() -> tuple[dict, dict]:
+    """Queries of the training-data operators and their SQL; none where that package is left out."""
+    try:
+        from firstpour.llm import registry
+    except ModuleNotFoundError as missing:
+        if (missing.name or "").partition(".llm")[0] != "firstpour":
+            raise
+        return {}, {}
+    found, sql = dict(registry.QUERIES), dict(registry.SQL)
+    try:
+        import corpus_pipeline
+    except ModuleNotFoundError as missing:
+        if missing.name != "corpus_pipeline":
+            raise
+    else:
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
 
 
 def oracle_sql() -> dict[str, str]:
@@ -660,4 +681,4 @@ def oracle_sql() -> dict[str, str]:
                 log_row.format("CSV", "pages", "FILE", "ERROR", "CAST(0 AS BIGINT)", "SELECT * FROM MAIN [pages]", "'ValueError'"),
             ]
         ),
-    }
+    } | _llm()[1]

