@@ -5,13 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firstpour.llm import bpe, minhash
+from firstpour.llm import bpe, langid, minhash, pii
+from firstpour.llm.tasks import remainder
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "lang", (remainder("doc_id", 3) == 1).alias("held_out"))
+    ranks = langid.learn(docs.where("not held_out"))
+    return langid.identify(docs.select("doc_id", "held_out", "text"), ranks).drop("text")
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    found = pii.find(docs, pii.learn(docs))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    base = F.filter("spans", lambda s: s.fixed)
+    number = lambda kind: F.size(F.filter(base, lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[number(kind) for kind in ("email", "ip", "card", "phone")],
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir), words=3, percent=85)
 
@@ -27,5 +48,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op9_minhash, op10_bpe)}
+QUERIES = {q.__name__: q for q in (op4_langid, op7_pii, op9_minhash, op10_bpe)}
 SQL: dict[str, str] = {}
