@@ -230,7 +230,7 @@ def _lists(rows: Iterable[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), np.int32)))
 
 
-def encode(docs: DataFrame, bpe: WordBpe, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+def encode(docs: DataFrame, bpe: WordBpe, text: str = "text", ids: str = "ids", decoded: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the token ids of each whole text, and the text decoded from them if asked for."""
     shipped = docs.sparkSession.sparkContext.broadcast(bpe)  # the vocabulary file, of fixed size
 
@@ -243,7 +243,7 @@ def encode(docs: DataFrame, bpe: WordBpe, text: str = "text", ids: str = "ids",
         return made
 
     fields = f"`{ids}` array<int>" + (f", `{decoded}` string" if decoded else "")
-    return map_text(docs, text, fields, work)
+    return map_text(docs, text, fields, work, keep)
 
 
 def decode(tokens: DataFrame, bpe: WordBpe, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

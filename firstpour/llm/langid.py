@@ -106,7 +106,7 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", size: int = S
     return Ranks([tuple(r) for r in profiles(docs, lang, text, size).collect()], size)
 
 
-def identify(docs: DataFrame, ranks: Ranks, text: str = "text", language: str = "lang_pred", score: str = "score") -> DataFrame:
+def identify(docs: DataFrame, ranks: Ranks, text: str = "text", language: str = "lang_pred", score: str = "score", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the nearest language and how near it is, from 0 to 1."""
     shipped = docs.sparkSession.sparkContext.broadcast(ranks)
 
@@ -114,4 +114,4 @@ def identify(docs: DataFrame, ranks: Ranks, text: str = "text", language: str =
         found = [shipped.value.nearest(t) for t in texts]
         return {language: [f[0] for f in found], score: [f[1] for f in found]}
 
-    return map_text(docs, text, f"`{language}` string, `{score}` double", work)
+    return map_text(docs, text, f"`{language}` string, `{score}` double", work, keep)

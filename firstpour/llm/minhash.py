@@ -119,7 +119,7 @@ def sketch(docs: DataFrame, words: int, id: str = "doc_id", text: str = "text")
         return {"id": rows.column(0), "n_shingles": n, "print_1": first, "print_2": second, "signature": signs}
 
     made = "id long, n_shingles long, print_1 long, print_2 long, signature binary"
-    return map_text(docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")), "text", made, work, add=False)
+    return map_text(docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")), "text", made, work, keep=[])
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -252,7 +252,7 @@ def near_duplicates(
     own = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).join(chosen, "id")
     full = map_text(
         own, "text", "rep long, shingles binary",
-        lambda r, texts: {"rep": r.column(0), "shingles": [shingler.hashes(t.encode()).tobytes() for t in texts]}, add=False,
+        lambda r, texts: {"rep": r.column(0), "shingles": [shingler.hashes(t.encode()).tobytes() for t in texts]}, keep=[],
     )
     full = _saved(full, folder, "full")
 

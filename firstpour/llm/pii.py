@@ -291,7 +291,7 @@ def spans(text: str, model: SpanModel, least: float = 0.5) -> list[tuple[str, in
 SPANS = "array<struct<kind:string,start:int,end:int,fixed:boolean,score:double>>"
 
 
-def find(docs: DataFrame, model: SpanModel, text: str = "text", into: str = "spans") -> DataFrame:
+def find(docs: DataFrame, model: SpanModel, text: str = "text", into: str = "spans", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the spans of each whole text."""
     shipped = docs.sparkSession.sparkContext.broadcast(model)
     names = ("kind", "start", "end", "fixed", "score")
@@ -299,7 +299,7 @@ def find(docs: DataFrame, model: SpanModel, text: str = "text", into: str = "spa
     def work(_: pa.RecordBatch, texts: list[str]) -> dict[str, object]:
         return {into: [[dict(zip(names, s, strict=True)) for s in spans(t, shipped.value)] for t in texts]}
 
-    return map_text(docs, text, f"`{into}` {SPANS}", work)
+    return map_text(docs, text, f"`{into}` {SPANS}", work, keep)
 
 
 def redact(docs: DataFrame, model: SpanModel, text: str = "text") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firstpour.llm import bpe, langid, minhash, pii
+from firstpour.llm import bpe, decontaminate, langid, minhash, pii
 from firstpour.llm.tasks import remainder
 
 
@@ -16,12 +16,20 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text", "lang", (remainder("doc_id", 3) == 1).alias("held_out"))
     ranks = langid.learn(docs.where("not held_out"))
-    return langid.identify(docs.select("doc_id", "held_out", "text"), ranks).drop("text")
+    return langid.identify(docs.select("doc_id", "held_out", "text"), ranks, keep=["doc_id", "held_out"])
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.overlaps(_documents(spark, sf_dir).select("doc_id", "text"), benchmark, keep=["doc_id"])
+    return found.select("doc_id", F.explode("overlaps").alias("o")).groupBy("doc_id", "o.item_id").agg(
+        F.max("o.n_equal").cast("long").alias("n_equal"), F.max("o.n_tokens").cast("long").alias("n_tokens")
+    )
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
-    found = pii.find(docs, pii.learn(docs))
+    found = pii.find(docs, pii.learn(docs), keep=["doc_id"])
     listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
     base = F.filter("spans", lambda s: s.fixed)
     number = lambda kind: F.size(F.filter(base, lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
@@ -39,7 +47,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
-    coded = bpe.encode(docs, bpe.public(), decoded="decoded")
+    coded = bpe.encode(docs, bpe.public(), decoded="decoded", keep=["doc_id"])
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -48,5 +56,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op4_langid, op7_pii, op9_minhash, op10_bpe)}
+QUERIES = {q.__name__: q for q in (op4_langid, op5_decontaminate, op7_pii, op9_minhash, op10_bpe)}
 SQL: dict[str, str] = {}

@@ -35,16 +35,16 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_CHARS) -> Iterat
 
 
 def map_text(
-    df: DataFrame, text: str, schema: str, work: Callable[[pa.RecordBatch, list[str]], dict[str, object]], add: bool = True
+    df: DataFrame, text: str, schema: str, work: Callable[[pa.RecordBatch, list[str]], dict[str, object]], keep: list[str] | None = None
 ) -> DataFrame:
     """Rows with what ``work`` makes of their texts (null: empty), run slice by slice inside tasks.
 
     ``work`` gets the rows and their texts and returns a value per row for each field of ``schema``.
-    With ``add`` the columns of ``df`` stay; one of the same name is replaced.
+    The columns ``keep``, by default all of ``df``, stay; one of the same name is replaced.
     """
     made: StructType = _parse_datatype_string(schema)
     names = {f.name.lower() for f in made}
-    kept = [c for c in df.columns if c.lower() not in names] if add else []
+    kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in names]
     target = StructType([df.schema[c] for c in kept] + made.fields)
     arrow = to_arrow_schema(target)
     fields = [f.name for f in made]
