@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firstpour.llm.tasks import map_text
+from firstpour.llm.tasks import map_text, ship
 
 #: Words whose tokens a task remembers; beyond it the memory is emptied, results stay the same.
 REMEMBERED = 500_000
@@ -232,7 +232,7 @@ def _lists(rows: Iterable[bytes]) -> pa.ListArray:
 
 def encode(docs: DataFrame, bpe: WordBpe, text: str = "text", ids: str = "ids", decoded: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the token ids of each whole text, and the text decoded from them if asked for."""
-    shipped = docs.sparkSession.sparkContext.broadcast(bpe)  # the vocabulary file, of fixed size
+    shipped = ship(docs, bpe)  # the vocabulary file, of fixed size
 
     def work(_: pa.RecordBatch, texts: list[str]) -> dict[str, object]:
         model = shipped.value
@@ -248,7 +248,7 @@ def encode(docs: DataFrame, bpe: WordBpe, text: str = "text", ids: str = "ids",
 
 def decode(tokens: DataFrame, bpe: WordBpe, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``tokens`` with the text that each row's ids stand for; null ids give an empty text."""
-    shipped = tokens.sparkSession.sparkContext.broadcast(bpe)
+    shipped = ship(tokens, bpe)
 
     @F.pandas_udf("string")
     def texts(column):

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firstpour.llm.tasks import map_text
+from firstpour.llm.tasks import map_text, ship, unused
 
 WINDOW, EQUAL, SHORTEST = 13, 11, 5
 #: Any two of 13 places leave one of these untouched somewhere; found by trying all pairs.
@@ -169,14 +169,13 @@ def overlaps(
     item_id: str = "item_id", item_text: str = "text", keep: list[str] | None = None,
 ) -> DataFrame:
     """``docs`` with the overlaps of each text: item, where in the text, how long, how many tokens agree."""
-    context = docs.sparkSession.sparkContext
     pieces = _pieces(benchmark, item_id, item_text)
     blocks = max(1, -(-pieces.count() // PIECES))
     kept = docs.columns if keep is None else keep
     found = docs.withColumn(into, F.array().cast(OVERLAPS))
     for block in range(blocks):
         own = pieces.where(F.pmod(F.xxhash64("item_id", "first", "words"), F.lit(blocks)) == block).collect()
-        shipped = context.broadcast(Seeds([(r[0], r[1], list(r[2]), r[3]) for r in own]))
+        shipped = ship(docs, Seeds([(r[0], r[1], list(r[2]), r[3]) for r in own]))
 
         def work(rows: pa.RecordBatch, texts: list[str], shipped=shipped) -> dict[str, object]:
             before = rows.column(rows.schema.get_field_index(into)).to_pylist()
@@ -189,7 +188,5 @@ def overlaps(
 
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no passage of the benchmark."""
-    into = "overlaps"
-    while into in docs.columns:
-        into += "_"
+    into = unused(docs, "overlaps")
     return overlaps(docs, benchmark, text, into).where(F.size(into) == 0).select(*docs.columns)

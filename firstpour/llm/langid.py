@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firstpour.llm.tasks import map_text, slices
+from firstpour.llm.tasks import map_text, ship, slices, unused
 
 #: N-grams in a profile.
 SIZE = 300
@@ -108,10 +108,18 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", size: int = S
 
 def identify(docs: DataFrame, ranks: Ranks, text: str = "text", language: str = "lang_pred", score: str = "score", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the nearest language and how near it is, from 0 to 1."""
-    shipped = docs.sparkSession.sparkContext.broadcast(ranks)
+    shipped = ship(docs, ranks)
 
     def work(_: pa.RecordBatch, texts: list[str]) -> dict[str, object]:
         found = [shipped.value.nearest(t) for t in texts]
         return {language: [f[0] for f in found], score: [f[1] for f in found]}
 
     return map_text(docs, text, f"`{language}` string, `{score}` double", work, keep)
+
+
+def identified(docs: DataFrame, ranks: Ranks, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a language; all of them when no language was learned."""
+    if not ranks.langs:
+        return docs
+    language, score = unused(docs, "lang_pred"), unused(docs, "score")
+    return identify(docs, ranks, text, language, score).where(F.col(language) != "und").select(*docs.columns)

@@ -284,3 +284,22 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def deduplicate(
+    docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text", folder: str | None = None
+) -> DataFrame:
+    """One row of ``docs`` for each group of near duplicates: that with the smallest id.
+
+    Of rows with one id, one stays if their text is that of a group's smallest id; rows without an id
+    all stay.
+    """
+    folder = folder or storage.scratch(docs.sparkSession, "dedup")
+    found = near_duplicates(docs.select(id, text), words, percent, id, text, folder).where(F.col(id).isNotNull())
+    by = _saved(found.groupBy(F.col(id).alias("id")).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), folder, "kept")
+    once, many = by.where("not kept or n > 1").select("id"), by.where("kept and n > 1").select("id")
+    once, many = once.withColumnRenamed("id", id), many.withColumnRenamed("id", id)
+    out = docs.join(once, docs[id] == once[id], "left_anti")
+    if not many.isEmpty():
+        out = out.union(docs.join(many, docs[id] == many[id], "left_semi").dropDuplicates([id]))
+    return out

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firstpour.llm.tasks import map_text
+from firstpour.llm.tasks import map_text, ship
 
 KINDS = ("email", "ip", "card", "phone", "ssn", "iban")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -293,7 +293,7 @@ SPANS = "array<struct<kind:string,start:int,end:int,fixed:boolean,score:double>>
 
 def find(docs: DataFrame, model: SpanModel, text: str = "text", into: str = "spans", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with the spans of each whole text."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    shipped = ship(docs, model)
     names = ("kind", "start", "end", "fixed", "score")
 
     def work(_: pa.RecordBatch, texts: list[str]) -> dict[str, object]:
@@ -304,7 +304,7 @@ def find(docs: DataFrame, model: SpanModel, text: str = "text", into: str = "spa
 
 def redact(docs: DataFrame, model: SpanModel, text: str = "text") -> DataFrame:
     """``docs`` with each span of a text replaced by its kind, as in ``<EMAIL>``; null texts stay null."""
-    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    shipped = ship(docs, model)
 
     def work(rows: pa.RecordBatch, texts: list[str]) -> dict[str, object]:
         null = rows.column(rows.schema.get_field_index(text)).is_null().to_pylist()

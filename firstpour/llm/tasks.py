@@ -2,15 +2,32 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+class _ByValue:
+    """Pickles as what it holds, code included."""
+
+    def __init__(self, held: object):
+        self.held = held
+
+    def __reduce__(self):
+        return pickle.loads, (cloudpickle.dumps(self.held),)
+
+
+def ship(df: DataFrame, model: object) -> Broadcast:
+    """A model of bounded size for all tasks; a worker unpacks it once and keeps it across its tasks."""
+    return df.sparkSession.sparkContext.broadcast(_ByValue(model))
+
+
 #: Characters of text that a task works on at a time, whatever the size of Arrow's batches.
 SLICE_CHARS = 8_000_000
 
@@ -63,3 +80,11 @@ def map_text(
                 )
 
     return df.mapInArrow(run, target)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores after it, so that no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
