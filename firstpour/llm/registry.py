@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firstpour.llm import bpe, decontaminate, langid, minhash, pii
+from firstpour.llm import bpe, decontaminate, langid, minhash, pii, quality
 from firstpour.llm.tasks import remainder
 
 
@@ -13,6 +13,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    rules = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.judged(docs, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text", "lang", (remainder("doc_id", 3) == 1).alias("held_out"))
     ranks = langid.learn(docs.where("not held_out"))
@@ -56,5 +64,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op4_langid, op5_decontaminate, op7_pii, op9_minhash, op10_bpe)}
+QUERIES = {q.__name__: q for q in (op3_quality, op4_langid, op5_decontaminate, op7_pii, op9_minhash, op10_bpe)}
 SQL: dict[str, str] = {}
