@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firstpour.llm import bpe, decontaminate, langid, minhash, pii, quality
+from firstpour.llm import bpe, decontaminate, langid, minhash, pii, quality, unigram
 from firstpour.llm.tasks import remainder
 
 
@@ -35,6 +35,11 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return unigram.token_counts(docs, unigram.public(), keep=["doc_id"])
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     found = pii.find(docs, pii.learn(docs), keep=["doc_id"])
@@ -64,5 +69,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op3_quality, op4_langid, op5_decontaminate, op7_pii, op9_minhash, op10_bpe)}
+QUERIES = {q.__name__: q for q in (op3_quality, op4_langid, op5_decontaminate, op6_tokens, op7_pii, op9_minhash, op10_bpe)}
 SQL: dict[str, str] = {}
