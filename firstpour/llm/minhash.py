@@ -8,9 +8,9 @@ a band of the signature share a bucket; whether two are linked is confirmed on t
 Buckets may be large, and not all pairs of one are made. Two rounds compare every set with one other
 of its bucket, chosen anew each time, and join what is linked into components by alternating
 large-star and small-star. Only where a bucket still holds several components are the sets outside
-its largest one compared with the other components, in blocks, by signature inside tasks; pairs that
-pass are confirmed as well. So a link is missed only if no band has it (below 1e-8 for a pair right
-at the limit, less above it) or its signature is five standard deviations off.
+its largest one compared with the others, in blocks inside tasks, on the full sets. So a link is
+missed only if no band has it (below 1e-8 for a pair right at the limit, less above it). Signatures
+only spare the star rounds full sets that are far apart, five standard deviations off.
 
 Nothing per document is collected to the driver. What later jobs need more than once is written to
 the shared folder.
@@ -38,7 +38,7 @@ from firstpour.llm.tasks import map_text
 #: Hash minima in a signature.
 MINIMA = 240
 #: Rows of a bucket that a task compares at a time.
-BLOCK = 1024
+BLOCK = 512
 #: Words whose hashes a task remembers.
 REMEMBERED = 500_000
 
@@ -87,7 +87,7 @@ class Shingler:
         for part in np.array_split(low, -(-len(low) // 4096)):
             found = (self.slopes * part + self.shifts).min(axis=1)
             minima = found if minima is None else np.minimum(minima, found)
-        return minima.tobytes()
+        return minima.astype(np.uint16).tobytes()  # the low halves tell minima apart
 
 
 def _prints(hashes: np.ndarray) -> tuple[int, int]:
@@ -145,7 +145,7 @@ def _alike(pairs: DataFrame, signs: DataFrame, least: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for i in (2, 3))
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(batch.num_rows, -1) for i in (2, 3))
             keep = pa.array((x == y).sum(axis=1) >= least)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(keep)
 
@@ -185,40 +185,54 @@ def components(edges: DataFrame, folder: str, name: str = "components") -> DataF
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
 
 
-def _stragglers(members: DataFrame, signs: DataFrame, least: int) -> DataFrame:
-    """Pairs of alike signatures in different components of a bucket, but for those within its largest.
+def _stragglers(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different components of a bucket, but for those star rounds have found.
 
-    ``members``: key, rep, component. The sets outside the largest component meet all sets of the
-    bucket, both in blocks.
+    ``rest``: key, rep, component of buckets with several components. What lies outside a bucket's
+    largest component, its main one, is compared with all that shares a bucket with that component.
+    A set comes once per main component, however many buckets it shares with it, and the comparison
+    runs in blocks, on full sets by way of an index from shingles to sets.
     """
-    per = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    of = per.groupBy("key").agg(F.sum("n").alias("n_all"), F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("parts"))
-    of = of.where("parts > 1").select(
-        "key",
-        F.col("most.component").alias("main"),
-        F.ceil(F.col("n_all") / BLOCK).alias("blocks_all"),
-        F.ceil((F.col("n_all") - F.col("most.n")) / BLOCK).alias("blocks_few"),
-    )
-    rows = members.join(of, "key").join(signs.toDF("rep", "signature"), "rep")
-    spread = lambda own, other: (F.pmod(F.xxhash64("rep"), own), F.explode(F.sequence(F.lit(0).cast("long"), other - 1)))
-    own, copies = spread(F.col("blocks_all"), F.col("blocks_few"))
-    every = rows.select("key", "rep", "component", "signature", own.alias("i"), copies.alias("j"), F.lit(False).alias("few"))
-    own, copies = spread(F.col("blocks_few"), F.col("blocks_all"))
-    few = rows.where("component <> main").select("key", "rep", "component", "signature", copies.alias("i"), own.alias("j"), F.lit(True).alias("few"))
+    per = rest.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = per.groupBy("key").agg(F.max(F.struct("n", F.negative("component").alias("x"))).alias("most"))
+    of = main.select("key", F.negative("most.x").alias("main"))
+    near = rest.join(of, "key").select("main", "rep", "component").distinct()
+    sizes = near.groupBy("main").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("component") != F.col("main")).alias("few"))
+    sizes = sizes.select("main", F.ceil(F.col("n") / BLOCK).alias("blocks_all"), F.ceil(F.col("few") / BLOCK).alias("blocks_few"))
+    rows = near.join(sizes, "main").join(sets.toDF("rep", "shingles"), "rep")
+
+    def dealt(kind: DataFrame, own: str, other: str, few: bool) -> DataFrame:
+        block, copies = F.pmod(F.xxhash64("rep"), F.col(own)), F.explode(F.sequence(F.lit(0).cast("long"), F.col(other) - 1))
+        names = ("j", "i") if few else ("i", "j")
+        return kind.select("main", "rep", "component", "shingles", F.lit(few).alias("few"), block.alias(names[0]), copies.alias(names[1])).select(
+            "main", "i", "j", "rep", "component", "shingles", "few"
+        )
 
     def compare(block: pd.DataFrame) -> pd.DataFrame:
         few, every = block[block.few], block[~block.few]
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+        a: list[int] = []
+        b: list[int] = []
         if len(few) and len(every):
-            signs = np.frombuffer(b"".join(every.signature), np.uint32).reshape(len(every), -1)
+            sets = [np.frombuffer(x, np.uint64) for x in every.shingles]
+            sizes = np.array([len(x) for x in sets])
+            flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
             ids, groups = every.rep.to_numpy(), every.component.to_numpy()
-            for rep, group, sign in zip(few.rep, few.component, few.signature, strict=True):
-                hit = ids[((signs == np.frombuffer(sign, np.uint32)).sum(axis=1) >= least) & (groups != group)]
-                found.append((np.minimum(hit, rep), np.maximum(hit, rep)))
-        a, b = (np.concatenate([x[i] for x in found]) if found else np.empty(0, np.int64) for i in (0, 1))
-        return pd.DataFrame({"a": a, "b": b})
-
-    return every.union(few).groupBy("key", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+            for rep, group, own in zip(few.rep, few.component, few.shingles, strict=True):
+                own = np.frombuffer(own, np.uint64)
+                low, high = np.searchsorted(flat, own, "left"), np.searchsorted(flat, own, "right")
+                places = np.repeat(high - np.cumsum(high - low), high - low) + np.arange((high - low).sum())
+                common = np.bincount(owner[places], minlength=len(sets))
+                hit = (100 * common >= percent * (sizes + len(own) - common)) & (groups != group)
+                # one link to each other component is enough to join it
+                _, first = np.unique(groups[hit], return_index=True)
+                a += [rep] * len(first)
+                b += ids[hit][first].tolist()
+        return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+    every, few = dealt(rows, "blocks_all", "blocks_few", False), dealt(rows.where("component <> main"), "blocks_few", "blocks_all", True)
+    return every.union(few).groupBy("main", "i", "j").applyInPandas(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -241,7 +255,7 @@ def near_duplicates(
     sets = _saved(sets.agg(F.min("id").alias("rep"), F.first("signature").alias("signature")), folder, "sets")
     signs = sets.select("rep", "signature")
 
-    key = lambda j: F.xxhash64(j, F.substring("signature", j * (4 * rows) + 1, F.lit(4 * rows)))
+    key = lambda j: F.xxhash64(j, F.substring("signature", j * (2 * rows) + 1, F.lit(2 * rows)))
     buckets = sets.select("rep", F.explode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), key)).alias("key"))
     shared = buckets.groupBy("key").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     members = _saved(buckets.join(shared, "key"), folder, "members")  # key, rep, leader
@@ -270,10 +284,10 @@ def near_duplicates(
         if turn == 2:
             drawn = rest.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "rep"), "rep", "component")).alias("by"))
             drawn = drawn.select("key", F.col("by.rep").alias("leader"), F.col("by.component").alias("theirs"))
-            pairs = rest.join(drawn, "key").where("component <> theirs").select(*ordered)
+            more = linked(rest.join(drawn, "key").where("component <> theirs").select(*ordered), "links-2")
         else:
-            pairs = _stragglers(rest, signs, least)
-        edges = edges.union(linked(pairs, f"links-{turn}"))
+            more = _saved(_stragglers(rest, full, percent), folder, "links-3")
+        edges = edges.union(more)
     found = components(edges, folder, "components-4").toDF("rep", "component")
 
     each = sketches.drop("signature").join(sets.drop("signature"), ["print_1", "print_2"], "left").join(found, "rep", "left")
