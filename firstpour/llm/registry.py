@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firstpour.llm import bpe, decontaminate, langid, minhash, pii, ppm, quality, unigram
+from firstpour.llm import bpe, decontaminate, extract, langid, minhash, pii, ppm, quality, unigram
 from firstpour.llm.tasks import remainder
 
 
@@ -18,6 +18,12 @@ def op1_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op2_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    found = extract.extract(pages, extract.learn(pages), keep=["page_id", "url"])
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     rules = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -74,5 +80,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_ppm, op3_quality, op4_langid, op5_decontaminate, op6_tokens, op7_pii, op9_minhash, op10_bpe)}
+QUERIES = {q.__name__: q for q in (op1_ppm, op2_extract, op3_quality, op4_langid, op5_decontaminate, op6_tokens, op7_pii, op9_minhash, op10_bpe)}
 SQL: dict[str, str] = {}
