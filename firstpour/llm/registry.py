@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firstpour.llm import bpe, decontaminate, extract, langid, minhash, pii, ppm, quality, unigram
+from firstpour.llm import bpe, decontaminate, extract, langid, minhash, pii, ppm, quality, toxicity, unigram
 from firstpour.llm.tasks import remainder
 
 
@@ -65,6 +65,14 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text", (remainder("doc_id", 4) == 2).alias("held_out"))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(remainder("doc_id", 4) != 2)
+    scorer = toxicity.learn(docs.where("not held_out"), labels)
+    found = toxicity.score(docs, scorer, keep=["doc_id", "held_out"])
+    return found.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_documents(spark, sf_dir), words=3, percent=85)
 
@@ -80,5 +88,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_ppm, op2_extract, op3_quality, op4_langid, op5_decontaminate, op6_tokens, op7_pii, op9_minhash, op10_bpe)}
+QUERIES = {q.__name__: q for q in (op1_ppm, op2_extract, op3_quality, op4_langid, op5_decontaminate, op6_tokens, op7_pii, op8_toxicity, op9_minhash, op10_bpe)}
 SQL: dict[str, str] = {}
