@@ -41,6 +41,7 @@ from firstpour.operators.publish import (
     publish,
     publish_decision as decide,
     sync_partitions as synchronise,
+    table_schema,
 )
 from firstpour.plans.load import prepare
 from firstpour.sources import (
@@ -57,6 +58,7 @@ cloudpickle.register_pickle_by_value(testing)
 
 DAY_1 = datetime(2024, 1, 15, 10, tzinfo=timezone.utc)
 DAY_2 = datetime(2024, 1, 16, 10, tzinfo=timezone.utc)
+DAY_3 = datetime(2024, 1, 17, 10, tzinfo=timezone.utc)
 LATER_ON_DAY_1 = datetime(2024, 1, 15, 18, tzinfo=timezone.utc)
 
 
@@ -183,8 +185,10 @@ def scan_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
                     {"path": pa.array(["derived"]), "content": pa.array([content], pa.binary())}
                 )
 
-    customers = _table(spark, sf_dir, "customer").drop("c_acctbal")
-    return decode_sheets(customers.mapInArrow(books, "path string, content binary"), "My Sheet", skip_rows=1)
+    made = _table(spark, sf_dir, "customer").mapInArrow(books, "path string, content binary")
+    folder = storage.scratch(spark, "books")
+    made.write.parquet(folder)  # the workbooks are made once and spread over tasks
+    return decode_sheets(spark.read.parquet(folder).hint("rebalance"), "My Sheet", skip_rows=1)
 
 
 def manifest_active(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,8 +219,7 @@ def force_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_string(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"]
-    return cast_all(scan_parquet(spark, f"{sf_dir}/lineitem.parquet", columns))
+    return cast_all(_table(spark, sf_dir, "lineitem"))
 
 
 def fetch_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,9 +421,30 @@ def schema_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
         (since(events, "ts", "2024-01-15 00:00:00"), DAY_2),
     ):
         publish(spark, table, land_batch(batch, folder, day), True, partition_values(day))
+    land_batch(events, folder, DAY_3)  # landed but not published: must not show
     return _plain(read_bronze(spark, table, merge_schema=True))
 
 
+def type_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem in two batches, the second in wider types whose values fit the table's."""
+    config = _config(spark, sf_dir)
+    lines = _table(spark, sf_dir, "lineitem")
+    folder, table = f"{config.root}/lineitem", f"`{config.schema}`.lineitem"
+    early = F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    publish(spark, table, land_batch(lines.where(early), folder, DAY_1), True, partition_values(DAY_1))
+    wider = lines.where(~early).withColumns(
+        {
+            "l_orderkey": F.col("l_orderkey").cast("decimal(20,0)"),
+            "l_linenumber": F.col("l_linenumber").cast("string"),
+            "l_quantity": F.col("l_quantity").cast("decimal(20,6)"),
+            "l_shipdate": F.col("l_shipdate").cast("string"),
+        }
+    )
+    landed = land_batch(wider, folder, DAY_2, schema=table_schema(spark, table))
+    publish(spark, table, landed, True, partition_values(DAY_2))
+    return read_bronze(spark, table).select(*lines.columns)
+
+
 # ---------------------------------------------------------------- pipelines
 
 
@@ -437,6 +461,54 @@ def incremental_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, result.table).drop("fetch_date", "fetch_year", "fetch_month")
 
 
+def _writable(spark: SparkSession, **options) -> tuple[BronzeConfig, str]:
+    """A bronze layer whose source tables are folders the query fills."""
+    config = _config(spark, storage.scratch(spark, "source"), **options)
+    folder = storage.scratch(spark, "tables")
+    return replace(config, databases={"SRC": LakeDatabase(f"{folder}/{{object}}")}), folder
+
+
+def watermark_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events loaded twice by a floating value, some of them not a number."""
+    config, folder = _writable(spark)
+    events = _table(spark, sf_dir, "events")
+    odd = F.col("event_id") % 10 == 3
+    events = events.withColumn("value", F.when(odd, F.lit(float("nan"))).otherwise(F.col("value")))
+    source = Source("DB", "SRC", "MAIN", "events", None, True, "value")
+    events.where("isnan(value) or value <= 50").write.parquet(f"{folder}/events")
+    load(spark, config, source, DAY_1)
+    events.where("not isnan(value)").write.mode("overwrite").parquet(f"{folder}/events")
+    result = load(spark, config, source, DAY_2)
+    return read_bronze(spark, result.table).select("event_id", F.when(~F.isnan("value"), F.col("value")).alias("value"))
+
+
+def shared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources into one table, their keys interleaved, each loaded twice."""
+    config, folder = _writable(spark)
+    orders = _table(spark, sf_dir, "orders")
+    low, high = F.col("o_orderkey") % 2 == 0, F.col("o_totalprice") > 100_000
+    for name, part, days in (("a b", low, (DAY_1, DAY_2)), ("a_b", ~low, (LATER_ON_DAY_1, DAY_3))):
+        source = Source("DB", "SRC", "MAIN", name, None, True, "o_totalprice")
+        orders.where(part & ~high).write.parquet(f"{folder}/{name}")
+        load(spark, config, source, days[0])
+    for name, part, days in (("a b", low, (DAY_1, DAY_2)), ("a_b", ~low, (LATER_ON_DAY_1, DAY_3))):
+        source = Source("DB", "SRC", "MAIN", name, None, True, "o_totalprice")
+        orders.where(part).write.mode("overwrite").parquet(f"{folder}/{name}")
+        result = load(spark, config, source, days[1])
+    return read_bronze(spark, result.table).select(*orders.columns)
+
+
+def interrupted_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load that landed its rows and got no further, then one that makes up for it."""
+    config = _config(spark, sf_dir, reconcile=True)
+    source = Source("DB", "SRC", "MAIN", "orders", None, True, "o_orderdate")
+    orders = _table(spark, sf_dir, "orders")
+    state.advance(spark, config.begun_path, source.key, None, None, DAY_1)
+    land_batch(orders, config.folder(source), DAY_1, "o_orderdate")
+    result = load(spark, config, source, DAY_2)
+    return read_bronze(spark, result.table).select(*orders.columns)
+
+
 def watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the two loads above left as the current watermark."""
     config, _ = _two_loads(spark, sf_dir)
@@ -525,6 +597,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         batch_metrics, merge_chunks, land_full, land_full_rerun, publish_full, land_incremental,
         publish_incremental, sync_partitions, publish_decision, empty_batch, schema_first, schema_merged,
         incremental_two_batches, watermark_state, full_load_with_watermark, run_manifest, load_log,
+        type_drift, watermark_float, shared_table, interrupted_first_load,
     ]
     return {query.__name__: query for query in registered} | _llm()[0]
 
@@ -578,9 +651,15 @@ def oracle_sql() -> dict[str, str]:
         "scan_jdbc_filtered": f"SELECT * FROM orders WHERE {selected}",
         "scan_sheets": """
             SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
-                   c_mktsegment
+                   regexp_replace(CAST(c_acctbal AS VARCHAR), '[.]0$', '') AS c_acctbal, c_mktsegment
             FROM customer
         """,
+        "type_drift": "SELECT * FROM lineitem",
+        "watermark_float": """
+            SELECT event_id, CASE WHEN event_id % 10 <> 3 THEN value END AS value FROM events
+        """,
+        "shared_table": "SELECT * FROM orders",
+        "interrupted_first_load": "SELECT * FROM orders",
         "manifest_active": f'SELECT * FROM ({MANIFEST_SQL}) WHERE "SRC_FLAG_ACTIV" = 1',
         "bronze_pruned_read": f"""
             SELECT *, {day_2}, '2024' AS fetch_year, '202401' AS fetch_month, '20240116' AS fetch_day
@@ -593,7 +672,9 @@ def oracle_sql() -> dict[str, str]:
         "all_string": """
             SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_partkey AS VARCHAR) AS l_partkey,
                    CAST(l_suppkey AS VARCHAR) AS l_suppkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
-                   l_returnflag, l_linestatus
+                   CAST(l_quantity AS VARCHAR) AS l_quantity, CAST(l_extendedprice AS VARCHAR) AS l_extendedprice,
+                   CAST(l_discount AS VARCHAR) AS l_discount, CAST(l_tax AS VARCHAR) AS l_tax,
+                   l_returnflag, l_linestatus, CAST(l_shipdate AS VARCHAR) AS l_shipdate
             FROM lineitem
         """,
         "fetch_stamp": f"SELECT *, {day_1} FROM events",

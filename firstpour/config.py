@@ -33,14 +33,28 @@ class Split:
 
 @dataclass(frozen=True)
 class JdbcDatabase:
-    """A database reached over JDBC. ``splits`` is keyed by object name; without one a table is
-    read by a single task, since bounds cannot be guessed."""
+    """A database reached over JDBC.
+
+    ``splits`` is keyed by object name or ``schema.object``, in any case. Without one, a table is
+    split into ``partitions`` ranges of its watermark column, where it is a number or a time; a
+    table without such a column is read by a single task, since bounds cannot be guessed.
+
+    ``convert`` is source SQL that converts a text column at the database where a source asks for a
+    charset, such as ``CONVERT({column}, 'UTF8', '{charset}')``. It helps where reading itself fails
+    and takes any charset the database knows; without it the rows are repaired after the read.
+    """
 
     url: str
     driver: str | None = None
     fetchsize: int = 50_000
     options: Mapping[str, str] = field(default_factory=dict)
     splits: Mapping[str, Split] = field(default_factory=dict)
+    partitions: int = 8
+    convert: str | None = None
+
+    def split(self, schema: str, name: str) -> Split | None:
+        found = {key.lower(): split for key, split in self.splits.items()}
+        return found.get(f"{schema}.{name}".lower(), found.get(name.lower()))
 
 
 @dataclass(frozen=True)
@@ -87,9 +101,10 @@ class BronzeConfig:
     database: str | None = None
     compression: str = "snappy"
     max_records_per_file: int | None = None
-    # Rebalance a batch before the write. Costs one shuffle; worth it when a narrow watermark
-    # filter over a very wide scan would leave thousands of tiny files.
-    rebalance: bool = False
+    # Rebalance a batch before the write. Costs one shuffle of the batch, and keeps a narrow filter
+    # over a very wide scan from leaving thousands of tiny files. By default (None) incremental
+    # loads with a watermark or constraint do.
+    rebalance: bool | None = None
     # Land this many files per load, at the cost of a shuffle; one file means one writing task.
     files: int | None = None
     # Scan the whole bronze table for the watermark after every incremental load.
@@ -100,6 +115,11 @@ class BronzeConfig:
     filter_files: bool = False
     # Loads that may run side by side in one run.
     parallel: int = 4
+    # Folders of state or log records from which a run folds them into one at its end.
+    compact_after: int = 200
+    # Readers by source type, over and instead of the built-in ones: (spark, config, source, last)
+    # to the rows past the watermark ``last``.
+    readers: Mapping[str, Any] = field(default_factory=dict)
 
     @property
     def schema(self) -> str:
@@ -116,6 +136,10 @@ class BronzeConfig:
     def state_path(self) -> str:
         return f"{self.root}/_control/state"
 
+    @property
+    def begun_path(self) -> str:
+        return f"{self.root}/_control/begun"
+
     @property
     def catalog_path(self) -> str:
         return f"{self.root}/_control/catalog"

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -55,8 +56,12 @@ def increments(folder: str) -> str:
 
 
 def conform(df: DataFrame, schema: StructType | None) -> DataFrame:
-    """Cast columns whose type differs from the one the table was created with, so a drifting
-    source fails its own load instead of leaving files the table cannot read."""
+    """Cast columns whose type differs from the one the table was created with.
+
+    A value that does not come back from the table's type as it was fails the load, in the same
+    pass as the write: a drifting source neither loses digits or times unnoticed nor leaves files
+    the table cannot read.
+    """
     if schema is None:
         return df
     fixed = {f.name.lower(): f for f in schema.fields}
@@ -65,7 +70,35 @@ def conform(df: DataFrame, schema: StructType | None) -> DataFrame:
         for f in df.schema.fields
         if f.name.lower() in fixed and fixed[f.name.lower()].dataType != f.dataType
     ]
-    return df.withColumns({c: F.col(quoted(c)).cast(fixed[c.lower()].dataType) for c in drifted})
+
+    def lossless(name: str) -> Column:
+        column, type = F.col(quoted(name)), fixed[name.lower()].dataType
+        cast = column.cast(type)
+        kept = cast.cast(df.schema[name].dataType).eqNullSafe(column)
+        told = f"column {name}: a value of type {df.schema[name].dataType.simpleString()} does not fit {type.simpleString()}"
+        return F.when(kept, cast).otherwise(F.raise_error(F.lit(told)).cast(type))
+
+    return df.withColumns({c: lossless(c) for c in drifted})
+
+
+def make_room(df: DataFrame, reserved: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """Give source columns named like ours another name, ``src_`` before it; lower-case old name to
+    new name."""
+    taken = {c.lower() for c in df.columns}
+    renamed: dict[str, str] = {}
+    for column in df.columns:
+        if column.lower() in reserved:
+            name = f"src_{column}"
+            while name.lower() in taken:
+                name = f"src_{name}"
+            taken.add(name.lower())
+            renamed[column.lower()] = name
+    return df.withColumnsRenamed({c: renamed[c.lower()] for c in df.columns if c.lower() in renamed}), renamed
+
+
+def landed_criteria(criteria: str | None, renamed: dict[str, str]) -> str | None:
+    """The criterion as the landed columns are named."""
+    return renamed.get(criteria.strip().lower(), criteria) if criteria else criteria
 
 
 def land_full(
@@ -81,8 +114,11 @@ def land_full(
     batch without rows leaves no folder behind.
     """
     spark = df.sparkSession
-    path = f"{snapshots(folder, run_ts)}/run-{uuid.uuid4().hex}"
+    # Named by time, so that the newest run of a day sorts last.
+    path = f"{snapshots(folder, run_ts)}/run-t{in_utc(run_ts):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex}"
     observation = Observation()
+    df, renamed = make_room(df, ("fetch_date",))
+    criteria = landed_criteria(criteria, renamed)
     batch = observed(options.prepare(stamp(df, run_ts)), observation, criteria)
     try:
         options.writer(batch).mode("errorifexists").parquet(path)
@@ -111,11 +147,13 @@ def land_incremental(
     sort. A batch without rows writes no file. One writer per table at a time.
     """
     observation = Observation()
-    # A source column named like a partition column gives way to the partition value.
-    plain = conform(stamp(df.drop(*PARTITION_COLUMNS), run_ts), schema)
+    df, renamed = make_room(df, ("fetch_date", *PARTITION_COLUMNS))
+    criteria = landed_criteria(criteria, renamed)
+    plain = conform(stamp(df, run_ts), schema)
     batch = observed(options.prepare(plain), observation, criteria)
     days = {name: F.lit(value) for name, value in partition_values(run_ts).items()}
     path = increments(folder)
+    before = _files_of(df.sparkSession, path, run_ts)
     # What a killed driver's job left here would be committed along with this one.
     storage.delete(df.sparkSession, f"{path}/_temporary")
     options.writer(batch.withColumns(days)).mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
@@ -126,12 +164,23 @@ def land_incremental(
         if not storage.exists(spark, day):
             return spark.createDataFrame([], batch.schema)
         mine = F.col("fetch_date") == F.lit(in_utc(run_ts))
-        return spark.read.schema(batch.schema).parquet(day).where(mine)
+        written = spark.read.schema(batch.schema).parquet(day).where(mine)
+        # Another source of the same table may have landed at the same run time: not its files.
+        return written.where(~F.col("_metadata.file_path").isin(before)) if before else written
 
     rows, high = batch_metrics(observation, landed, criteria)
     return Landed(path, rows, high, batch.schema)
 
 
+def _files_of(spark, path: str, run_ts: datetime) -> list[str]:
+    """Files of the run's day that carry its stamp already, from a source that shares the table."""
+    day = "/".join([path, *(f"{name}={value}" for name, value in partition_values(run_ts).items())])
+    if not storage.exists(spark, day):
+        return []
+    stamped = spark.read.schema("fetch_date timestamp").parquet(day).where(F.col("fetch_date") == F.lit(in_utc(run_ts)))
+    return [r[0] for r in stamped.select("_metadata.file_path").distinct().collect()]
+
+
 def drop_other_runs(spark, landed_path: str) -> None:
     """Remove the same day's earlier snapshots; other days' stay."""
     day, _, run = landed_path.rpartition("/")
@@ -140,18 +189,23 @@ def drop_other_runs(spark, landed_path: str) -> None:
             storage.delete(spark, f"{day}/{name}")
 
 
-def undo_after(spark, folder: str, committed: datetime) -> int:
-    """Delete landed files stamped later than the last committed load, which a load interrupted
-    between landing and its state record leaves behind. All rows of a file share one stamp."""
+def undo_after(spark, folder: str, committed: datetime | None, begun: Sequence[datetime] = ()) -> int:
+    """Delete landed files that a load interrupted between landing and its state record left behind:
+    those stamped later than the last committed load, and those of the run times given. All rows of
+    a file share one stamp."""
     path = increments(folder)
-    if not storage.children(spark, path):
+    if not storage.children(spark, path) or committed is None and not begun:
         return 0
+    unfinished = F.col("fetch_date").isin([F.lit(in_utc(t)) for t in begun]) if begun else F.lit(False)
+    first = min([t for t in (committed, *begun) if t is not None])
+    if committed is not None:
+        unfinished = unfinished | (F.col("fetch_date") > F.lit(committed))
     columns = "fetch_date timestamp, fetch_year string, fetch_month string, fetch_day string"
     leftovers = (
         spark.read.schema(columns)
         .parquet(path)
-        .where(F.col("fetch_day") >= partition_values(committed)["fetch_day"])
-        .where(F.col("fetch_date") > F.lit(committed))
+        .where(F.col("fetch_day") >= partition_values(first)["fetch_day"])
+        .where(unfinished)
         .select("_metadata.file_path")
         .distinct()
     )

@@ -8,8 +8,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from firstpour.operators.records import append_records, make_records, read_records
+from firstpour.operators.records import append_records, compact_records, make_records, read_records
 
+# The columns of the load log.
 SCHEMA = (
     "START_TIME timestamp, END_TIME timestamp, SRC_NAME string, SRC_ORIGIN_NAME string, "
     "SRC_OBJECT_NAME string, SQL_REQUEST string, ERROR_TYPE string, ERROR_MESSAGE string, "
@@ -48,3 +49,8 @@ def log_loads(spark: SparkSession, path: str, records: Sequence[LogRecord]) -> N
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     return read_records(spark, path, SCHEMA)
+
+
+def compact_log(spark: SparkSession, path: str) -> None:
+    """Fold the records written so far into one file."""
+    compact_records(spark, path, SCHEMA, lambda records: records)

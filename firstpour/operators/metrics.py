@@ -7,7 +7,7 @@ from threading import Thread
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, TimestampType
+from pyspark.sql.types import DataType, DoubleType, FloatType, TimestampType
 
 from firstpour.operators.predicates import criteria_column, field_type
 
@@ -24,11 +24,19 @@ def watermark_text(column: Column, type: DataType, zone: str) -> Column:
     return column.cast("string")
 
 
+def largest(column: Column, type: DataType) -> Column:
+    """The largest value; not-a-number, which Spark puts above all numbers, does not count."""
+    if isinstance(type, (DoubleType, FloatType)):
+        return F.max(F.when(~F.isnan(column), column))
+    return F.max(column)
+
+
 def metric_columns(df: DataFrame, criteria: str | None) -> list[Column]:
     """``n`` (rows) and ``high`` (largest criteria value, as text)."""
     if criteria:
         zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
-        high = watermark_text(F.max(criteria_column(df, criteria)), field_type(df, criteria), zone)
+        type = field_type(df, criteria)
+        high = watermark_text(largest(criteria_column(df, criteria), type), type, zone)
     else:
         high = F.max(F.lit(None).cast("string"))
     return [F.count(F.lit(1)).alias("n"), high.alias("high")]
@@ -61,4 +69,4 @@ def batch_metrics(
 
 def high_watermark(bronze: DataFrame, column: str) -> DataFrame:
     """Largest criteria value of a whole bronze table: a one-column scan."""
-    return bronze.agg(F.max(criteria_column(bronze, column)).alias("high"))
+    return bronze.agg(largest(criteria_column(bronze, column), field_type(bronze, column)).alias("high"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,11 +26,31 @@ def is_partitioned(spark: SparkSession, table: str) -> bool:
     return any(row["col_name"] == "# Partition Information" for row in described)
 
 
+# Table property with the columns that came after the table's creation, as a schema in JSON.
+LATER = "later_columns"
+
+
+def later_columns(spark: SparkSession, table: str) -> StructType:
+    """Columns of batches that came after the first, with the type they first had."""
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == LATER).first()
+    return StructType.fromJson(json.loads(found["value"])) if found else StructType([])
+
+
+def _note_later(spark: SparkSession, table: str, batch: StructType) -> None:
+    known = later_columns(spark, table)
+    names = {f.name.lower() for f in [*spark.table(table).schema.fields, *known.fields]}
+    new = [StructField(f.name, f.dataType, True) for f in batch.fields if f.name.lower() not in names]
+    if new:
+        text = text_literal(StructType([*known.fields, *new]).json())
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{LATER}' = {text})")
+
+
 def table_schema(spark: SparkSession, table: str) -> StructType | None:
-    """Data columns of an existing table, without the partition columns."""
+    """Data columns of an existing table, later ones included, without the partition columns."""
     if not spark.catalog.tableExists(table):
         return None
-    return StructType([f for f in spark.table(table).schema.fields if f.name not in PARTITION_COLUMNS])
+    own = [f for f in spark.table(table).schema.fields if f.name not in PARTITION_COLUMNS]
+    return StructType([*own, *later_columns(spark, table).fields])
 
 
 def _same_columns(a: StructType, b: StructType) -> bool:
@@ -92,9 +113,9 @@ def _day_folders(spark: SparkSession, path: str) -> Iterator[str]:
 
 
 def _snapshots(spark: SparkSession, path: str) -> Iterator[str]:
-    """Completely written snapshots, newest day first."""
+    """Completely written snapshots, newest first: run folders are named by their time."""
     for day in reversed(storage.children(spark, path)):
-        for run in storage.children(spark, f"{path}/{day}"):
+        for run in reversed(storage.children(spark, f"{path}/{day}")):
             if storage.exists(spark, f"{path}/{day}/{run}/_SUCCESS"):
                 yield f"{path}/{day}/{run}"
 
@@ -132,6 +153,7 @@ def publish(
         return "recreate"
     if spark.catalog.tableExists(table):
         sync_partitions(spark, table, partition)
+        _note_later(spark, table, landed.schema)
         return "sync"
     create_partitioned(spark, table, landed.path, landed.schema)
     sync_partitions(spark, table)

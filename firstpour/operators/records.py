@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,15 +19,17 @@ def read_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def make_records(spark: SparkSession, schema: str, rows: Sequence[Sequence]) -> DataFrame:
-    """A few rows as literals, which Spark plans as a local relation; many rows as data."""
-    if len(rows) > 100:
-        return spark.createDataFrame(rows, schema).coalesce(1)
+    """Rows as literals, which Spark plans as a local relation."""
     fields = StructType.fromDDL(schema).fields
-    items = [
-        F.struct([F.lit(value).cast(f.dataType).alias(f.name) for f, value in zip(fields, row)])
-        for row in rows
-    ]
-    return spark.sql("VALUES (1)").select(F.inline(F.array(items)))
+    parts = []
+    for first in range(0, max(1, len(rows)), 100):
+        items = [
+            F.struct([F.lit(value).cast(f.dataType).alias(f.name) for f, value in zip(fields, row)])
+            for row in rows[first : first + 100]
+        ]
+        if items:
+            parts.append(spark.sql("VALUES (1)").select(F.inline(F.array(items))))
+    return reduce(DataFrame.union, parts).coalesce(1) if parts else spark.createDataFrame([], schema)
 
 
 def append_records(records: DataFrame, path: str) -> str:
@@ -35,3 +38,15 @@ def append_records(records: DataFrame, path: str) -> str:
     name = f"batch-{uuid.uuid4().hex}"
     records.write.mode("errorifexists").parquet(f"{path}/{name}")
     return name
+
+
+def compact_records(spark: SparkSession, path: str, schema: str, fold: Callable[[DataFrame], DataFrame]) -> None:
+    """Fold the completely written folders into one. They go only after the new one is complete;
+    folders still being written are left alone."""
+    old = [name for name in storage.children(spark, path) if storage.exists(spark, f"{path}/{name}/_SUCCESS")]
+    if len(old) < 2:
+        return
+    records = spark.read.schema(schema).parquet(*[f"{path}/{name}" for name in old])
+    append_records(fold(records).coalesce(1), path)
+    for name in old:
+        storage.delete(spark, f"{path}/{name}")

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firstpour import storage
 from firstpour.functions.stamp import in_utc
-from firstpour.operators.records import append_records, make_records, read_records
+from firstpour.operators.records import append_records, compact_records, make_records, read_records
 
 KEY = ("src_name", "src_origin_name", "src_object_name")
 SCHEMA = (
@@ -40,12 +39,15 @@ def advance(
 
 
 def compact_state(spark: SparkSession, path: str) -> None:
-    """Fold the records written so far into one file. The old ones go only after the new one is
-    complete; seeing both meanwhile does no harm, since the latest record is the same."""
-    old = storage.children(spark, path)
-    if len(old) < 2:
-        return
-    state = spark.read.schema(SCHEMA).parquet(*[f"{path}/{name}" for name in old])
-    append_records(latest_state(state), path)
-    for name in old:
-        storage.delete(spark, f"{path}/{name}")
+    """Fold the records written so far into one file. Seeing old and new ones meanwhile does no
+    harm, since the latest record is the same."""
+    compact_records(spark, path, SCHEMA, latest_state)
+
+
+def unfinished(spark: SparkSession, begun_path: str, state_path: str, mine: Column) -> list[datetime]:
+    """Run times at which a load of the sources ``mine`` was begun and none of them finished."""
+    micros = F.unix_micros("updated_at").alias("micros")
+    begun = read_state(spark, begun_path).where(mine).select(micros).distinct()
+    done = read_state(spark, state_path).where(mine).select(micros).distinct()
+    epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    return [epoch + timedelta(microseconds=r["micros"]) for r in begun.join(done, "micros", "left_anti").collect()]

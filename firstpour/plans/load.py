@@ -6,20 +6,19 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firstpour import storage
 from firstpour.config import BronzeConfig, JdbcDatabase, Source, watermark_to_text
 from firstpour.functions.charset import force_encode
 from firstpour.functions.naming import bronze_name_column
-from firstpour.functions.stamp import in_utc, partition_values
+from firstpour.functions.stamp import PARTITION_COLUMNS, in_utc, partition_values
 from firstpour.functions.text import quoted, text_literal
 from firstpour.operators import load_log, state
 from firstpour.operators.land import (
     Landed,
     WriteOptions,
-    increments,
     land_full,
     land_incremental,
     undo_after,
@@ -63,8 +62,11 @@ def read_database(spark: SparkSession, config: BronzeConfig, source: Source, las
         raise ValueError(f"no database configured for source {source.name!r}")
     if isinstance(database, JdbcDatabase):
         df = scan_jdbc(
-            spark, database, source.origin, source.object, source.constraint, source.criteria, last
-        )
+            spark, database, source.origin, source.object, source.constraint, source.criteria, last,
+            charset=source.force_encode,
+        )
+        if source.force_encode and database.convert:
+            return df
     else:
         scan = scan_parquet(spark, database.path(source.origin, source.object))
         df = select_rows(scan, source.constraint, source.criteria, last)
@@ -93,6 +95,8 @@ def stored_watermarks(spark: SparkSession, config: BronzeConfig) -> DataFrame:
 
 def stored_watermark(value: str | None, type: str | None, updated_micros: int) -> Watermark:
     epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
+    if type in ("double", "float") and value == "NaN":
+        value = None  # above all numbers: as a watermark it would let nothing through any more
     return Watermark(value, type is not None, epoch + timedelta(microseconds=updated_micros))
 
 
@@ -111,14 +115,24 @@ def current_watermark(spark: SparkSession, config: BronzeConfig, source: Source)
     return stored_watermark(row["value"], row["type"], row["updated_micros"])
 
 
-def last_commit(spark: SparkSession, config: BronzeConfig, source: Source) -> datetime | None:
-    """Time of the last recorded load into the source's table, by this source or by another whose
-    name comes to the same table."""
+def readers(config: BronzeConfig) -> dict[str, Callable[[SparkSession, BronzeConfig, Source, str | None], DataFrame]]:
+    return READERS | dict(config.readers)
+
+
+def sharing(config: BronzeConfig, source: Source) -> Column:
+    """Whether a state record belongs to a source whose name comes to the same table, the source's own
+    included."""
     key = [F.col(name) for name in state.KEY]
-    spellings = [F.lower(bronze_name_column(F.lit(type), *key)) for type in READERS]
+    spellings = [F.lower(bronze_name_column(F.lit(type), *key)) for type in readers(config)]
+    return F.lit(source.bronze_name.lower()).isin(*spellings)
+
+
+def last_commit(spark: SparkSession, config: BronzeConfig, source: Source) -> datetime | None:
+    """Time of the last recorded load into the source's table, by this source or by another that
+    shares it."""
     row = (
         state.read_state(spark, config.state_path)
-        .where(F.lit(source.bronze_name.lower()).isin(*spellings))
+        .where(sharing(config, source))
         .agg(F.max(F.unix_micros("updated_at")).alias("micros"))
         .first()
     )
@@ -140,30 +154,40 @@ def next_watermark(
     source: Source,
     start: Watermark,
     landed: Landed,
-    first: bool,
 ) -> tuple[str | None, str | None]:
-    """Largest criteria value of the bronze table after a load, and its type.
+    """Largest criteria value of a source's rows after a load, and its type.
 
-    The value observed during the write saves the scan of the table where both must agree: the
-    batch is all there is, or it came on top of a recorded watermark. Otherwise the table is
-    scanned. No table, or no criteria column, means no watermark.
+    That is the larger of the value the load started from and the one observed during the write; the
+    table is not read, as other sources may share it. After a watermark set by hand, or where
+    ``exact_watermark`` asks for it, the table's maximum is taken instead, unless another source has
+    loaded into the table. No table, or no criteria
+    column, means no watermark.
     """
     table = config.table(source)
     if not source.criteria or not spark.catalog.tableExists(table):
         return None, None
     bronze = spark.table(table)
-    type = field_type(bronze, source.criteria)
-    if config.exact_watermark or not (first or start.recorded):
-        frame = high_watermark(bronze, source.criteria)
+    criteria = source.criteria
+    if f"src_{criteria.strip().lower()}" in bronze.columns and criteria.strip().lower() in ("fetch_date", *PARTITION_COLUMNS):
+        criteria = f"src_{criteria.strip().lower()}"  # the source's own column, under its landed name
+    type = field_type(bronze, criteria)
+    by_hand = start.updated_at is not None and not start.recorded
+    if (config.exact_watermark or by_hand) and not _shared(spark, config, source):
+        frame = high_watermark(bronze, criteria)
     else:
-        known = [landed.high] if first else [landed.high, start.value]
-        values = [F.lit(value).cast(type) for value in known]
+        values = [F.lit(value).cast(type) for value in (landed.high, start.value)]
         frame = spark.sql("VALUES (1)").select(F.greatest(*values, F.lit(None).cast(type)).alias("high"))
     zone = spark.conf.get("spark.sql.session.timeZone")
     high = frame.select(watermark_text(F.col("high"), type, zone)).first()[0]
     return high, type.simpleString()
 
 
+def _shared(spark: SparkSession, config: BronzeConfig, source: Source) -> bool:
+    own = F.struct(*state.KEY) == F.struct(*[F.lit(k) for k in source.key])
+    begun = state.read_state(spark, config.begun_path).where(sharing(config, source) & ~own)
+    return not begun.isEmpty() or not state.read_state(spark, config.state_path).where(sharing(config, source) & ~own).isEmpty()
+
+
 def _request(config: BronzeConfig, source: Source, last: str | None) -> str:
     if source.type == "FILE" and not config.filter_files:
         return request_text(f"{source.origin} [{source.object}]")
@@ -217,11 +241,12 @@ def attempt(
         last = start.value
         if start.updated_at is not None and run_ts <= start.updated_at:
             raise ValueError(f"run time {run_ts} is not after the last load at {start.updated_at}")
-        if source.type not in READERS:
+        if source.type not in readers(config):
             raise ValueError(f"unknown source type {source.type!r}")
         if config.reconcile and source.incremental:
             committed = last_commit(spark, config, source)
-            if committed and undo_after(spark, folder, committed) and spark.catalog.tableExists(table):
+            begun = state.unfinished(spark, config.begun_path, config.state_path, sharing(config, source))
+            if undo_after(spark, folder, committed, begun) and spark.catalog.tableExists(table):
                 spark.catalog.refreshTable(table)
         if source.incremental:
             attach(spark, table, folder, True)
@@ -230,15 +255,17 @@ def attempt(
             raise ValueError(f"{table} holds a full snapshot; drop it to load incrementally")
 
         stage = "extract"
-        df = READERS[source.type](spark, config, source, last)
-        first = not storage.children(spark, increments(folder))
+        df = readers(config)[source.type](spark, config, source, last)
 
         stage = "land"
-        options = WriteOptions(
-            config.compression, config.max_records_per_file, config.rebalance, config.files
-        )
+        narrow = source.incremental and bool(last is not None and source.criteria or source.constraint)
+        rebalance = narrow if config.rebalance is None else config.rebalance
+        options = WriteOptions(config.compression, config.max_records_per_file, rebalance, config.files)
         criteria = source.criteria if source.incremental else None
         sending = datetime.now(timezone.utc)
+        if source.incremental and (config.reconcile or start.updated_at is None):
+            # Without a state record yet, nothing else would tell what an interrupted load left.
+            state.advance(spark, config.begun_path, source.key, None, None, run_ts)
         if source.incremental:
             landed = land_incremental(df, folder, run_ts, criteria, options, known)
         else:
@@ -256,7 +283,7 @@ def attempt(
         watermark = last
         if source.incremental:
             stage = "watermark"
-            watermark, kind = next_watermark(spark, config, source, start, landed, first)
+            watermark, kind = next_watermark(spark, config, source, start, landed)
             state.advance(spark, config.state_path, source.key, watermark, kind, run_ts)
         record("SUCCESS")
         return LoadResult(source, table, rows, decision, watermark, None, records)
@@ -266,6 +293,16 @@ def attempt(
         return LoadResult(source, table, rows, decision, last, message, records)
 
 
+def refused(config: BronzeConfig, source: Source, error: Exception) -> LoadResult:
+    """The result of a control row no load can be made of."""
+    now = datetime.now(timezone.utc)
+    message = f"control row: {error}"
+    record = load_log.LogRecord(
+        now, now, source.key, _request(config, source, None), source.type, "ERROR", 0, type(error).__name__, message
+    )
+    return LoadResult(source, config.table(source), 0, "nothing", None, message, [record])
+
+
 def load(spark: SparkSession, config: BronzeConfig, source: Source, run_ts: datetime) -> LoadResult:
     """Load one source and write its log records; raises ``LoadError`` when a stage failed."""
     prepare(spark, config)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from datetime import datetime
+from time import monotonic
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from firstpour import storage
 from firstpour.config import BronzeConfig, Source, source_from_row
 from firstpour.operators import load_log, state
 from firstpour.plans.load import (
@@ -16,6 +18,7 @@ from firstpour.plans.load import (
     Watermark,
     attempt,
     prepare,
+    refused,
     stored_watermark,
     stored_watermarks,
 )
@@ -23,14 +26,17 @@ from firstpour.sources.manifest import active_sources
 
 KEY = {"src_name": "SRC_NAME", "src_origin_name": "SRC_ORIGIN_NAME", "src_object_name": "SRC_OBJECT_NAME"}
 
-# Log records written together: few enough to lose little with the driver, many enough not to leave
-# a file per load.
-LOG_BATCH = 50
+# Log records written together, and the seconds they may wait: few enough to lose little with the
+# driver, many enough not to leave a file per load. Errors do not wait.
+LOG_BATCH, LOG_SECONDS = 50, 30.0
 
 
-def plan(spark: SparkSession, config: BronzeConfig, manifest: DataFrame) -> list[tuple[Source, Watermark]]:
-    """Active sources in table order with the watermark each starts from. One query for the whole
-    control table; its rows name tables, so there are as many as there are tables to load."""
+def plan(
+    spark: SparkSession, config: BronzeConfig, manifest: DataFrame
+) -> list[tuple[Source, Watermark, Exception | None]]:
+    """Active sources in table order with the watermark each starts from, or what is wrong with their
+    row. One query for the whole control table; its rows name tables, so there are as many as there
+    are tables to load."""
     active = active_sources(manifest).withColumn("position", F.monotonically_increasing_id())
     # Text with its zone, whatever zone Python runs in.
     zone = spark.conf.get("spark.sql.session.timeZone")
@@ -46,11 +52,16 @@ def plan(spark: SparkSession, config: BronzeConfig, manifest: DataFrame) -> list
     rows = active.join(stored, list(KEY.values()), "left").orderBy("position").toLocalIterator()
     planned = []
     for row in rows:
-        source = source_from_row(row)
+        wrong = None
+        try:
+            source = source_from_row(row)
+        except (TypeError, ValueError) as error:
+            source, wrong = source_from_row({**row.asDict(), "SRC_FLAG_INCR": None}), error
         if row["updated_micros"] is None:
-            planned.append((source, Watermark(source.last_update)))
+            start = Watermark(source.last_update)
         else:
-            planned.append((source, stored_watermark(row["stored_value"], row["stored_type"], row["updated_micros"])))
+            start = stored_watermark(row["stored_value"], row["stored_type"], row["updated_micros"])
+        planned.append((source, start, wrong))
     return planned
 
 
@@ -58,19 +69,27 @@ def run(
     spark: SparkSession, config: BronzeConfig, manifest: DataFrame, run_ts: datetime
 ) -> list[LoadResult]:
     """One load per active source, ``config.parallel`` at a time; sources that share a bronze table
-    take turns in table order. A failed load is logged and does not stop the others."""
+    take turns in table order. A failed load or an odd control row is logged and does not stop the
+    others. Grown state and log folders are folded at the end."""
     prepare(spark, config)
     planned = plan(spark, config, manifest)
     turns: dict[str, list[int]] = {}
-    for i, (source, _) in enumerate(planned):
+    for i, (source, _, _) in enumerate(planned):
         turns.setdefault(config.table(source), []).append(i)
     results: dict[int, LoadResult] = {}
     unlogged: list[load_log.LogRecord] = []
+    written = monotonic()
 
     def take_turns(indexes: list[int]) -> list[load_log.LogRecord]:
+        seen = set()
         for i in indexes:
-            source, start = planned[i]
-            results[i] = attempt(spark, config, source, run_ts, start)
+            source, start, wrong = planned[i]
+            if wrong is not None:
+                results[i] = refused(config, source, wrong)
+                continue
+            # A source listed twice starts its second turn from what the first one stored.
+            results[i] = attempt(spark, config, source, run_ts, None if source.key in seen else start)
+            seen.add(source.key)
         return [record for i in indexes for record in results[i].records]
 
     try:
@@ -78,14 +97,23 @@ def run(
             work = inheritable_thread_target(spark)(take_turns)
             for done in as_completed([pool.submit(work, indexes) for indexes in turns.values()]):
                 unlogged += done.result()
-                if len(unlogged) >= LOG_BATCH:
+                urgent = any(r.action == "ERROR" for r in unlogged) or monotonic() - written > LOG_SECONDS
+                if urgent or len(unlogged) >= LOG_BATCH:
                     load_log.log_loads(spark, config.log_path, unlogged)
-                    unlogged = []
+                    unlogged, written = [], monotonic()
     finally:
         load_log.log_loads(spark, config.log_path, unlogged)
+    compact(spark, config, config.compact_after)
     return [results[i] for i in sorted(results)]
 
 
-def compact(spark: SparkSession, config: BronzeConfig) -> None:
-    """Fold the watermark records of past loads into one file; run while nothing is loading."""
-    state.compact_state(spark, config.state_path)
+def compact(spark: SparkSession, config: BronzeConfig, least: int = 2) -> None:
+    """Fold the state and log records of past loads into one file each, where there are at least
+    ``least`` folders; run while no other driver is loading."""
+    for path, fold in (
+        (config.state_path, state.compact_state),
+        (config.begun_path, state.compact_state),
+        (config.log_path, load_log.compact_log),
+    ):
+        if len(storage.children(spark, path)) >= least:
+            fold(spark, path)

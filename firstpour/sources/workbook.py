@@ -128,7 +128,7 @@ class Workbook:
             try:
                 return _date_text(text, self.base)
             except OverflowError:
-                return None  # no such date: shown as an error value
+                return _number_text(text)  # no such date
         if kind == "b":
             return "True" if text.strip() in ("1", "true") else "False"
         if kind == "d":

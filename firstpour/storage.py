@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -56,4 +58,5 @@ def scratch(spark: SparkSession, label: str) -> str:
         if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="firstpour-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

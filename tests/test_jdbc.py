@@ -2,11 +2,11 @@
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StringType, TimestampNTZType
+from pyspark.sql.types import DateType, LongType, StringType, TimestampNTZType, TimestampType
 
 from firstpour import BronzeConfig, JdbcDatabase, Source, Split, load, storage
 from firstpour.sources import read_bronze, scan_jdbc
-from firstpour.sources.jdbc import _bucket_predicates, full_table_name, request_text, source_literal
+from firstpour.sources.jdbc import _bucket_predicates, _loosened, full_table_name, request_text, source_literal
 from tests.conftest import DAY_1, DAY_2, SF, rows
 
 DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
@@ -127,3 +127,29 @@ def test_names_and_literals():
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("type", ["DECIMAL(12,2)", "DOUBLE"])
+def test_split_on_fractional_columns(spark, url, type):
+    made = spark.range(50).selectExpr("id", f"CAST(id * 1.5 AS {type}) AS k")
+    made.write.jdbc(url, f"fraction_{type[:3]}", properties={"driver": DRIVER})
+    database = JdbcDatabase(url, DRIVER, splits={f"APP.FRACTION_{type[:3]}".lower(): Split(4, column="k")})
+    df = scan_jdbc(spark, database, "APP", f"FRACTION_{type[:3]}")
+    assert df.rdd.getNumPartitions() == 4 and df.count() == 50
+
+
+def test_watermark_column_splits_by_default(spark, url, orders):
+    df = scan_jdbc(spark, JdbcDatabase(url, DRIVER, partitions=3), "", "orders", criteria="o_orderdate")
+    assert df.rdd.getNumPartitions() == 3 and df.count() == orders.count()
+
+
+def test_text_is_converted_at_the_source(spark, url, orders):
+    database = JdbcDatabase(url, DRIVER, convert="LOWER({column})")
+    df = scan_jdbc(spark, database, "", "orders", charset="ANY")
+    assert df.columns == orders.columns
+    assert {r[0] for r in df.select("o_orderstatus").distinct().collect()} == {"f", "o", "p"}
+
+
+def test_zoned_watermarks_are_loosened_at_the_source():
+    assert _loosened("2024-01-03 02:00:00+00:00", TimestampType()) == "2024-01-02 00:00:00"
+    assert _loosened("2024-01-03 02:00:00", TimestampNTZType()) == "2024-01-03 02:00:00"

@@ -6,7 +6,7 @@ from firstpour.functions import partition_values
 from firstpour.operators import metrics
 from firstpour.operators.land import WriteOptions, conform, land_full, land_incremental
 from firstpour.operators.merge import merge_chunks
-from firstpour.operators.publish import is_partitioned, publish, sync_partitions, table_schema
+from firstpour.operators.publish import attach, is_partitioned, publish, sync_partitions, table_schema
 from firstpour.sources import file_count, landed_files, last_sequence, read_bronze
 from tests.conftest import DAY_1, DAY_1_LATER, DAY_2, rows
 
@@ -127,10 +127,53 @@ def test_drifting_type_is_cast_or_fails_before_landing(spark, folder, table):
     assert conform(text, None) is text
 
 
-def test_source_columns_named_like_partitions_give_way(spark, folder, table):
+@pytest.mark.parametrize(
+    "held, later",
+    [
+        ("CAST(1 AS bigint)", "2.7D"),
+        ("CAST(1 AS int)", "4000000000L"),
+        ("DATE '2024-01-01'", "TIMESTAMP_NTZ '2024-01-02 13:14:15'"),
+        ("CAST(1.5 AS decimal(10,2))", "CAST(2.98765 AS decimal(10,5))"),
+        ("1.5F", "0.1D"),
+        ("CAST(7 AS int)", "'007'"),
+    ],
+)
+def test_values_that_would_change_fail_before_landing(spark, folder, table, held, later):
+    publish(spark, table, land_incremental(spark.sql(f"SELECT {held} AS v"), folder, DAY_1), True, partition_values(DAY_1))
+    known = table_schema(spark, table)
+    with pytest.raises(Exception, match="does not fit|CAST_OVERFLOW|overflow"):
+        land_incremental(spark.sql(f"SELECT {later} AS v"), folder, DAY_2, schema=known)
+    assert read_bronze(spark, table).count() == 1
+    same = spark.sql(f"SELECT CAST({held} AS string) AS v")
+    assert land_incremental(same, folder, DAY_2, schema=known).rows == 1
+
+
+def test_newest_of_a_days_snapshots_is_recovered(spark, folder, table):
+    for n in range(3):
+        land_full(spark.range(n, n + 1), folder, DAY_1.replace(hour=10 + n))
+    attach(spark, table, folder, False)
+    assert ids(spark.table(table)) == [2]
+
+
+def test_merged_read_shows_published_days_and_first_types(spark, folder, table):
+    publish(spark, table, land_incremental(spark.range(1), folder, DAY_1), True, partition_values(DAY_1))
+    wider = spark.range(1, 2).withColumn("extra", F.lit(5))
+    publish(spark, table, land_incremental(wider, folder, DAY_1_LATER), True, partition_values(DAY_1))
+    known = table_schema(spark, table)
+    text = spark.range(2, 3).withColumn("extra", F.lit("6"))
+    land_incremental(text, folder, DAY_2, schema=known)
+    assert rows(read_bronze(spark, table, merge_schema=True).select("id", "extra")) == [(0, None), (1, 5)]
+    sync_partitions(spark, table, partition_values(DAY_2))
+    assert (2, 6) in rows(read_bronze(spark, table, merge_schema=True).select("id", "extra"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        land_incremental(spark.range(3, 4).withColumn("extra", F.lit("x")), folder, DAY_2, schema=known)
+
+
+def test_source_columns_named_like_ours_get_another_name(spark, folder, table):
     source = spark.range(1).withColumns({"fetch_day": F.lit("19990101"), "fetch_date": F.lit("x")})
     publish(spark, table, land_incremental(source, folder, DAY_1), True, partition_values(DAY_1))
-    assert [r["fetch_day"] for r in read_bronze(spark, table).collect()] == ["20240115"]
+    row = read_bronze(spark, table).first()
+    assert (row["fetch_day"], row["src_fetch_day"], row["src_fetch_date"]) == ("20240115", "19990101", "x")
 
 
 def test_write_options(spark, folder):

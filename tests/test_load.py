@@ -300,3 +300,55 @@ def test_full_table_survives_a_new_catalog(spark, config, put):
     spark.sql(f"DROP TABLE {table}")
     load(spark, config, replace(source, constraint="WHERE id > 99"), DAY_2)
     assert ids(spark, table) == [1]
+
+
+def test_nan_is_no_watermark(spark, config, put):
+    schema = "id int, n double"
+    put("things", [(1, 1.0), (2, float("nan"))], schema)
+    assert load(spark, config, THINGS, DAY_1).watermark == "1.0"
+    put("things", [(1, 1.0), (2, float("nan")), (3, 2.0)], schema)
+    result = load(spark, config, THINGS, DAY_2)
+    assert (result.watermark, 3 in ids(spark, result.table)) == ("2.0", True)
+    state.advance(spark, config.state_path, THINGS.key, "NaN", "double", DAY_2 + timedelta(hours=1))
+    assert current_watermark(spark, config, THINGS).value is None
+
+
+def test_shared_table_keeps_each_sources_watermark(spark, config, put):
+    other = replace(THINGS, object="thi ngs")
+    mine = replace(THINGS, object="thi_ngs")
+    put("thi_ngs", [(1, 10)], SCHEMA)
+    put("thi ngs", [(2, 2)], SCHEMA)
+    load(spark, config, mine, DAY_1)
+    assert load(spark, config, other, DAY_1_LATER).watermark == "2"
+    put("thi ngs", [(2, 2), (3, 3)], SCHEMA)
+    assert load(spark, replace(config, exact_watermark=True), other, DAY_2).rows == 1
+
+
+def test_reconcile_undoes_an_interrupted_first_load(spark, config, put, monkeypatch):
+    put("things", [(1, 1), (2, 2)], SCHEMA)
+
+    def fail(*args, **kwargs):
+        raise OSError("driver gone")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(plans, "publish", fail)
+        with pytest.raises(LoadError):
+            load(spark, config, THINGS, DAY_1)
+    result = load(spark, replace(config, reconcile=True), THINGS, DAY_2)
+    assert ids(spark, result.table) == [1, 2]
+
+
+def test_own_reader(spark, config):
+    made = replace(config, readers={"RANGE": lambda spark, config, source, last: spark.range(int(source.object))})
+    result = load(spark, made, Source("RANGE", "X", "Y", "3"), DAY_1)
+    assert ids(spark, result.table) == [0, 1, 2]
+
+
+def test_narrow_increments_are_rebalanced(spark, config, put, monkeypatch):
+    seen = []
+    monkeypatch.setattr(plans, "land_incremental", lambda df, *args: seen.append(args[3].rebalance) or land_incremental(df, *args))
+    put("things", [(1, 1)], SCHEMA)
+    load(spark, config, THINGS, DAY_1)
+    put("things", [(1, 1), (2, 2)], SCHEMA)
+    load(spark, config, THINGS, DAY_2)
+    assert seen == [False, True]

@@ -3,8 +3,8 @@ from datetime import datetime, timezone
 
 import pytest
 
-from firstpour import run
-from firstpour.operators import load_log
+from firstpour import run, storage
+from firstpour.operators import load_log, state
 from firstpour.plans.run import compact, plan
 from firstpour.sources import active_sources, read_bronze
 from tests.conftest import DAY_1, DAY_2, rows
@@ -55,7 +55,7 @@ def test_second_run_starts_from_the_stored_watermarks(spark, config, manifest, f
     run(spark, config, manifest, DAY_1)
     compact(spark, config)
     put("two", [(1, 1), (2, 2), (3, 3)], "id int, n int")
-    starts = {source.object: start.value for source, start in plan(spark, config, manifest)}
+    starts = {source.object: start.value for source, start, _ in plan(spark, config, manifest)}
     assert starts == {"one": None, "two": "2", "gone": None}
     results = run(spark, config, manifest, DAY_2)
     assert {r.source.object: r.rows for r in results} == {"one": 2, "two": 1, "gone": 0}
@@ -98,3 +98,34 @@ def test_timestamp_watermark_cells(spark, config, root):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert (results[0].error, results[0].rows) == (None, 1)
+
+
+def test_odd_control_row_is_logged_and_others_load(spark, config, put):
+    put("one", [(1, 1)], "id int, n int")
+    schema = SCHEMA.replace("SRC_FLAG_INCR int", "SRC_FLAG_INCR string")
+    row = ("DB", "LAKE", "MAIN", "one", None, 1, "1", "n", None, None)
+    manifest = spark.createDataFrame([(*row[:3], "odd", *row[4:6], "Y", *row[7:]), row], schema)
+    results = {r.source.object: r.error for r in run(spark, config, manifest, DAY_1)}
+    assert results["one"] is None and "control row" in results["odd"]
+    logged = load_log.read_log(spark, config.log_path)
+    assert rows(logged.select("SRC_OBJECT_NAME", "ACTION")) == [("odd", "ERROR"), ("one", "SUCCESS")]
+
+
+def test_row_listed_twice_loads_once(spark, config, put):
+    put("one", [(1, 1)], "id int, n int")
+    row = ("DB", "LAKE", "MAIN", "one", None, 1, 1, "n", None, None)
+    results = run(spark, config, spark.createDataFrame([row, row], SCHEMA), DAY_1)
+    assert read_bronze(spark, results[0].table).count() == 1
+    assert [r.error is None for r in results] == [True, False]
+
+
+def test_records_are_folded_at_the_end_of_a_run(spark, config, put):
+    put("one", [(1, 1)], "id int, n int")
+    for n in range(20):
+        state.advance(spark, config.state_path, ("a", "b", str(n % 3)), str(n), "int", DAY_1.replace(minute=n))
+    storage.make_dirs(spark, f"{config.state_path}/batch-unfinished")
+    row = ("DB", "LAKE", "MAIN", "one", None, 1, 1, "n", None, None)
+    run(spark, replace(config, compact_after=5), spark.createDataFrame([row], SCHEMA), DAY_2)
+    assert len(storage.children(spark, config.state_path)) == 2
+    latest = state.latest_state(state.read_state(spark, config.state_path))
+    assert rows(latest.where("src_name = 'a'").select("value")) == [("17",), ("18",), ("19",)]

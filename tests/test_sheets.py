@@ -54,8 +54,8 @@ def test_first_days_of_the_date_system():
     assert [found[i][0] for i in (2, 3, 4)] == ["1900-01-01", "1900-02-28", "1900-03-01"]
 
 
-def test_dates_out_of_range_are_blank():
-    assert dict(cells({"S": {1: ["a", "b"], 2: [Date(1e9), 1]}}, "S"))[2] == [None, "1"]
+def test_dates_out_of_range_keep_their_number():
+    assert dict(cells({"S": {1: ["a", "b"], 2: [Date(1e9), 1]}}, "S"))[2] == ["1000000000", "1"]
 
 
 def test_header_names():
