@@ -189,4 +189,4 @@ def overlaps(
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no passage of the benchmark."""
     into = unused(docs, "overlaps")
-    return overlaps(docs, benchmark, text, into).where(F.size(into) == 0).select(*docs.columns)
+    return overlaps(docs, benchmark, text, into).where(F.size(into) == 0).select(*[F.col(f"`{c}`") for c in docs.columns])

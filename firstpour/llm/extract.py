@@ -8,8 +8,8 @@ programming from the leaves up; so nothing is kept inside of what is dropped.
 
 Pages carry no labels. The trees are trained on nodes whose role is plain from their tag or their
 class (a menu, a footer, a paragraph of an article), each once as it is and once with its naming and
-ancestry hidden, so that they also judge nodes that say nothing of themselves. Each page is used once
-more with some of its own text set into a menu, notice, form or the like, inside or beside the
+ancestry hidden, so that they also judge nodes that say nothing of themselves. Each page is used a few
+times more with some of its own text set into a menu, notice, form or the like, inside or beside the
 article, since a site's pages may show few kinds of these. Training takes ``PAGES`` pages at most, those with the smallest hash of their address and text, and ``NODES`` nodes.
 
 Scripts, styles, buttons and the like never count as text. Character references are decoded, white
@@ -78,6 +78,8 @@ FEATURES = (
 ).split()
 #: Features that tell what a node or one above calls itself, hidden in half of the training rows.
 NAMING = [FEATURES.index(f) for f in "article outside header poor rich poor_above rich_above".split()]
+#: Further versions of each page, with text set into surroundings.
+VARIANTS = 3
 #: Surroundings that text is set into for training.
 AROUND = (
     "footer", "aside", "header", "form", 'div class="comments"', 'div id="cookie-notice"', 'div class="sidebar"', 'section class="related"',
@@ -392,12 +394,13 @@ def learn(pages: DataFrame, source: str = "html", pages_at_most: int = PAGES, no
             for rows in slices(batch, "html"):
                 found, roles, keys = [], [], []
                 for text, h in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True):
-                    for page, extra in ((parse(text), 0), (parse(surrounded(text, h)), 2)):
+                    for page, extra in ((parse(text), 0), *((parse(surrounded(text, h + k)), 2) for k in range(VARIANTS))):
                         role = np.array(plain(page))
                         own = described(page)[role >= 0]
                         found.append(own)
                         roles.append(role[role >= 0] + extra)
-                        keys.append(np.int64(h) ^ (np.arange(len(own)) * np.int64(0x5851F42D4C957F2D)))
+                        order = np.random.default_rng([h & 0xFFFFFFFF, len(keys)])
+                        keys.append(order.integers(1 << 62, size=len(own)))
                 flat = np.concatenate(found).astype(np.float32)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(flat.ravel()), len(FEATURES)).cast(pa.list_(pa.float32()))
                 yield pa.RecordBatch.from_arrays([lists, pa.array(np.concatenate(roles).astype(np.int32)), pa.array(np.concatenate(keys))], names=["x", "y", "k"])

@@ -122,4 +122,4 @@ def identified(docs: DataFrame, ranks: Ranks, text: str = "text") -> DataFrame:
     if not ranks.langs:
         return docs
     language, score = unused(docs, "lang_pred"), unused(docs, "score")
-    return identify(docs, ranks, text, language, score).where(F.col(language) != "und").select(*docs.columns)
+    return identify(docs, ranks, text, language, score).where(F.col(language) != "und").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -310,7 +310,7 @@ def redact(docs: DataFrame, model: SpanModel, text: str = "text") -> DataFrame:
         null = rows.column(rows.schema.get_field_index(text)).is_null().to_pylist()
         return {text: [None if gone else masked(t, spans(t, shipped.value)) for t, gone in zip(texts, null, strict=True)]}
 
-    return map_text(docs, text, f"`{text}` string", work).select(*docs.columns)
+    return map_text(docs, text, f"`{text}` string", work).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def masked(text: str, found: list[tuple[str, int, int, bool, float]]) -> str:

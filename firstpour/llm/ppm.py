@@ -36,7 +36,7 @@ from firstpour.llm.tasks import ship, slices
 ORDER = 5
 EDGE = 255  # no byte of UTF-8 text, so it marks both ends
 #: Bytes of text in a block.
-BLOCK_BYTES = 40_000_000
+BLOCK_BYTES = 25_000_000
 #: Bytes of text in a block that are worked on at a time.
 STEP_BYTES = 2_000_000
 
@@ -78,7 +78,7 @@ def counts(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for rows in slices(batch, "text"):
-                texts = [(t or "").encode().lower() for t in rows.column(0).to_pylist()]
+                texts = [(t or b"").lower() for t in rows.column(0).cast(pa.binary()).to_pylist()]
                 learned = rows.column(1).to_pylist()
                 for train in (True, False):
                     own = [t for t, x in zip(texts, learned, strict=True) if x == train]
@@ -199,7 +199,7 @@ def _slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 
 
 def _raw(table: pa.Table) -> list[bytes]:
-    return [(t or "").encode().lower() for t in table.column("text").to_pylist()]
+    return [(t or b"").lower() for t in table.column("text").cast(pa.binary()).to_pylist()]
 
 
 def scored(docs: DataFrame, train: Column, id: str = "doc_id", text: str = "text", folder: str | None = None) -> DataFrame:
@@ -246,6 +246,7 @@ def scored(docs: DataFrame, train: Column, id: str = "doc_id", text: str = "text
         leaves = Leaves(codes[grams], value[grams])
         order = np.argsort(codes[~grams])
         word_codes, word_counts = codes[~grams][order], value[~grams][order]
+        del codes, value, grams, order
         unknown = np.log10(0.5 / below)
         end = np.log10((learned + 0.5) / below)
         seen: dict[bytes, float] = {}

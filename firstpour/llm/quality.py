@@ -24,6 +24,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from firstpour.llm.tasks import unused
+
 #: Labelled rows that learning takes at most; they are also what is broadcast, 24 bytes each.
 SAMPLE = 20_000
 SPACE = r"[\x20\x09-\x0D]+"
@@ -63,7 +65,10 @@ def _repeats(words: Column) -> Column:
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_distinct as long."""
+    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_distinct as long.
+
+    A column of ``docs`` with one of these names is replaced.
+    """
     whole = F.coalesce(F.col(text), F.lit(""))
 
     def numbers(words: Column) -> Column:
@@ -79,23 +84,24 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 
     words = F.array_remove(F.split(whole, SPACE), "")
     with_word = F.filter(F.split(whole, "\n"), lambda line: F.length(F.btrim(line, F.lit(" \t\n\x0b\f\r"))) > 0)
+    by_word, by_line, symbols = unused(docs, "_words"), unused(docs, "_lines"), unused(docs, "_symbols")
     found = docs.select(
         "*",
-        _held(words, numbers).alias("_words"),
-        _held(with_word, lines).alias("_lines"),
-        F.length(F.regexp_replace(whole, r"[^#*$%&|<>]+", "")).alias("_symbols"),
-    )
-    long = lambda c, name: F.col(c).cast("long").alias(name)
-    return found.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        long("_words.n_words", "n_words"),
-        long("_words.word_chars", "word_chars"),
-        long("_symbols", "n_symbols"),
-        long("_lines.n_dup_lines", "n_dup_lines"),
-        long("_words.n_repeat_words", "n_repeat_words"),
-        long("_lines.n_lines", "n_lines"),
-        long("_words.n_distinct", "n_distinct"),
+        _held(words, numbers).alias(by_word),
+        _held(with_word, lines).alias(by_line),
+        F.length(F.regexp_replace(whole, r"[^#*$%&|<>]+", "")).alias(symbols),
     )
+    made = {
+        "n_words": f"{by_word}.n_words",
+        "word_chars": f"{by_word}.word_chars",
+        "n_symbols": symbols,
+        "n_dup_lines": f"{by_line}.n_dup_lines",
+        "n_repeat_words": f"{by_word}.n_repeat_words",
+        "n_lines": f"{by_line}.n_lines",
+        "n_distinct": f"{by_word}.n_distinct",
+    }
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in made]
+    return found.select(*kept, *[F.col(c).cast("long").alias(name) for name, c in made.items()])
 
 
 def statistic(name: str) -> Column:

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from firstpour.functions.text import quoted
+
+
 class _ByValue:
     """Pickles as what it holds, code included."""
 
@@ -64,11 +67,11 @@ def map_text(
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in names]
     target = StructType([df.schema[c] for c in kept] + made.fields)
     arrow = to_arrow_schema(target)
-    fields = [f.name for f in made]
+    fields, names_in = [f.name for f in made], df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch, text):
+            for rows in slices(batch.rename_columns(names_in), text):
                 texts = [t or "" for t in rows.column(rows.schema.get_field_index(text)).to_pylist()]
                 values = work(rows, texts)
                 columns = [rows.column(rows.schema.get_field_index(c)) for c in kept]
@@ -79,7 +82,9 @@ def map_text(
                     [c if c.type == f.type else c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
                 )
 
-    return df.mapInArrow(run, target)
+    # numbered, since mapInArrow takes no names with dots
+    plain = df.select([F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(names_in)])
+    return plain.mapInArrow(run, target)
 
 
 def unused(df: DataFrame, name: str) -> str:

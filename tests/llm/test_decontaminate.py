@@ -1,0 +1,69 @@
+import random
+from itertools import combinations
+
+from firstpour.llm import decontaminate as d
+from firstpour.llm import registry
+from tests.conftest import SF
+from tests.llm.helpers import documents, edges
+
+
+def brute(text, item):
+    a, b = d.tokens(text), d.tokens(item)
+    if len(b) < d.SHORTEST:
+        return False
+    w, least = d.allowed(len(b))
+    return any(
+        sum(x == y for x, y in zip(a[i : i + w], b[j : j + w], strict=True)) >= least for i in range(len(a) - w + 1) for j in range(len(b) - w + 1)
+    )
+
+
+def test_masks_survive_any_two_substitutions():
+    for n, lost in ((13, 2), (12, 1), (7, 1), (6, 0)):
+        for gone in combinations(range(n), lost):
+            assert any(not set(gone) & {o + i for i in m} for m in d.masks(n) for o in range(n - m[-1]))
+
+
+def test_substitutions_by_brute_force():
+    draw, some = random.Random(3), 0
+    for _ in range(150):
+        items = [" ".join(draw.choice("abcdefghij") for _ in range(draw.choice([3, 5, 6, 7, 9, 12, 13, 14, 20, 40]))) for _ in range(4)]
+        docs = []
+        for _ in range(5):
+            text, part = [draw.choice("abcdefghijxyz") for _ in range(draw.randint(0, 40))], draw.choice(items).split()
+            part = part[draw.randint(0, max(0, len(part) - 8)) :]
+            for _ in range(draw.randint(0, 3)):
+                part[draw.randrange(len(part))] = "q"
+            at = draw.randint(0, len(text))
+            docs.append(" ".join(text[:at] + part + text[at:]))
+        seeds = d.Seeds([(i, 0, d.tokens(x), len(d.tokens(x))) for i, x in enumerate(items) if len(d.tokens(x)) >= d.SHORTEST])
+        for text, found in zip(docs, seeds.find(docs), strict=True):
+            for i, item in enumerate(items):
+                some += brute(text, item)
+                assert brute(text, item) == any(o["item_id"] == i for o in found)
+    assert some > 100
+
+
+def test_query_by_brute_force(spark):
+    items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
+    found = {(r["doc_id"], r["item_id"]) for r in registry.op5_decontaminate(spark, SF).collect()}
+    joined = [(i, f" {' '.join(d.tokens(t or ''))} ") for i, t in documents(SF)]
+    whole = {(i, k) for i, t in joined for k, item in items if f" {' '.join(d.tokens(item))} " in t}
+    assert whole <= found and all(brute(dict(documents(SF))[i], dict(items)[k]) for i, k in found)
+
+
+def test_edges_and_blocks(spark, monkeypatch):
+    docs = edges(spark, [(1, None), (2, ""), (3, "one two three four five six seven"), (3, "one two three four five six seven"), (None, "x one Two three four FIVE six seven.")])
+    bench = spark.createDataFrame([(1, "one two three four five six nine", "z"), (1, "one two three four five six nine", "z"), (2, None, "z"), (3, "one two", "z"), (None, "a b c d e f", "z")], "item_id long, text string, overlaps string")
+    for pieces in (d.PIECES, 1):
+        monkeypatch.setattr(d, "PIECES", pieces)
+        assert sorted(len(r["overlaps"]) for r in d.overlaps(docs, bench).collect()) == [0, 0, 1, 1, 1]
+        kept = d.clean(docs, bench)
+        assert kept.columns == docs.columns and kept.count() == 2
+    assert d.clean(docs, bench.limit(0)).count() == 5 and d.clean(docs.limit(0), bench).count() == 0
+
+
+def test_long_items_are_cut(spark):
+    words = [f"w{i}" for i in range(3000)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    docs = spark.createDataFrame([(i, " ".join(words[a : a + 13])) for i, a in enumerate((0, 985, 994, 1980, 2987))], "doc_id long, text string")
+    assert all(len(r["overlaps"]) >= 1 for r in d.overlaps(docs, bench).collect())

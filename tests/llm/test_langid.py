@@ -1,0 +1,46 @@
+from collections import Counter
+
+from firstpour.llm import langid, registry
+from tests.conftest import SF
+from tests.llm.helpers import edges
+
+
+def grams(text):
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    return Counter(f" {w} "[i : i + n] for w in words for n in (1, 2, 3) for i in range(len(w) + 3 - n) if f" {w} "[i : i + n] != " ")
+
+
+def ranked(counts, size=langid.SIZE):
+    code = lambda g: int("".join(f"{ord(c):021b}" for c in g), 2)
+    return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], code(x[0])))][:size]
+
+
+def test_profiles_and_distances_by_brute_force(spark):
+    texts = [("en", "the cat and the hat"), ("en", "that is the end"), ("de", "der Hund und die Katze"), ("de", "das ist das Ende, und?")]
+    ranks = langid.learn(spark.createDataFrame(texts, "lang string, text string"))
+    made = {l: ranked(sum((grams(t) for m, t in texts if m == l), Counter())) for l in ("de", "en")}
+    for text in ("the end of the cat", "und das Ende", "xyz", "½ a", "Ça va"):
+        own = ranked(grams(text))
+        apart = {l: sum(abs(made[l].index(g) - i) if g in made[l] else langid.SIZE for i, g in enumerate(own)) for l in made}
+        best = min(sorted(apart), key=apart.get)
+        language, score = ranks.nearest(text)
+        assert language == best and abs(score - (1 - apart[best] / (langid.SIZE * len(own)))) < 1e-12
+
+
+def test_held_out_accuracy(spark):
+    docs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang").collect()}
+    rows = registry.op4_langid(spark, SF).collect()
+    assert len(rows) == len(docs) and all(0 <= r["score"] <= 1 for r in rows)
+    held = [r["lang_pred"] == docs[r["doc_id"]] for r in rows if r["held_out"]]
+    assert sum(held) / len(held) > 0.97
+
+
+def test_edges(spark):
+    docs = edges(spark)
+    ranks = langid.learn(docs)
+    rows = langid.identify(docs, ranks).collect()
+    assert {r["doc_id"] for r in rows if r["lang_pred"] == "und"} == {1, 2, 3, 7, 10}
+    assert langid.identified(docs, ranks).count() == 7 and langid.identified(docs, ranks).columns == docs.columns
+    nothing = langid.learn(docs.limit(0))
+    assert langid.identified(docs, nothing).count() == 12
+    assert langid.identify(docs, nothing).where("lang_pred <> 'und'").count() == 0

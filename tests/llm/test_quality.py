@@ -1,0 +1,60 @@
+import re
+from collections import Counter
+
+import numpy as np
+
+from firstpour.llm import quality, registry
+from tests.conftest import SF
+from tests.llm.helpers import EDGES, documents, edges
+
+NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = list(zip(words, words[1:], words[2:], strict=False))
+    times, covered = Counter(windows), set()
+    for i, w in enumerate(windows):
+        if times[w] > 1:
+            covered |= {i, i + 1, i + 2}
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered))
+
+
+def test_query_by_brute_force(spark):
+    found = {r["doc_id"]: r for r in registry.op3_quality(spark, SF).collect()}
+    for i, text in documents(SF):
+        own, row = brute(text), found[i]
+        assert tuple(row[n] for n in NAMES) == own
+        assert row["base_failed"] == (own[0] < 50 or 100 * own[4] > 50 * own[0])
+        assert not (row["base_failed"] and row["kept"])
+
+
+def test_edges(spark):
+    texts = [t for _, t in EDGES] + ["a b c a b c", "x y x y x y x", "l 1\nl 1\n\n \nl 1", "a b c d"]
+    docs = edges(spark, list(enumerate(texts)))
+    rows = quality.judged(docs, []).collect()
+    assert [tuple(r[n] for n in NAMES) for r in sorted(rows, key=lambda r: r["doc_id"])] == [brute(t) for t in texts]
+    assert quality.judged(docs.limit(0), []).count() == 0
+    labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, quality int")
+    assert quality.learn(docs, labels) == [] and quality.learn(docs, labels.limit(0)) == []
+
+
+def test_covering_finds_planted_rules_in_order(spark):
+    draw = np.random.default_rng(4)
+    rows = draw.random((3000, len(quality.STATISTICS)))
+    bad = (rows[:, 2] > 0.8) | (rows[:, 5] <= 0.2) & (rows[:, 4] > 0.5)
+    rules = quality.cover(rows, bad)
+    assert 1 < len(rules) < 8
+    hit = np.zeros(len(rows), bool)
+    for rule in rules:
+        hit |= rule.covers(rows)
+    assert (hit == bad).mean() > 0.97
+    verdict = spark.sql("SELECT 100 AS n_words, 500 AS word_chars, 90 AS n_symbols, 0 AS n_dup_lines, 1 AS n_lines, 0 AS n_repeat_words, 90 AS n_distinct")
+    assert verdict.select(quality.verdict([quality.Rule((("symbols_per_word", True, 0.5),))])).first()[0] is False
+
+
+def test_main_path_is_native(spark):
+    plan = quality.judged(edges(spark), [])._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
