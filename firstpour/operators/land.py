@@ -153,34 +153,25 @@ def land_incremental(
     batch = observed(options.prepare(plain), observation, criteria)
     days = {name: F.lit(value) for name, value in partition_values(run_ts).items()}
     path = increments(folder)
-    before = _files_of(df.sparkSession, path, run_ts)
+    day = "/".join([path, *(f"{name}={value}" for name, value in partition_values(run_ts).items())])
+    before = storage.children(df.sparkSession, day)
     # What a killed driver's job left here would be committed along with this one.
     storage.delete(df.sparkSession, f"{path}/_temporary")
     options.writer(batch.withColumns(days)).mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
 
     def landed() -> DataFrame:
         spark = df.sparkSession
-        day = "/".join([path, *(f"{name}={value}" for name, value in partition_values(run_ts).items())])
         if not storage.exists(spark, day):
             return spark.createDataFrame([], batch.schema)
         mine = F.col("fetch_date") == F.lit(in_utc(run_ts))
         written = spark.read.schema(batch.schema).parquet(day).where(mine)
         # Another source of the same table may have landed at the same run time: not its files.
-        return written.where(~F.col("_metadata.file_path").isin(before)) if before else written
+        return written.where(~F.col("_metadata.file_name").isin(before)) if before else written
 
     rows, high = batch_metrics(observation, landed, criteria)
     return Landed(path, rows, high, batch.schema)
 
 
-def _files_of(spark, path: str, run_ts: datetime) -> list[str]:
-    """Files of the run's day that carry its stamp already, from a source that shares the table."""
-    day = "/".join([path, *(f"{name}={value}" for name, value in partition_values(run_ts).items())])
-    if not storage.exists(spark, day):
-        return []
-    stamped = spark.read.schema("fetch_date timestamp").parquet(day).where(F.col("fetch_date") == F.lit(in_utc(run_ts)))
-    return [r[0] for r in stamped.select("_metadata.file_path").distinct().collect()]
-
-
 def drop_other_runs(spark, landed_path: str) -> None:
     """Remove the same day's earlier snapshots; other days' stay."""
     day, _, run = landed_path.rpartition("/")
