@@ -531,19 +531,20 @@ def full_load_with_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MANIFEST_ROWS = [
     # type, name, origin, object, constraint, active, incremental, criteria, last update
-    ("DB", "SRC", "MAIN", "nation", None, 1, 0, None, None),
+    ("DB", "SRC", "MAIN", "nation", None, 1, "0", None, None),
     ("DB", "SRC", "MAIN", "supplier", "WHERE s_acctbal >= 0", 1, None, None, None),
-    ("DB", "SRC", "MAIN", "customer", None, 1, 0, None, None),
-    ("DB", "SRC", "MAIN", "orders", "WHERE o_orderstatus = 'F' OR o_orderstatus = 'O'", 1, 1, "o_orderdate", "1998-01-01 00:00:00"),
-    ("DB", "SRC", "MAIN", "lineitem", None, 1, 1, "l_shipdate", None),
-    ("DB", "SRC", "MAIN", "events", None, 1, 1, "ts", "2024-01-15 00:00:00"),
-    ("DB", "SRC", "MAIN", "part", None, 0, 0, None, None),
-    ("DB", "SRC", "MAIN", "documents", "WHERE n_chars < 0", 1, 0, None, None),
-    ("FILE", "CSV", "MAIN", "pages", None, 1, 0, None, None),
+    ("DB", "SRC", "MAIN", "customer", None, 1, "0", None, None),
+    ("DB", "SRC", "MAIN", "orders", "WHERE o_orderstatus = 'F' OR o_orderstatus = 'O'", 1, "1", "o_orderdate", "1998-01-01 00:00:00"),
+    ("DB", "SRC", "MAIN", "lineitem", None, 1, "1", "l_shipdate", None),
+    ("DB", "SRC", "MAIN", "events", None, 1, "1", "ts", "2024-01-15 00:00:00"),
+    ("DB", "SRC", "MAIN", "part", None, 0, "0", None, None),
+    ("DB", "SRC", "MAIN", "documents", "WHERE n_chars < 0", 1, "0", None, None),
+    ("DB", "SRC", "MAIN", "region", None, 1, "Y", None, None),
+    ("FILE", "CSV", "MAIN", "pages", None, 1, "0", None, None),
 ]
 MANIFEST_SCHEMA = (
     "SRC_TYPE string, SRC_NAME string, SRC_ORIGIN_NAME string, SRC_OBJECT_NAME string, "
-    "SRC_OBJECT_CONSTRAINT string, SRC_FLAG_ACTIV int, SRC_FLAG_INCR int, SRC_DATE_CRITERIA string, "
+    "SRC_OBJECT_CONSTRAINT string, SRC_FLAG_ACTIV int, SRC_FLAG_INCR string, SRC_DATE_CRITERIA string, "
     "SRC_DATE_LASTUPDATE string"
 )
 
@@ -759,6 +760,7 @@ def oracle_sql() -> dict[str, str]:
                 logged("events", "ts > TIMESTAMP '2024-01-15 00:00:00'", " WHERE ts > '2024-01-15 00:00:00'"),
                 log_row.format("SRC", "documents", "DB", "WARNING", "CAST(0 AS BIGINT)", "SELECT * FROM MAIN.documents WHERE (n_chars < 0)", none),
                 log_row.format("SRC", "documents", "DB", "SUCCESS", "CAST(0 AS BIGINT)", "SELECT * FROM MAIN.documents WHERE (n_chars < 0)", none),
+                log_row.format("SRC", "region", "DB", "ERROR", "CAST(0 AS BIGINT)", "SELECT * FROM MAIN.region", "'ValueError'"),
                 log_row.format("CSV", "pages", "FILE", "ERROR", "CAST(0 AS BIGINT)", "SELECT * FROM MAIN [pages]", "'ValueError'"),
             ]
         ),
