@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from firstpour.llm.tasks import map_text, ship
 
-#: Words whose tokens a task remembers; beyond it the memory is emptied, results stay the same.
-REMEMBERED = 500_000
+#: Words, parts and pairs of tokens whose results a task remembers; beyond it the memory is emptied, results stay the same.
+REMEMBERED = 250_000
 #: What Unicode calls white space, the runs that the normaliser turns into a blank.
 SPACE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
@@ -92,7 +92,7 @@ class WordBpe:
         self.automaton.make_automaton()
         self.longest = max(map(len, self.symbol.values()))
         self.paths: dict[str, list[tuple[int, int]]] = {}
-        self.compatible: dict[tuple[int, int], bool] = {}
+        self.compatible: dict[int, bool] = {}
         added = sorted((t["content"] for t in self._file.get("added_tokens", [])), key=len, reverse=True)
         self.added = {t["content"]: t["id"] for t in self._file.get("added_tokens", [])}
         self.special = regex.compile("(" + "|".join(map(regex.escape, added)) + ")") if added else None
@@ -103,6 +103,7 @@ class WordBpe:
         texts = [(" " + names.get(i, "")).encode() for i in range(max(names) + 1)]
         self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
         self.blob = np.frombuffer(b"".join(texts), np.uint8)
+        self.__dict__.pop("_file")  # as long as what was built of it
 
     def _stay_apart(self, left: int, right: int) -> bool:
         """Whether two tokens side by side would both come out of the merges whole.
@@ -159,13 +160,20 @@ class WordBpe:
         return tokens
 
     def _fits(self, left: int, right: int) -> bool:
-        known = self.compatible.get((left, right))
+        pair = left << 32 | right
+        known = self.compatible.get(pair)
         if known is None:
-            if len(self.compatible) > 1_000_000:
+            if len(self.compatible) > REMEMBERED:
                 self.compatible.clear()
-            known = self.compatible[left, right] = self._stay_apart(left, right)
+            known = self.compatible[pair] = self._stay_apart(left, right)
         return known
 
+    def forget(self) -> None:
+        """Give up what was remembered of texts; results stay the same."""
+        self._built  # noqa: B018
+        for memory in (self.words, self.parts, self.compatible):
+            memory.clear()
+
     def _chunk(self, chunk: str) -> bytes:
         """Token ids, as 32-bit integers, of text without white space."""
         ids: list[bytes] = []
@@ -243,7 +251,7 @@ def encode(docs: DataFrame, bpe: WordBpe, text: str = "text", ids: str = "ids",
         return made
 
     fields = f"`{ids}` array<int>" + (f", `{decoded}` string" if decoded else "")
-    return map_text(docs, text, fields, work, keep)
+    return map_text(docs, text, fields, work, keep, lambda: shipped.value.forget())
 
 
 def decode(tokens: DataFrame, bpe: WordBpe, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

@@ -40,7 +40,7 @@ MINIMA = 240
 #: Rows of a bucket that a task compares at a time.
 BLOCK = 512
 #: Words whose hashes a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 
 
 def banding(percent: int, minima: int = MINIMA) -> tuple[int, int]:

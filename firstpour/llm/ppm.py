@@ -77,7 +77,7 @@ def counts(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], names=["code", "n"])
 
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", 8_000_000):
                 texts = [(t or b"").lower() for t in rows.column(0).cast(pa.binary()).to_pylist()]
                 learned = rows.column(1).to_pylist()
                 for train in (True, False):

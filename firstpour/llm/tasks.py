@@ -32,7 +32,7 @@ def ship(df: DataFrame, model: object) -> Broadcast:
 
 
 #: Characters of text that a task works on at a time, whatever the size of Arrow's batches.
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 2_000_000
 
 
 def remainder(id_column: str | Column, modulus: int) -> Column:
@@ -55,12 +55,14 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_CHARS) -> Iterat
 
 
 def map_text(
-    df: DataFrame, text: str, schema: str, work: Callable[[pa.RecordBatch, list[str]], dict[str, object]], keep: list[str] | None = None
-) -> DataFrame:
+    df: DataFrame, text: str, schema: str, work: Callable[[pa.RecordBatch, list[str]], dict[str, object]], keep: list[str] | None = None,
+    after: Callable[[], None] | None = None,
+) -> DataFrame:
     """Rows with what ``work`` makes of their texts (null: empty), run slice by slice inside tasks.
 
     ``work`` gets the rows and their texts and returns a value per row for each field of ``schema``.
-    The columns ``keep``, by default all of ``df``, stay; one of the same name is replaced.
+    The columns ``keep``, by default all of ``df``, stay; one of the same name is replaced. ``after``
+    runs at a task's end, to give up what the next task on the worker should not find in memory.
     """
     made: StructType = _parse_datatype_string(schema)
     names = {f.name.lower() for f in made}
@@ -81,6 +83,9 @@ def map_text(
                 yield pa.RecordBatch.from_arrays(
                     [c if c.type == f.type else c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow
                 )
+        if after:
+            after()
+        pa.default_memory_pool().release_unused()
 
     # numbered, since mapInArrow takes no names with dots
     plain = df.select([F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(names_in)])
