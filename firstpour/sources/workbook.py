@@ -200,11 +200,12 @@ def header_names(cells: list[str | None], width: int) -> list[str]:
     return names
 
 
-def table_rows(content: bytes, sheet: str, skip: int) -> Iterator[tuple[int, list[str | None]]]:
+def table_rows(content: bytes | Workbook, sheet: str, skip: int) -> Iterator[tuple[int, list[str | None]]]:
     """Header row, then data rows. Blank rows between data rows come out empty; those after the
     last do not come out."""
     next_row = skip + 1
-    for number, cells in Workbook(content).rows(sheet):
+    book = content if isinstance(content, Workbook) else Workbook(content)
+    for number, cells in book.rows(sheet):
         if number <= skip or not any(c is not None for c in cells):
             continue
         while next_row < number:
@@ -216,5 +217,6 @@ def table_rows(content: bytes, sheet: str, skip: int) -> Iterator[tuple[int, lis
 
 def sheet_header(content: bytes, sheet: str, skip: int) -> list[str]:
     """Names of all columns, as many as the widest row has."""
-    number, header = next(table_rows(content, sheet, skip), (0, []))
-    return header_names(header if number == skip + 1 else [], Workbook(content).width(sheet, skip))
+    book = Workbook(content)
+    number, header = next(table_rows(book, sheet, skip), (0, []))
+    return header_names(header if number == skip + 1 else [], book.width(sheet, skip))
