@@ -38,10 +38,31 @@ def advance(
     append_records(make_records(spark, SCHEMA, [(*key, value, type, in_utc(updated_at))]), path)
 
 
-def compact_state(spark: SparkSession, path: str) -> None:
+def compact_begun(spark: SparkSession, begun_path: str, state_path: str) -> None:
+    """Fold the records of begun loads into one file, without those of loads that finished. To be done
+    before the state is folded, so that little of it has to stay."""
+
+    def fold(begun: DataFrame) -> DataFrame:
+        done = read_state(spark, state_path).select(*KEY, "updated_at").distinct()
+        return begun.distinct().join(done, [*KEY, "updated_at"], "left_anti").select(*begun.columns)
+
+    compact_records(spark, begun_path, SCHEMA, fold)
+
+
+def compact_state(spark: SparkSession, path: str, begun_path: str | None = None) -> None:
     """Fold the records written so far into one file. Seeing old and new ones meanwhile does no
-    harm, since the latest record is the same."""
-    compact_records(spark, path, SCHEMA, latest_state)
+    harm, since the latest record is the same. Records at a time at which a load still noted in
+    ``begun_path`` began stay too: without them it, or one it shared a table with, would seem
+    ``unfinished``."""
+
+    def fold(records: DataFrame) -> DataFrame:
+        latest = latest_state(records)
+        if begun_path is None:
+            return latest
+        begun = read_state(spark, begun_path).select("updated_at").distinct()
+        return latest.union(records.join(begun, "updated_at", "left_semi").select(*latest.columns)).distinct()
+
+    compact_records(spark, path, SCHEMA, fold)
 
 
 def unfinished(spark: SparkSession, begun_path: str, state_path: str, mine: Column) -> list[datetime]:

@@ -109,11 +109,10 @@ def run(
 
 def compact(spark: SparkSession, config: BronzeConfig, least: int = 2) -> None:
     """Fold the state and log records of past loads into one file each, where there are at least
-    ``least`` folders; run while no other driver is loading."""
-    for path, fold in (
-        (config.state_path, state.compact_state),
-        (config.begun_path, state.compact_state),
-        (config.log_path, load_log.compact_log),
-    ):
-        if len(storage.children(spark, path)) >= least:
-            fold(spark, path)
+    ``least`` folders; run while no other driver is loading. State and begun loads are folded
+    together, as a begun load is told to have finished by its state record."""
+    if any(len(storage.children(spark, path)) >= least for path in (config.begun_path, config.state_path)):
+        state.compact_begun(spark, config.begun_path, config.state_path)
+        state.compact_state(spark, config.state_path, config.begun_path)
+    if len(storage.children(spark, config.log_path)) >= least:
+        load_log.compact_log(spark, config.log_path)

@@ -2,12 +2,13 @@ from dataclasses import replace
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from firstpour import run, storage
 from firstpour.operators import load_log, state
 from firstpour.plans.run import compact, plan
 from firstpour.sources import active_sources, read_bronze
-from tests.conftest import DAY_1, DAY_2, rows
+from tests.conftest import DAY_1, DAY_2, DAY_3, rows
 
 SCHEMA = (
     "SRC_TYPE string, SRC_NAME string, SRC_ORIGIN_NAME string, SRC_OBJECT_NAME string, "
@@ -129,3 +130,41 @@ def test_records_are_folded_at_the_end_of_a_run(spark, config, put):
     assert len(storage.children(spark, config.state_path)) == 2
     latest = state.latest_state(state.read_state(spark, config.state_path))
     assert rows(latest.where("src_name = 'a'").select("value")) == [("17",), ("18",), ("19",)]
+
+
+@pytest.mark.parametrize("reconcile", [False, True])
+def test_folding_does_not_undo_finished_loads(spark, config, put, reconcile):
+    """Of two sources sharing a table the second one's first load fails; its time is that of the other's."""
+    config = replace(config, reconcile=reconcile)
+    row = ("DB", "LAKE", "MAIN", "a b", None, 1, 1, "n", None, None)
+    manifest = spark.createDataFrame([row, (*row[:3], "a_b", *row[4:])], SCHEMA)
+    put("a b", [(1, 1)], "id int, n int")
+    put("a_b", [(5, 5)], "id int, n int")
+    broken = manifest.withColumn("SRC_DATE_CRITERIA", F.expr("if(SRC_OBJECT_NAME = 'a_b', 'raise_error(id)', 'n')"))
+    assert [r.error is None for r in run(spark, config, broken, DAY_1)] == [True, False]
+    put("a b", [(1, 1), (2, 2)], "id int, n int")
+    results = run(spark, config, manifest, DAY_2)
+    assert [r.error for r in results] == [None, None]
+    sharing = F.col("src_name") == "LAKE"
+    before = state.unfinished(spark, config.begun_path, config.state_path, sharing)
+    compact(spark, config)
+    assert state.unfinished(spark, config.begun_path, config.state_path, sharing) == before
+    put("a b", [(1, 1), (2, 2), (3, 3)], "id int, n int")
+    results = run(spark, replace(config, reconcile=True), manifest, DAY_3)
+    assert [r.error for r in results] == [None, None]
+    assert rows(read_bronze(spark, results[0].table).select("id")) == [(1,), (2,), (3,), (5,)]
+
+
+def test_folding_keeps_what_was_begun_and_not_finished(spark, config):
+    """Whichever of the two folders is large enough to be folded."""
+    for n, (begun, done) in enumerate([(True, False), (True, True), (True, True), (False, True)]):
+        for path, wanted in ((config.begun_path, begun), (config.state_path, done)):
+            if wanted:
+                state.advance(spark, path, ("LAKE", "MAIN", "one"), str(n), "int", DAY_1.replace(minute=n))
+    everyone = F.lit(True)
+    for _ in range(2):
+        assert state.unfinished(spark, config.begun_path, config.state_path, everyone) == [DAY_1.replace(minute=0)]
+        compact(spark, config, 3)
+    assert [len(storage.children(spark, p)) for p in (config.begun_path, config.state_path)] == [1, 1]
+    assert state.read_state(spark, config.begun_path).count() == 1
+    assert rows(state.latest_state(state.read_state(spark, config.state_path)).select("value")) == [("3",)]
