@@ -13,7 +13,7 @@ times more with some of its own text set into a menu, notice, form or the like,
 article, since a site's pages may show few kinds of these. Training takes ``PAGES`` pages at most, those with the smallest hash of their address and text, and ``NODES`` nodes.
 
 Scripts, styles, buttons and the like never count as text. Character references are decoded, white
-space inside a block becomes one blank, blocks are joined by a line end. Null and empty pages have
+space inside a block becomes one blank, a head whose end tag is left out ends where it must, blocks are joined by a line end. Null and empty pages have
 empty text. Whole pages are read. Rows are independent of each other but for training; repeated rows
 get repeated results, an empty table gives none, and without nodes to train on the plain roles decide.
 Other columns stay as they are.
@@ -39,10 +39,12 @@ PAGES, NODES = 800, 30_000
 TAG = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>?)")
 NAMED = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PART = re.compile(r"[a-z]+|[0-9]+")
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+VOID = frozenset("area base basefont bgsound br col embed hr img input link meta source track wbr".split())
 #: Elements whose content is not markup, and elements that hold no text of the page.
 RAW = frozenset("script style textarea title xmp noembed noframes plaintext".split())
 MUTE = RAW | frozenset("head noscript template iframe svg math object select button datalist canvas audio video map dialog".split())
+#: What a head may hold; anything else ends it, as its end tag may be left out.
+HEAD = frozenset("head base basefont bgsound link meta title noscript noframes style script template".split())
 BLOCK = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody tfoot tr td th "
     "blockquote pre figure figcaption address details summary header footer nav aside form fieldset legend hgroup center".split()
@@ -138,6 +140,8 @@ def parse(source: str) -> Page:
         upto = opening if opening >= 0 else size
         if opening >= 0 and m is None:
             upto = opening + 1  # a lone bracket is text
+        if stack[-1][0] == "head" and source[at:upto].strip():
+            pop()
         if upto > at and not mute:
             piece = source[at:upto]
             if "&" in piece:
@@ -163,6 +167,11 @@ def parse(source: str) -> Page:
                     pop()
                 pop()
             continue
+        if stack[-1][0] == "head" and tag not in HEAD and tag != "html":
+            pop()
+        elif tag == "body" and any(t == "head" for t, _ in stack) and all(t != "template" for t, _ in stack):
+            while any(t == "head" for t, _ in stack):
+                pop()
         if tag == "br" or tag == "hr":
             if not mute:
                 held.append(" ")

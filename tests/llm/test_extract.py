@@ -76,6 +76,18 @@ def test_nothing_is_kept_inside_of_what_is_dropped():
                     assert value(other) <= value(kept) + 1e-9
 
 
+@pytest.mark.parametrize("start", ["<body class=x>", "", "Lone text. ", "<noscript><link></noscript><body>", "<noscript><meta><body>", "<bgsound src=x>"])
+def test_head_without_an_end_tag(start):
+    """As with one, but for what is in ``start`` itself."""
+    head = "<!doctype html><html><head>\n<meta charset=utf-8><title>No</title><style>no</style><script>no</script><link rel=x>\n"
+    page = e.parse(f"{head}{start}<main><article><h1>Title</h1>{PARAGRAPHS}</article></main>")
+    assert [t for _, t, _ in page.runs] == [*["Lone text."] * ("Lone" in start), "Title", *TEXT]
+    closed = e.parse(f"{head}</head><body><article><p>{LINE}</article>")
+    assert [t for _, t, _ in closed.runs] == [LINE]
+    hidden = e.parse(f"{head}<noscript><p>no</p></noscript><template><body><p>no</template></head><body><p>yes")
+    assert [t for _, t, _ in hidden.runs] == ["yes"]
+
+
 def test_boosting_learns_a_threshold_pair():
     draw = np.random.default_rng(5)
     x = draw.random((4000, 3)).astype(np.float32)
