@@ -239,8 +239,10 @@ def described(page: Page) -> np.ndarray:
     paragraphs = [int(x.tag == "p") for x in page.nodes]
     tags, links, text = page.tags[:], page.links[:], own[:]
     children: list[list[int]] = [[] for _ in range(n)]
+    after = [0] * n  # siblings that follow
     for i in range(n - 1, 0, -1):  # children come after their parents
         p = parents[i]
+        after[i] = len(children[p])
         children[p].append(i)
         for sums in (text, blocks, words, stops, digits, linked, paragraphs, tags, links):
             sums[p] += sums[i]
@@ -253,8 +255,8 @@ def described(page: Page) -> np.ndarray:
             p = parents[i]
             up = page.nodes[p]
             above[i] = (above[p][0] or up.poor or up.tag in OUTSIDE, above[p][1] or up.rich or up.tag in INSIDE)
-            brothers = children[p]
-            count, place = len(brothers), len(brothers) - 1 - brothers.index(i) if len(brothers) < 64 else 0
+            count = len(children[p])
+            place = count - 1 - after[i]
         else:
             count, place = 1, 0
         size = text[i]

@@ -88,6 +88,12 @@ def test_head_without_an_end_tag(start):
     assert [t for _, t, _ in hidden.runs] == ["yes"]
 
 
+@pytest.mark.parametrize("count", [1, 63, 64, 500])
+def test_place_among_siblings(count):
+    rows = e.described(e.parse("<article>" + "<p>x</p>" * count + "</article>"))
+    assert np.allclose(rows[-count:, e.FEATURES.index("place")], np.arange(1, count + 1) / count)
+
+
 def test_boosting_learns_a_threshold_pair():
     draw = np.random.default_rng(5)
     x = draw.random((4000, 3)).astype(np.float32)
