@@ -10,7 +10,9 @@ Pages carry no labels. The trees are trained on nodes whose role is plain from t
 class (a menu, a footer, a paragraph of an article), each once as it is and once with its naming and
 ancestry hidden, so that they also judge nodes that say nothing of themselves. Each page is used a few
 times more with some of its own text set into a menu, notice, form or the like, inside or beside the
-article, since a site's pages may show few kinds of these. Training takes ``PAGES`` pages at most, those with the smallest hash of their address and text, and ``NODES`` nodes.
+article, since a site's pages may show few kinds of these. Training takes
+``PAGES`` different pages at most, those with the smallest hash, each once however often it occurs, and
+``NODES`` nodes.
 
 Scripts, styles, buttons and the like never count as text. Character references are decoded, white
 space inside a block becomes one blank, a head whose end tag is left out ends where it must, blocks are joined by a line end. Null and empty pages have
@@ -395,10 +397,16 @@ def surrounded(source: str, seed: int) -> str:
     return source
 
 
+def sample(pages: DataFrame, source: str, at_most: int) -> DataFrame:
+    """Different pages with the smallest hashes, in their order. Only hashes are compared over all pages."""
+    hashed = pages.select(F.col(source).alias("html")).where("html is not null").withColumn("h", F.xxhash64("html"))
+    smallest = hashed.select("h").distinct().orderBy("h").limit(at_most)
+    return hashed.join(F.broadcast(smallest), "h", "left_semi").select("html", "h").distinct().orderBy("h", "html").limit(at_most)
+
+
 def learn(pages: DataFrame, source: str = "html", pages_at_most: int = PAGES, nodes_at_most: int = NODES) -> Trees | None:
     """Trees from the nodes of a sample of pages whose role is plain; none without nodes of both kinds."""
-    picked = pages.select(F.col(source).alias("html")).where("html is not null")
-    picked = picked.select("html", F.xxhash64("html").alias("h")).orderBy("h").limit(pages_at_most)
+    picked = sample(pages, source, pages_at_most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -101,6 +101,13 @@ def test_boosting_learns_a_threshold_pair():
     assert ((e.Trees().fit(x[:3000], y[:3000]).probability(x[3000:]) > 0.5) == y[3000:]).mean() > 0.97
 
 
+def test_copies_of_a_page_train_once(spark):
+    pages = spark.createDataFrame([(f"<p>{n % 6}</p>" if n % 7 else None,) for n in range(200)], "html string")
+    picked = [r["html"] for r in e.sample(pages, "html", 5).collect()]
+    assert len(picked) == len(set(picked)) == 5
+    assert len(e.sample(pages, "html", 50).collect()) == 6
+
+
 def test_edges(spark, trees):
     odd = ["<", "<p", "<p <b>x", "</p></div>", "<!-- open", "<script>never closed", "<a href='x>y", "<p>" * 3000 + "deep", "<div>" * 3000 + "x", "plain text"]
     pages = edges(spark, [(n, t) for n, t in enumerate([None, "", *odd, odd[0]])])
