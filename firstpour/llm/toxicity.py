@@ -1,6 +1,6 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A text is read in overlapping windows of 16 words, a new one every 8. A word comes in two ways: as a
+A text is read in overlapping windows of 16 words, one from every word on. A word comes in two ways: as a
 word, by how much oftener toxic training texts have it and by a learned vector, and as characters, by
 the same odds of its character n-grams. The network reads a window both ways; attention weighs its
 words, and a linear layer gives the window's logit. A text's score comes from its highest window and
@@ -36,7 +36,9 @@ from firstpour.llm.tasks import map_text, ship, slices
 
 #: Labelled texts that training takes at most, and features whose odds are kept.
 SAMPLE, KEPT = 4000, 20_000
-WINDOW, STRIDE = 16, 8
+WINDOW = 16
+#: Words from one window to the next of those that training examples are picked of; scoring takes all.
+STRIDE = 8
 HIDDEN, VECTOR = 8, 4
 NGRAMS = (4, 5, 6)
 #: Words a task remembers, and windows it scores at a time.
@@ -227,13 +229,13 @@ class Scorer:
         rows = self._rows([words(t) for t in texts])
         inputs = np.array(self._table["inputs"], np.float32)
         gates = [g.astype(np.float32) for g in self.network.projected(inputs[:, :4], inputs[:, 4].astype(int))]
-        counts = [1 + max(0, -(-(len(r) - WINDOW) // STRIDE)) for r in rows]
-        flat = np.zeros(sum((n - 1) * STRIDE + WINDOW for n in counts), np.int32)
+        counts = [1 + max(0, len(r) - WINDOW) for r in rows]
+        flat = np.zeros(sum(n - 1 + WINDOW for n in counts), np.int32)
         starts, at = [], 0
         for r, n in zip(rows, counts, strict=True):
             flat[at : at + len(r)] = r
-            starts.append(at + STRIDE * np.arange(n))
-            at += (n - 1) * STRIDE + WINDOW
+            starts.append(at + np.arange(n))
+            at += n - 1 + WINDOW
         begin = np.concatenate(starts) if starts else np.empty(0, int)
         logits = np.empty(len(begin), np.float32)
         for i in range(0, len(begin), BATCH):

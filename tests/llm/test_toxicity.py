@@ -62,6 +62,17 @@ def test_held_out_texts(spark):
     assert scorer.score([f"{long} scumbag scumbag"])[0] > scorer.score([long])[0]
 
 
+def test_every_window_is_scored():
+    draw = random.Random(4)
+    inputs = t.Inputs({w: (draw.randint(0, 50), draw.randint(0, 50)) for w in CLEAN}, {}, 50, 50)
+    scorer = t.Scorer(inputs, t.Network(len(CLEAN)))
+    for size in (0, 1, 15, 16, 17, 23, 24, 25, 90):
+        own = [draw.choice(CLEAN) for _ in range(size)]
+        parts = [" ".join(own[k : k + t.WINDOW]) for k in range(max(1, size - t.WINDOW + 1))]
+        top, n = scorer.peaks([" ".join(own)])[0]
+        assert n == len(parts) and np.isclose(top, max(x for x, _ in scorer.peaks(parts)), atol=1e-5)
+
+
 def test_edges(spark):
     docs = edges(spark)
     none = t.learn(docs, spark.createDataFrame([(4, None), (None, 1)], "doc_id long, toxic int"))
