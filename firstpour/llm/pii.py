@@ -112,9 +112,10 @@ def proposals(text: str) -> list[tuple[str, int, int]]:
         return found
     for at in _at_signs(text):
         start, end = at, at + 1
-        while start and text[start - 1] not in BREAKS and at - start < 64:
+        # From break to break, however long; an @ is one too, so each character is seen twice at most.
+        while start and text[start - 1] not in BREAKS:
             start -= 1
-        while end < len(text) and text[end] not in BREAKS and end - at < 254:
+        while end < len(text) and text[end] not in BREAKS:
             end += 1
         if start < at and end > at + 1:
             found.append(("email", start, end))

@@ -41,6 +41,13 @@ def test_long_runs_take_linear_time():
         pii.spans(text, pii.SpanModel())
 
 
+def test_proposed_emails_reach_from_break_to_break():
+    local, domain = "é" * 5000, "ü" * 5000 + ".org"
+    assert pii.proposals(f"to <{local}@{domain}>, now") == [("email", 4, 4 + len(local) + 1 + len(domain))]
+    text = "é" * 200_000 + "@" + "é@" * 200_000
+    assert len(pii.proposals(text)) == 200_000
+
+
 def test_query_by_brute_force(spark):
     found = {r["doc_id"]: r for r in registry.op7_pii(spark, SF).collect()}
     for i, text in documents(SF):
