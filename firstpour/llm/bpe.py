@@ -90,8 +90,7 @@ class WordBpe:
         for token, symbols in self.symbol.items():
             self.automaton.add_word(symbols, (len(symbols), token))
         self.automaton.make_automaton()
-        self.longest = max(map(len, self.symbol.values()))
-        self.paths: dict[str, list[tuple[int, int]]] = {}
+        self.starts: dict[int, list[tuple[int, int]]] = {}
         self.compatible: dict[int, bool] = {}
         added = sorted((t["content"] for t in self._file.get("added_tokens", [])), key=len, reverse=True)
         self.added = {t["content"]: t["id"] for t in self._file.get("added_tokens", [])}
@@ -124,21 +123,28 @@ class WordBpe:
             else:
                 end, q = made_q[0] + 1, made_q[1]
 
-    def _matches(self, symbols: str) -> list[tuple[int, int]]:
-        """Tokens that a text starts with, shortest first: (symbols, token)."""
-        path = symbols[: self.automaton.longest_prefix(symbols)]
-        found = self.paths.get(path)
+    def _matches(self, symbols: str) -> array:
+        """The longest token that starts at each place of a word, or -1, from one pass of the automaton
+        over it. Every other match there is one of the token's ``_starts``."""
+        longest = array("i", [-1]) * len(symbols)
+        for end, (size, token) in self.automaton.iter(symbols):
+            longest[end - size + 1] = token  # a place's matches come by their ends, the longest last
+        return longest
+
+    def _starts(self, token: int) -> list[tuple[int, int]]:
+        """Tokens that a token starts with, itself included, shortest first: (symbols, token)."""
+        found = self.starts.get(token)
         if found is None:
-            found = self.paths[path] = [
-                self.automaton.get(path[:n]) for n in range(1, len(path) + 1) if self.automaton.exists(path[:n])
-            ]
+            matches = self.automaton.iter(self.symbol[token]) if token >= 0 else ()
+            found = self.starts[token] = [match for end, match in matches if end + 1 == match[0]]
         return found
 
     def _word(self, symbols: str) -> list[int]:
         open_ = bytearray(b"\1") * (len(symbols) + 1)
         tokens: list[int] = []
         trail: list[tuple[list[tuple[int, int]], int]] = []  # the matches left at each token's start
-        place, matches = 0, self._matches(symbols[: self.longest])
+        longest = self._matches(symbols)
+        place, matches = 0, self._starts(longest[0])
         left = len(matches)
         while place < len(symbols):
             while left:
@@ -148,7 +154,7 @@ class WordBpe:
                     tokens.append(token)
                     trail.append((matches, left))
                     place += size
-                    matches = self._matches(symbols[place : place + self.longest]) if place < len(symbols) else []
+                    matches = self._starts(longest[place]) if place < len(symbols) else []
                     left = len(matches)
                     break
             else:

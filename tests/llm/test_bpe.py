@@ -43,6 +43,17 @@ def test_random_texts_like_the_library(own, library):
             assert same(own, library, "".join(draw.choice(letters) for _ in range(draw.randint(1, 50))))
 
 
+def test_one_pass_finds_every_match(own):
+    own.encode("x")
+    ids = {symbols: token for token, symbols in own.symbol.items()}
+    draw = random.Random(6)
+    for word in ["interesting", "\xff" * 30, *("".join(draw.choice("abthein") for _ in range(40)) for _ in range(200))]:
+        word = word[:-1] + chr(ord(word[-1]) + 256)
+        for place, token in enumerate(own._matches(word)):
+            cuts = [word[place : place + n] for n in range(1, len(word) - place + 1)]
+            assert own._starts(token) == [(len(c), ids[c]) for c in cuts if c in ids]
+
+
 def test_query_like_the_library(spark, library):
     digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
     found = {r["doc_id"]: tuple(r)[1:] for r in registry.op10_bpe(spark, SF).collect()}
