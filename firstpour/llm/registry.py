@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firstpour.llm import bpe, decontaminate, extract, langid, minhash, pii, ppm, quality, toxicity, unigram
+from firstpour.llm import bpe, decontaminate, extract, fim, langid, minhash, pii, ppm, quality, toxicity, unigram
 from firstpour.llm.tasks import remainder
 
 
@@ -88,5 +88,37 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_ppm, op2_extract, op3_quality, op4_langid, op5_decontaminate, op6_tokens, op7_pii, op8_toxicity, op9_minhash, op10_bpe)}
-SQL: dict[str, str] = {}
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.transform(_documents(spark, sf_dir).select("doc_id", "text"), keep=["doc_id"])
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+QUERIES = {q.__name__: q for q in (op1_ppm, op2_extract, op3_quality, op4_langid, op5_decontaminate, op6_tokens, op7_pii, op8_toxicity, op9_minhash, op10_bpe, op13_fim)}
+SQL: dict[str, str] = {
+    "op13_fim": """
+        WITH drawn AS (
+            SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+                   sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+            FROM documents),
+        cut AS (
+            SELECT *, CAST('0x' || substr(h, 17, 8) AS UBIGINT) % 100 AS h3, CAST('0x' || substr(h, 25, 8) AS UBIGINT) % 100 AS h4,
+                   CAST(least(CAST('0x' || substr(h, 1, 8) AS UBIGINT) % (n + 1), CAST('0x' || substr(h, 9, 8) AS UBIGINT) % (n + 1)) AS BIGINT) AS a,
+                   CAST(greatest(CAST('0x' || substr(h, 1, 8) AS UBIGINT) % (n + 1), CAST('0x' || substr(h, 9, 8) AS UBIGINT) % (n + 1)) AS BIGINT) AS b
+            FROM drawn),
+        formed AS (
+            SELECT *, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 >= 90 THEN 'plain'
+                           WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form,
+                   substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix
+            FROM cut)
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+               CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                                ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM formed
+    """,
+}
