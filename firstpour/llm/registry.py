@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firstpour.llm import bpe, decontaminate, extract, fim, langid, minhash, pii, ppm, quality, toxicity, unigram
+from firstpour import storage
+from firstpour.llm import align, bpe, decontaminate, extract, fim, langid, minhash, pii, ppm, quality, simhash, toxicity, unigram
 from firstpour.llm.tasks import remainder
 
 
@@ -88,6 +89,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_documents(spark, sf_dir), words=3, differ=3)
+
+
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pair, folder = align.public(), storage.scratch(spark, "align")
+    found = align.aligned(_documents(spark, sf_dir), pair, folder=folder)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    found = found.select("id", "key", "n_a", "n_b", "n_groups", "n_links", "pairs", "times", digest)
+    return align.scored(align.saved(found, folder, "found"), pair.size_b, folder).withColumnRenamed("id", "doc_id")
+
+
 def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = fim.transform(_documents(spark, sf_dir).select("doc_id", "text"), keep=["doc_id"])
     return made.select(
@@ -97,7 +110,7 @@ def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_ppm, op2_extract, op3_quality, op4_langid, op5_decontaminate, op6_tokens, op7_pii, op8_toxicity, op9_minhash, op10_bpe, op13_fim)}
+QUERIES = {q.__name__: q for q in (op1_ppm, op2_extract, op3_quality, op4_langid, op5_decontaminate, op6_tokens, op7_pii, op8_toxicity, op9_minhash, op10_bpe, op11_simhash, op12_align, op13_fim)}
 SQL: dict[str, str] = {
     "op13_fim": """
         WITH drawn AS (
