@@ -41,7 +41,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,8 +55,12 @@ RANGE = 32_768
 FAN = 16
 #: Pairs of ids whose counts are sent to all tasks.
 OFTEN = 262_144
-#: Words a task remembers, and the characters of the longest among them.
-REMEMBERED, LONGEST = 60_000, 48
+#: Words each half of a task's memory holds, and the characters of the longest among them.
+REMEMBERED, LONGEST = 40_000, 48
+#: Words a task remembers to have met.
+MET = 500_000
+#: Characters of words that are tokenized together.
+TOGETHER = 250_000
 #: Distinct pairs a task holds before it gives up their sums.
 HELD = 1_000_000
 #: Single blanks between words.
@@ -108,6 +112,7 @@ class Fragment:
 
 
 EMPTY = Fragment(0, 0, NO_TOKENS, None, NO_TOKENS)
+EMPTY_CLOSED = Closed(0, "", NONE, NONE)
 
 
 def packed(fragment: Fragment | None) -> bytes:
@@ -158,13 +163,16 @@ class Pair:
             bytes([int(p[3:5], 16)]) if self.two.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
         ]
         self.a_sizes, self.b_sizes = (np.array([len(t) for t in ts]) for ts in (self.a_bytes, self.b_bytes))
+        # ids as they are shown: within a group and at the end of its first side, then the same for the second
+        self.shown = [f"{i}{mark}" for size, ends in ((n, ",|"), (len(pieces), ",;")) for mark in ends for i in range(size)]
+        self.shown_sizes = np.array([len(t) for t in self.shown])
         split = spec["pre_tokenizer"] or {}
         self.by_words = (
             split.get("type") == "ByteLevel" and split.get("use_regex", False) and not split.get("add_prefix_space", True)
             and spec["normalizer"] is None and b"\x08identity\x12\x00" in self.second
             and not any(re.search("[^▁]▁", p) for p in pieces)
         )
-        self.known: dict[str, tuple | None] = {}
+        self.known, self.before, self.once = {}, {}, set()
 
     @property
     def size_b(self) -> int:
@@ -173,7 +181,7 @@ class Pair:
 
     def forget(self) -> None:
         if "_built" in self.__dict__:
-            self.known.clear()
+            self.known, self.before, self.once = {}, {}, set()
 
     def words(self, text: str) -> list[str]:
         """What is tokenized on its own: each piece stands for itself with a blank before it."""
@@ -183,119 +191,176 @@ class Pair:
             return text.split(" ")
         return BORDER.split(text)
 
-    def tokenized(self, words: Iterable[str]) -> dict[str, tuple | None]:
-        """Both tokenizers' ids of words; None where they do not give back the word's bytes."""
+    def tokens(self, words: list[str]) -> Run | None:
+        """Tokens of words, each with a blank before it; None where they do not give back the bytes."""
         self._built  # noqa: B018
-        words = list(words)
-        first = self.one.encode_batch([" " + w for w in words], add_special_tokens=False)
-        made = {}
-        for w, x, b in zip(words, first, self.two.encode(words, num_threads=1) if words else [], strict=True):
-            a, whole = x.ids, b" " + w.encode()
-            same = b"".join([self.a_bytes[i] for i in a]) == whole == b"".join([self.b_bytes[i] for i in b])
-            made[w] = (a, b) if same else None
-        return made
-
-    def grouped(self, a: list[int], b: list[int]) -> tuple[int, str, list[int]]:
-        """Groups, their text and linked pairs of tokens that begin and end together."""
-        if not a:
-            return 0, "", []
-        sizes_a, sizes_b, many = self.a_sizes, self.b_sizes, len(self.b_bytes)
-        i = j = 0
-        end_a, end_b = sizes_a[a[0]], sizes_b[b[0]]
-        own_a, own_b, groups, pairs = [str(a[0])], [str(b[0])], [], []
-        while True:
-            pairs.append(a[i] * many + b[j])
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            if step_a and step_b:
-                groups.append(",".join(own_a) + "|" + ",".join(own_b))
-                own_a, own_b = [], []
-                if i + 1 == len(a):
-                    return len(groups), ";".join(groups), pairs
-            if step_a:
-                i += 1
-                end_a += sizes_a[a[i]]
-                own_a.append(str(a[i]))
-            if step_b:
-                j += 1
-                end_b += sizes_b[b[j]]
-                own_b.append(str(b[j]))
+        text = " " + " ".join(words)
+        a = np.array(self.one.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+        b = np.fromiter(chain.from_iterable(self.two.encode(words, num_threads=1)), np.int64)
+        whole = text.encode()
+        for ids, tokens in ((a, self.a_bytes), (b, self.b_bytes)):
+            if b"".join(map(tokens.__getitem__, ids.tolist())) != whole:
+                return None
+        return Run(a, np.cumsum(self.a_sizes[a]), b, np.cumsum(self.b_sizes[b]))
+
+    def _entries(self, words: list[str]) -> list[tuple | None]:
+        """(tokens a, tokens b, groups, their text, linked pairs) of each word, tokenized as one text."""
+        run = self.tokens(words)
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        if run is None or not (np.isin(ends, run.a_ends).all() and np.isin(ends, run.b_ends).all()):
+            if len(words) == 1:
+                return [None]
+            half = len(words) // 2
+            return self._entries(words[:half]) + self._entries(words[half:])
+        steps, common = _merged(run.a_ends, run.b_ends)
+        pairs = (run.a[np.searchsorted(run.a_ends, steps)] * len(self.b_bytes) + run.b[np.searchsorted(run.b_ends, steps)]).tolist()
+        text, starts = self._listed(run, common)
+        a, b, g, p = ([0, *np.searchsorted(e, ends, "right").tolist()] for e in (run.a_ends, run.b_ends, common, steps))
+        at = starts[g].tolist()
+        return [
+            (a[i + 1] - a[i], b[i + 1] - b[i], g[i + 1] - g[i], text[at[i] : at[i + 1] - 1], tuple(pairs[p[i] : p[i + 1]]))
+            for i in range(len(words))
+        ]
+
+    def _listed(self, run: Run, common: np.ndarray) -> tuple[str, np.ndarray]:
+        """The groups of a run as one text, a semicolon after each, and where each of them starts in it."""
+        n, many = len(self.a_bytes), len(self.b_bytes)
+        cuts_a, cuts_b = (np.concatenate([[0], np.searchsorted(e, common, "right")]) for e in (run.a_ends, run.b_ends))
+        codes = np.empty(len(run.a) + len(run.b), np.int64)
+        last_a, last_b = np.zeros(len(run.a), np.int64), np.zeros(len(run.b), np.int64)
+        last_a[cuts_a[1:] - 1], last_b[cuts_b[1:] - 1] = 1, 1
+        codes[np.arange(len(run.a)) + cuts_b[np.searchsorted(common, run.a_ends)]] = run.a + last_a * n
+        codes[np.arange(len(run.b)) + cuts_a[np.searchsorted(common, run.b_ends) + 1]] = run.b + last_b * many + 2 * n
+        text = "".join(map(self.shown.__getitem__, codes.tolist()))
+        reached = np.concatenate([[0], np.cumsum(self.shown_sizes[codes])])
+        return text, reached[cuts_a + cuts_b]
 
     def learned(self, words: set[str]) -> dict[str, tuple | None]:
-        """(tokens a, tokens b, groups, text, pairs) of words, from memory where they are known."""
+        """Entries of words, from memory where they are known. Words met a second time are remembered, in two
+        halves: when the newer one is full it becomes the older one, of which only what is met again is kept."""
         self._built  # noqa: B018
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        found, fresh = {}, words.difference(known)
-        for w, ids in self.tokenized(fresh).items():
-            entry = None if ids is None else (len(ids[0]), len(ids[1]), *self.grouped(*ids))
-            if len(w) <= LONGEST:
-                known[w] = entry
+        found, fresh, once = {}, [], self.once
+        if len(once) > MET:
+            once.clear()
+        for w in words:
+            entry = self.known.get(w, self)
+            if entry is self:
+                entry = self.before.get(w, self)
+                if entry is self:
+                    fresh.append(w)
+                    continue
+                self._remember(w, entry)
             found[w] = entry
-        for w in words - fresh:
-            found[w] = known[w]
+        at = 0
+        while at < len(fresh):
+            stop, held = at, 0
+            while stop < len(fresh) and (stop == at or held + len(fresh[stop]) < TOGETHER):
+                held += len(fresh[stop])
+                stop += 1
+            some = fresh[at:stop] if self.by_words else [fresh[at]]
+            for w, entry in zip(some, self._entries(some), strict=True):
+                found[w] = entry
+                if len(w) <= LONGEST:
+                    known = hash(w)
+                    if known in once:
+                        self._remember(w, entry)
+                    once.add(known)
+            at += len(some)
         return found
 
-    def fragment(self, text: str, base: int, start: int, stop: int) -> Fragment | None:
-        """The fragment of the bytes from ``start`` to ``stop``. ``text`` holds the words they lie in,
-        the first one's blank left out, which is byte ``base``. None where tokens do not give back bytes."""
-        self._built  # noqa: B018
-        words = self.words(text)
-        ids = self.tokenized(set(words))
-        if any(x is None for x in ids.values()):
+    def _remember(self, word: str, entry: tuple | None) -> None:
+        if len(self.known) >= REMEMBERED:
+            self.known, self.before = {}, self.known
+        self.known[word] = entry
+
+    def _plain(self, words: list[str], base: int, start: int, stop: int) -> Fragment | None:
+        """The fragment of a few words, token by token."""
+        run = self.tokens(words)
+        if run is None:
             return None
         sides = []
-        for side, sizes in ((0, self.a_sizes), (1, self.b_sizes)):
-            all_ids = np.fromiter(chain.from_iterable(ids[w][side] for w in words), np.int64)
-            ends = base + np.cumsum(sizes[all_ids])
+        for ids, ends in ((run.a, run.a_ends + base), (run.b, run.b_ends + base)):
             mine = (ends > start) & (ends <= stop)
-            sides += [all_ids[mine], ends[mine]]
+            sides += [ids[mine], ends[mine]]
         a, a_ends, b, b_ends = sides
-        common = np.intersect1d(a_ends, b_ends, assume_unique=True)
+        _, common = _merged(a_ends, b_ends)
+        cut_a, cut_b = (np.searchsorted(e, common, "right").tolist() for e in (a_ends, b_ends))
+        runs = [
+            Run(a[i:j], a_ends[i:j], b[k:m], b_ends[k:m])
+            for i, j, k, m in zip([0, *cut_a], [*cut_a, len(a)], [0, *cut_b], [*cut_b, len(b)], strict=True)
+        ]
         if not len(common):
-            return Fragment(len(a), len(b), Run(a, a_ends, b, b_ends), None, NO_TOKENS)
-        cuts = [np.searchsorted(e, [common[0], common[-1]], "right") for e in (a_ends, b_ends)]
-        (p, s), (q, t) = cuts
-        n, groups, pairs = self.grouped(a[p:s].tolist(), b[q:t].tolist())
-        return Fragment(
-            len(a), len(b), Run(a[:p], a_ends[:p], b[:q], b_ends[:q]),
-            Closed(n, groups, *_counted(np.array(pairs, np.int64))), Run(a[s:], a_ends[s:], b[t:], b_ends[t:]),
-        )
+            return Fragment(len(a), len(b), runs[0], None, NO_TOKENS)
+        closed = _joined([EMPTY_CLOSED, *map(lambda r: group(r, len(self.b_bytes)), runs[1:-1])])
+        return Fragment(len(a), len(b), runs[0], closed, runs[-1])
 
-    def _group(self, run: Run) -> Closed:
-        """An open run that turned out to be a group."""
-        ends = np.union1d(run.a_ends, run.b_ends)
-        pairs = run.a[np.searchsorted(run.a_ends, ends)] * self.size_b + run.b[np.searchsorted(run.b_ends, ends)]
-        text = ",".join(map(str, run.a.tolist())) + "|" + ",".join(map(str, run.b.tolist()))
-        return Closed(1, text, *_counted(pairs))
-
-    def composed(self, fragments: Iterable[Fragment | None]) -> Fragment | None:
-        """One fragment of neighbours, in their order."""
-        now, closed, n_a, n_b = EMPTY, [], 0, 0
-        prefix, suffix, seen = NO_TOKENS, NO_TOKENS, False
-        for now in fragments:
-            if now is None:
-                return None
-            n_a, n_b = n_a + now.n_a, n_b + now.n_b
-            if now.closed is None:
-                if seen:
-                    suffix = suffix + now.prefix
-                else:
-                    prefix = prefix + now.prefix
-                continue
+    def fragment(self, text: str, base: int, start: int, stop: int) -> Fragment | None:
+        """The fragment of the bytes from ``start`` to ``stop``. ``text`` holds the words they lie in,
+        the first one's blank left out, which is byte ``base``. None where tokens do not give back bytes.
+
+        Only the outer words are looked at token by token; a word between ends in a common end, and its
+        groups are those of its entry."""
+        self._built  # noqa: B018
+        words = self.words(text)
+        if len(words) < 4:
+            return self._plain(words, base, start, stop)
+        inner = words[2:-1]
+        entries = self.learned(set(inner))
+        head = self._plain(words[:2], base, start, stop)
+        tail = self._plain(words[-1:], base + len(text.encode()) - len(words[-1].encode()), start, stop)
+        own = [entries[w] for w in inner]
+        if head is None or tail is None or None in own:
+            return None
+        a, b, n, texts, pairs = zip(*own, strict=True)
+        closed = Closed(sum(n), ";".join(texts), *_counted(np.fromiter(chain.from_iterable(pairs), np.int64)))
+        head = Fragment(head.n_a + sum(a), head.n_b + sum(b), head.prefix, _joined([head.closed, closed]), NO_TOKENS)
+        return composed([head, tail], len(self.b_bytes))
+
+
+def group(run: Run, size_b: int) -> Closed:
+    """An open run that turned out to be a group."""
+    ends, _ = _merged(run.a_ends, run.b_ends)
+    pairs = run.a[np.searchsorted(run.a_ends, ends)] * size_b + run.b[np.searchsorted(run.b_ends, ends)]
+    text = ",".join(map(str, run.a.tolist())) + "|" + ",".join(map(str, run.b.tolist()))
+    return Closed(1, text, *_counted(pairs))
+
+
+def composed(fragments: Iterable[Fragment | None], size_b: int) -> Fragment | None:
+    """One fragment of neighbours, in their order."""
+    closed, n_a, n_b = [], 0, 0
+    prefix, suffix, seen = NO_TOKENS, NO_TOKENS, False
+    for now in fragments:
+        if now is None:
+            return None
+        n_a, n_b = n_a + now.n_a, n_b + now.n_b
+        if now.closed is None:
             if seen:
-                closed.append(self._group(suffix + now.prefix))
+                suffix = suffix + now.prefix
             else:
-                prefix, seen = prefix + now.prefix, True
-            closed.append(now.closed)
-            suffix = now.suffix
-        return Fragment(n_a, n_b, prefix, _joined(closed) if seen else None, suffix)
-
-    def whole(self, fragment: Fragment | None) -> tuple[int, int, Closed] | None:
-        """Tokens and groups of a document; its start is a border too, so its prefix is a group."""
-        if fragment is None or fragment.closed is None:
-            return None
-        return fragment.n_a, fragment.n_b, _joined([self._group(fragment.prefix), fragment.closed])
+                prefix = prefix + now.prefix
+            continue
+        if seen:
+            closed.append(group(suffix + now.prefix, size_b))
+        else:
+            prefix, seen = prefix + now.prefix, True
+        closed.append(now.closed)
+        suffix = now.suffix
+    return Fragment(n_a, n_b, prefix, _joined(closed) if seen else None, suffix)
+
+
+def whole(fragment: Fragment | None, size_b: int) -> tuple[int, int, Closed] | None:
+    """Tokens and groups of a document; its start is a border too, so its prefix is a group."""
+    if fragment is None or fragment.closed is None:
+        return None
+    return fragment.n_a, fragment.n_b, _joined([group(fragment.prefix, size_b), fragment.closed])
+
+
+def _merged(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of either, and of both, of two rising rows of numbers."""
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    twice = both[1:] == both[:-1]
+    return both[np.concatenate([[True], ~twice])] if len(both) else both, both[1:][twice]
 
 
 def _counted(pairs: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -330,9 +395,8 @@ def _columns(keys: Iterable[int], found: list[tuple[int, int, int, str, np.ndarr
 NOTHING = (0, 0, 0, "", NONE, NONE)
 
 
-def _short(docs: DataFrame, pair: Pair) -> DataFrame:
+def _short(docs: DataFrame, shipped: Broadcast) -> DataFrame:
     """Documents that a task takes whole: id, text."""
-    shipped = ship(docs, pair)
     number = [0]
 
     def work(rows: pa.RecordBatch, texts: list[str]) -> dict[str, object]:
@@ -372,9 +436,8 @@ def ranges(text: str, size: int, by_words: bool = True) -> list[tuple[int, int,
     return [(a, b, x, y) for (a, x), (b, y) in zip(starts, stops, strict=True)]
 
 
-def _fragments(docs: DataFrame, pair: Pair, size: int) -> DataFrame:
+def _fragments(docs: DataFrame, shipped: Broadcast, size: int) -> DataFrame:
     """(key, id, part, parts, body) of long documents, a row for each range."""
-    shipped = ship(docs, pair)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, number = shipped.value, 0
@@ -403,19 +466,19 @@ def _fragments(docs: DataFrame, pair: Pair, size: int) -> DataFrame:
         return {n: rows.column(i) for i, n in enumerate(names[:4])} | {"body": bodies}
 
     dealt = pieces.repartition("key", "part")
-    return map_text(dealt, "text", "key long, id long, part long, parts long, body binary", work, [])
+    fields = "key long, id long, part long, parts long, body binary"
+    return map_text(dealt, "text", fields, work, [], lambda: shipped.value.forget())
 
 
-def _composed(fragments: DataFrame, pair: Pair, fan: int) -> DataFrame:
+def _composed(fragments: DataFrame, size_b: int, fan: int) -> DataFrame:
     """A row per document of its fragments, composed as a tree."""
-    shipped = ship(fragments, pair)
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bodies = []
             for parts in batch.column(3):
                 held = (unpacked(p["body"].as_py()) for p in parts)
-                bodies.append(packed(shipped.value.composed(held)))
+                bodies.append(packed(composed(held, size_b)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(bodies, pa.binary())], names=["key", "id", "part", "body"])
 
     most = fragments.agg(F.max("parts")).first()[0] or 1
@@ -431,8 +494,8 @@ def _composed(fragments: DataFrame, pair: Pair, fan: int) -> DataFrame:
         for batch in batches:
             found = []
             for body in batch.column(2):
-                whole = shipped.value.whole(unpacked(body.as_py()))
-                found.append(NOTHING if whole is None else (whole[0], whole[1], whole[2].n, whole[2].text, whole[2].pairs, whole[2].times))
+                n_a, n_b, c = whole(unpacked(body.as_py()), size_b) or (0, 0, EMPTY_CLOSED)
+                found.append((n_a, n_b, c.n, c.text, c.pairs, c.times))
             made = _columns(batch.column(0).to_pylist(), found)
             columns = {"id": batch.column(1), **made}
             yield pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v) for v in columns.values()], names=list(columns))
@@ -448,8 +511,9 @@ def aligned(
     folder = folder or storage.scratch(docs.sparkSession, "align")
     plain = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     long = F.coalesce(F.length("text"), F.lit(0)) > size
-    fragments = saved(_fragments(plain.where(long), pair, size), folder, "fragments")
-    return _short(plain.where(~long), pair).unionByName(_composed(fragments, pair, fan))
+    shipped = ship(docs, pair)  # two tokenizer files, of fixed size
+    fragments = saved(_fragments(plain.where(long), shipped, size), folder, "fragments")
+    return _short(plain.where(~long), shipped).unionByName(_composed(fragments, pair.size_b, fan))
 
 
 def saved(df: DataFrame, folder: str, name: str) -> DataFrame:

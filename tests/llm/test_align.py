@@ -119,8 +119,8 @@ def test_random_texts(pair):
             # in any bracketing
             while len(parts) > 1:
                 k = draw.randrange(len(parts) - 1)
-                parts[k : k + 2] = [pair.composed(parts[k : k + 2])]
-            whole = pair.whole(parts[0])
+                parts[k : k + 2] = [align.composed(parts[k : k + 2], pair.size_b)]
+            whole = align.whole(parts[0], pair.size_b)
             assert (whole is None) == (expected is None)
             if whole:
                 n_a, n_b, closed = whole
@@ -131,8 +131,8 @@ def test_random_texts(pair):
 def test_no_bytes_change_nothing(pair):
     some = pair.fragment("some words here", 0, 3, 9)
     for parts in ([align.EMPTY, some], [some, align.EMPTY], [some]):
-        assert repr(pair.composed(parts)) == repr(some)
-    assert pair.composed([some, None]) is None
+        assert repr(align.composed(parts, pair.size_b)) == repr(some)
+    assert align.composed([some, None], pair.size_b) is None
 
 
 def test_very_long_texts_are_cut_and_a_long_run_stays_whole(spark, pair):
