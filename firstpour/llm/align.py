@@ -56,11 +56,11 @@ FAN = 16
 #: Pairs of ids whose counts are sent to all tasks.
 OFTEN = 262_144
 #: Words each half of a task's memory holds, and the characters of the longest among them.
-REMEMBERED, LONGEST = 40_000, 48
+REMEMBERED, LONGEST = 60_000, 48
 #: Words a task remembers to have met.
-MET = 500_000
+MET = 400_000
 #: Characters of words that are tokenized together.
-TOGETHER = 250_000
+TOGETHER = 100_000
 #: Distinct pairs a task holds before it gives up their sums.
 HELD = 1_000_000
 #: Single blanks between words.
@@ -113,6 +113,7 @@ class Fragment:
 
 EMPTY = Fragment(0, 0, NO_TOKENS, None, NO_TOKENS)
 EMPTY_CLOSED = Closed(0, "", NONE, NONE)
+NOTHING = (0, 0, 0, "", NONE, NONE)
 
 
 def packed(fragment: Fragment | None) -> bytes:
@@ -268,6 +269,21 @@ class Pair:
             at += len(some)
         return found
 
+    def documents(self, texts: list[str]) -> list[tuple[int, int, int, str, np.ndarray, np.ndarray]]:
+        """(tokens a, tokens b, groups, their text, distinct linked pairs, how often) of whole texts."""
+        self._built  # noqa: B018
+        split = [self.words(t) if t else [] for t in texts]
+        entries = self.learned(set(chain.from_iterable(split)))
+        found = []
+        for words in split:
+            own = [entries[w] for w in words]
+            if not own or None in own:
+                found.append(NOTHING)
+                continue
+            a, b, n, text, pairs = zip(*own, strict=True)
+            found.append((sum(a), sum(b), sum(n), ";".join(text), *_counted(np.fromiter(chain.from_iterable(pairs), np.int64))))
+        return found
+
     def _remember(self, word: str, entry: tuple | None) -> None:
         if len(self.known) >= REMEMBERED:
             self.known, self.before = {}, self.known
@@ -392,26 +408,20 @@ def _columns(keys: Iterable[int], found: list[tuple[int, int, int, str, np.ndarr
     }
 
 
-NOTHING = (0, 0, 0, "", NONE, NONE)
-
-
 def _short(docs: DataFrame, shipped: Broadcast) -> DataFrame:
     """Documents that a task takes whole: id, text."""
     number = [0]
 
     def work(rows: pa.RecordBatch, texts: list[str]) -> dict[str, object]:
         model = shipped.value
-        model._built  # noqa: B018
-        split = [model.words(t) if t else [] for t in texts]
-        entries = model.learned(set(chain.from_iterable(split)))
-        found = []
-        for words in split:
-            own = [entries[w] for w in words]
-            if not own or None in own:
-                found.append(NOTHING)
-                continue
-            a, b, n, text, pairs = zip(*own, strict=True)
-            found.append((sum(a), sum(b), sum(n), ";".join(text), *_counted(np.fromiter(chain.from_iterable(pairs), np.int64))))
+        found, at = [], 0
+        while at < len(texts):
+            stop, held = at, 0
+            while stop < len(texts) and (stop == at or held + len(texts[stop]) < 10 * TOGETHER):
+                held += len(texts[stop])
+                stop += 1
+            found += model.documents(texts[at:stop])
+            at = stop
         first = (TaskContext.get().partitionId() << 33) + number[0]
         number[0] += len(texts)
         return {"id": rows.column(0), **_columns(range(first, first + len(texts)), found)}
@@ -473,34 +483,34 @@ def _fragments(docs: DataFrame, shipped: Broadcast, size: int) -> DataFrame:
 def _composed(fragments: DataFrame, size_b: int, fan: int) -> DataFrame:
     """A row per document of its fragments, composed as a tree."""
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fold(parts: pa.Array) -> Fragment | None:
+        return composed((unpacked(p["body"].as_py()) for p in parts), size_b)
+
+    def one_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies = []
-            for parts in batch.column(3):
-                held = (unpacked(p["body"].as_py()) for p in parts)
-                bodies.append(packed(composed(held, size_b)))
+            bodies = [packed(fold(parts)) for parts in batch.column(3)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(bodies, pa.binary())], names=["key", "id", "part", "body"])
 
-    most = fragments.agg(F.max("parts")).first()[0] or 1
-    now = fragments.select("key", "id", "part", "body")
-    while most > 1:
-        some = now.groupBy("key", F.expr(f"part div {fan}").alias("part")).agg(
-            F.max("id").alias("id"), F.sort_array(F.collect_list(F.struct(F.col("part").alias("at"), "body"))).alias("bodies")
-        )
-        now = some.select("key", "id", "part", "bodies").mapInArrow(fold, "key long, id long, part long, body binary")
-        most = -(-most // fan)
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def last_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for body in batch.column(2):
-                n_a, n_b, c = whole(unpacked(body.as_py()), size_b) or (0, 0, EMPTY_CLOSED)
+            for parts in batch.column(3):
+                n_a, n_b, c = whole(fold(parts), size_b) or (0, 0, EMPTY_CLOSED)
                 found.append((n_a, n_b, c.n, c.text, c.pairs, c.times))
-            made = _columns(batch.column(0).to_pylist(), found)
-            columns = {"id": batch.column(1), **made}
+            columns = {"id": batch.column(1), **_columns(batch.column(0).to_pylist(), found)}
             yield pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v) for v in columns.values()], names=list(columns))
 
-    return now.select("key", "id", "body").mapInArrow(finish, "id long, " + MADE)
+    def together(now: DataFrame) -> DataFrame:
+        bodies = F.sort_array(F.collect_list(F.struct(F.col("part").alias("at"), "body"))).alias("bodies")
+        some = now.groupBy("key", F.expr(f"part div {fan}").alias("part")).agg(F.max("id").alias("id"), bodies)
+        return some.select("key", "id", "part", "bodies")
+
+    most = fragments.agg(F.max("parts")).first()[0] or 1
+    now = fragments.select("key", "id", "part", "body")
+    while most > fan:
+        now = together(now).mapInArrow(one_round, "key long, id long, part long, body binary")
+        most = -(-most // fan)
+    return together(now).mapInArrow(last_round, "id long, " + MADE)
 
 
 def aligned(
