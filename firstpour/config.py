@@ -14,15 +14,17 @@ from firstpour.functions.naming import bronze_name, catalog_name
 class Split:
     """How one JDBC table is read in parallel.
 
-    ``column`` is a numeric or date column cut into equal ranges between its smallest and largest
-    value. Ranges are only even when the values are; a column in which one value holds a large
-    share of the rows needs ``expression`` instead: source SQL that yields a bucket number from 0
-    to ``partitions - 1``, such as a hash of the primary key taken modulo ``partitions``.
+    ``column`` is a column of numbers, dates or times. The source counts its rows by ranges of it, and
+    the ranges are chosen to hold equal numbers of rows. A value that holds more rows than a task should
+    get, or nulls that do, are split by ``then``, by default whichever other such column has the most
+    values there. ``expression`` is for what counting cannot serve: source SQL that yields a bucket
+    number from 0 to ``partitions - 1``, such as a hash of the primary key taken modulo ``partitions``.
     """
 
     partitions: int
     column: str | None = None
     expression: str | None = None
+    then: str | None = None
 
     def __post_init__(self) -> None:
         if (self.column is None) == (self.expression is None):
@@ -115,8 +117,10 @@ class BronzeConfig:
     filter_files: bool = False
     # Loads that may run side by side in one run.
     parallel: int = 4
-    # Folders of state or log records from which a run folds them into one at its end.
+    # Folders of state, ledger or log records from which a load or run folds them into one at its end,
+    # and the seconds that what was folded stays for readers that began before.
     compact_after: int = 200
+    fold_grace: float = 3600.0
     # Readers by source type, over and instead of the built-in ones: (spark, config, source, last)
     # to the rows past the watermark ``last``.
     readers: Mapping[str, Any] = field(default_factory=dict)
@@ -137,8 +141,12 @@ class BronzeConfig:
         return f"{self.root}/_control/state"
 
     @property
-    def begun_path(self) -> str:
-        return f"{self.root}/_control/begun"
+    def notes_path(self) -> str:
+        return f"{self.root}/_control/notes"
+
+    @property
+    def ledger_path(self) -> str:
+        return f"{self.root}/_control/ledger"
 
     @property
     def catalog_path(self) -> str:

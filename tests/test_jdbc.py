@@ -59,6 +59,38 @@ def test_bucket_split_loses_no_null_negative_or_large_number(spark, url, express
     assert rows(df) == rows(scan_jdbc(spark, database(url), "", "skewed"))
 
 
+@pytest.mark.parametrize("expression", ['"o_orderkey" / 3.0', 'CAST("k" AS DECIMAL(10,2)) / 2', '"o_orderkey" * 1.0E0 / 700'])
+def test_bucket_split_loses_no_fraction(spark, url, expression):
+    df = scan_jdbc(spark, database(url, skewed=Split(3, expression=expression)), "", "skewed")
+    assert rows(df) == rows(scan_jdbc(spark, database(url), "", "skewed"))
+
+
+@pytest.mark.parametrize("split", [Split(4, column="k"), Split(4, column="k", then="o_orderkey")])
+def test_heavy_values_and_nulls_are_spread(spark, url, split):
+    """One value holds 70 % of the rows, another 20 %, and 10 % have none."""
+    df = scan_jdbc(spark, database(url, skewed=split), "", "skewed")
+    assert rows(df) == rows(scan_jdbc(spark, database(url), "", "skewed"))
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert 4 <= len(sizes) <= 6 and max(sizes) <= 1.2 * sum(sizes) / 4
+
+
+def test_one_value_in_all_rows_is_spread(spark, url):
+    spark.range(100).selectExpr("id", "7 AS k").write.jdbc(url, "same", properties={"driver": DRIVER})
+    df = scan_jdbc(spark, database(url, same=Split(4, column="k")), "", "same")
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 100 and max(sizes) <= 30
+    with pytest.raises(ValueError, match="to split on"):
+        scan_jdbc(spark, database(url, same=Split(4, column="k", then="absent")), "", "same")
+
+
+def test_decimals_beyond_64_bits(spark, url):
+    made = spark.range(400).selectExpr("CAST(id AS INT) AS id", "CAST(10000000000000000000000 AS DECIMAL(30,0)) + id * id AS k")
+    made.selectExpr("id", "CAST(k AS DECIMAL(30,0)) AS k").write.jdbc(url, "wide", properties={"driver": DRIVER})
+    df = scan_jdbc(spark, database(url, wide=Split(4, column="k")), "", "wide")
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 4 and sum(sizes) == 400 and max(sizes) <= 110
+
+
 def test_hash_split_spreads_a_hot_value(spark, url):
     hot = scan_jdbc(spark, database(url, skewed=Split(4, expression='MOD("o_orderkey", 4)')), "", "skewed")
     sizes = [r["count"] for r in hot.groupBy(F.spark_partition_id()).count().collect()]
