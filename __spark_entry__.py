@@ -30,8 +30,7 @@ from firstpour.functions import (
     stamp,
     with_fetch_partitions,
 )
-from firstpour.operators import load_log as logs
-from firstpour.operators import state
+from firstpour.operators import ledger, load_log as logs, records, state
 from firstpour.operators.land import WriteOptions, land_full as land_snapshot, land_incremental as land_batch
 from firstpour.operators.merge import merge_chunks as merge
 from firstpour.operators.metrics import high_watermark as highest
@@ -263,7 +262,7 @@ def constraint_and_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
 def state_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events taken as watermark records, one source per event type and user."""
     events = _table(spark, sf_dir, "events")
-    records = events.select(
+    found = events.select(
         F.col("event_type").alias("src_name"),
         F.lit("USERS").alias("src_origin_name"),
         F.col("user_id").cast("string").alias("src_object_name"),
@@ -273,7 +272,7 @@ def state_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("ts").cast("timestamp"), spark.conf.get("spark.sql.session.timeZone")
         ).alias("updated_at"),
     )
-    latest = state.latest_state(records)
+    latest = state.latest_state(found)
     return latest.withColumn("updated_at", _utc(latest, "updated_at"))
 
 
@@ -503,12 +502,59 @@ def interrupted_first_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _config(spark, sf_dir, reconcile=True)
     source = Source("DB", "SRC", "MAIN", "orders", None, True, "o_orderdate")
     orders = _table(spark, sf_dir, "orders")
-    state.advance(spark, config.begun_path, source.key, None, None, DAY_1)
-    land_batch(orders, config.folder(source), DAY_1, "o_orderdate")
+    opened = ledger.begin(spark, config.notes_path, config.folder(source), source.key, DAY_1)
+    land_batch(orders, config.folder(source), DAY_1, "o_orderdate", run=opened)
     result = load(spark, config, source, DAY_2)
     return read_bronze(spark, result.table).select(*orders.columns)
 
 
+def interrupted_shared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources into one table at one time: one is lost between landing and its state record, and
+    the next loads of both make up for it."""
+    config, folder = _writable(spark, reconcile=True)
+    orders = _table(spark, sf_dir, "orders")
+    sources = [Source("DB", "SRC", "MAIN", name, None, True, "o_orderkey") for name in ("a b", "a_b")]
+    for rest, source in enumerate(sources):
+        orders.where(F.col("o_orderkey") % 2 == rest).write.parquet(f"{folder}/{source.object}")
+    load(spark, config, sources[0], DAY_1)
+    lost = sources[1]
+    opened = ledger.begin(spark, config.notes_path, config.folder(lost), lost.key, DAY_1)
+    landed = land_batch(scan_parquet(spark, f"{folder}/a_b"), config.folder(lost), DAY_1, "o_orderkey", run=opened)
+    ledger.enter(spark, config.ledger_path, opened, landed.files)
+    publish(spark, config.table(lost), landed, True, partition_values(DAY_1))
+    for source in sources:
+        result = load(spark, config, source, DAY_2)
+    return read_bronze(spark, result.table).select(*orders.columns)
+
+
+def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and days of arrival of the files that the ledger has for two loads of orders."""
+    config, result = _two_loads(spark, sf_dir)
+    entered = ledger.read_ledger(spark, config.ledger_path)
+    held = spark.table(result.table).groupBy(F.col("_metadata.file_name").alias("file"), "fetch_day").agg(F.count(F.lit(1)).alias("n"))
+    joined = entered.join(held, "file", "full")
+    return joined.groupBy("src_object_name", F.date_format(_utc(joined, "run_ts"), "yyyyMMdd").alias("run_day"), "fetch_day").agg(
+        F.sum("n").alias("n_rows")
+    )
+
+
+def state_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as watermark records, appended in four batches with folds in between."""
+    config = _config(spark, sf_dir)
+    events = _table(spark, sf_dir, "events")
+    stamped = F.from_utc_timestamp(F.col("ts").cast("timestamp"), spark.conf.get("spark.sql.session.timeZone"))
+    made = events.select(
+        F.col("event_type").alias("src_name"), F.lit("USERS").alias("src_origin_name"), F.col("user_id").cast("string").alias("src_object_name"),
+        F.col("event_id").cast("string").alias("value"), F.lit("bigint").alias("type"), stamped.alias("updated_at"),
+        F.lit(None).cast("string").alias("run"), "event_id",
+    )
+    for part in range(4):
+        records.append_records(made.where(F.col("event_id") % 4 == part).drop("event_id"), config.state_path)
+        state.compact_state(spark, config.state_path, config.notes_path, grace=3600.0 if part % 2 else 0.0)
+    latest = state.latest_state(state.read_state(spark, config.state_path))
+    return latest.select("src_name", "src_object_name", "value", _utc(latest, "updated_at").alias("updated_at"))
+
+
 def watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the two loads above left as the current watermark."""
     config, _ = _two_loads(spark, sf_dir)
@@ -598,7 +644,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         batch_metrics, merge_chunks, land_full, land_full_rerun, publish_full, land_incremental,
         publish_incremental, sync_partitions, publish_decision, empty_batch, schema_first, schema_merged,
         incremental_two_batches, watermark_state, full_load_with_watermark, run_manifest, load_log,
-        type_drift, watermark_float, shared_table, interrupted_first_load,
+        type_drift, watermark_float, shared_table, interrupted_first_load, interrupted_shared_table, load_ledger,
+        state_folded,
     ]
     return {query.__name__: query for query in registered} | _llm()[0]
 
@@ -661,6 +708,20 @@ def oracle_sql() -> dict[str, str]:
         """,
         "shared_table": "SELECT * FROM orders",
         "interrupted_first_load": "SELECT * FROM orders",
+        "interrupted_shared_table": "SELECT * FROM orders",
+        "load_ledger": """
+            SELECT 'orders' AS src_object_name, day AS run_day, day AS fetch_day, CAST(count(*) AS BIGINT) AS n_rows
+            FROM (SELECT CASE WHEN o_orderdate <= TIMESTAMP '1998-01-01 00:00:00' THEN '20240115' ELSE '20240116' END AS day FROM orders)
+            GROUP BY day
+        """,
+        "state_folded": """
+            SELECT src_name, src_object_name, value, updated_at FROM (
+                SELECT event_type AS src_name, CAST(user_id AS VARCHAR) AS src_object_name, CAST(event_id AS VARCHAR) AS value,
+                       ts AS updated_at,
+                       row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC) AS age
+                FROM events)
+            WHERE age = 1
+        """,
         "manifest_active": f'SELECT * FROM ({MANIFEST_SQL}) WHERE "SRC_FLAG_ACTIV" = 1',
         "bronze_pruned_read": f"""
             SELECT *, {day_2}, '2024' AS fetch_year, '202401' AS fetch_month, '20240116' AS fetch_day

@@ -14,17 +14,20 @@ from pyspark.sql.types import StructType
 from firstpour import storage
 from firstpour.functions.stamp import PARTITION_COLUMNS, in_utc, partition_values, stamp
 from firstpour.functions.text import quoted
+from firstpour.operators.ledger import PREFIX, Run
 from firstpour.operators.metrics import batch_metrics, observed
 
 
 @dataclass(frozen=True)
 class Landed:
-    """What a landing wrote. ``high`` is the batch's largest criteria value, as text."""
+    """What a landing wrote. ``high`` is the batch's largest criteria value, as text; ``files`` are the
+    names and bytes of what a run landed."""
 
     path: str
     rows: int
     high: str | None
     schema: StructType
+    files: tuple[tuple[str, int], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -140,11 +143,13 @@ def land_incremental(
     criteria: str | None = None,
     options: WriteOptions = WriteOptions(),
     schema: StructType | None = None,
+    run: Run | None = None,
 ) -> Landed:
     """Append a batch to the run's day partition, keeping every file already there.
 
     The partition values are constants of the run, so the write needs neither a shuffle nor a
-    sort. A batch without rows writes no file. One writer per table at a time.
+    sort. A batch without rows writes no file. One writer per table at a time. With a ``run`` of the
+    ledger, its files carry the run's id in their names.
     """
     observation = Observation()
     df, renamed = make_room(df, ("fetch_date", *PARTITION_COLUMNS))
@@ -157,7 +162,10 @@ def land_incremental(
     before = storage.children(df.sparkSession, day)
     # What a killed driver's job left here would be committed along with this one.
     storage.delete(df.sparkSession, f"{path}/_temporary")
-    options.writer(batch.withColumns(days)).mode("append").partitionBy(*PARTITION_COLUMNS).parquet(path)
+    writer = options.writer(batch.withColumns(days)).mode("append").partitionBy(*PARTITION_COLUMNS)
+    if run:
+        writer = writer.option("mapreduce.output.basename", run.prefix.rstrip("-"))
+    writer.parquet(path)
 
     def landed() -> DataFrame:
         spark = df.sparkSession
@@ -169,7 +177,8 @@ def land_incremental(
         return written.where(~F.col("_metadata.file_name").isin(before)) if before else written
 
     rows, high = batch_metrics(observation, landed, criteria)
-    return Landed(path, rows, high, batch.schema)
+    files = storage.files(df.sparkSession, day, run.prefix) if run else []
+    return Landed(path, rows, high, batch.schema, tuple(files))
 
 
 def drop_other_runs(spark, landed_path: str) -> None:
@@ -180,23 +189,31 @@ def drop_other_runs(spark, landed_path: str) -> None:
             storage.delete(spark, f"{day}/{name}")
 
 
-def undo_after(spark, folder: str, committed: datetime | None, begun: Sequence[datetime] = ()) -> int:
-    """Delete landed files that a load interrupted between landing and its state record left behind:
-    those stamped later than the last committed load, and those of the run times given. All rows of
-    a file share one stamp."""
+def _unnamed(spark, path: str, first_day: str) -> bool:
+    """Whether days from a first one on hold files that carry no run's id."""
+    for year in storage.children(spark, path):
+        for month in storage.children(spark, f"{path}/{year}"):
+            for day in storage.children(spark, f"{path}/{year}/{month}"):
+                if day.rpartition("=")[2] >= first_day and any(
+                    not name.startswith(PREFIX) for name in storage.children(spark, f"{path}/{year}/{month}/{day}")
+                ):
+                    return True
+    return False
+
+
+def undo_after(spark, folder: str, committed: datetime | None) -> int:
+    """Delete landed files that carry no run's id in their names and are stamped later than the last
+    committed load: what an interrupted load left behind before there was a ledger, or what was landed
+    by hand. All rows of a file share one stamp."""
     path = increments(folder)
-    if not storage.children(spark, path) or committed is None and not begun:
+    if committed is None or not _unnamed(spark, path, partition_values(committed)["fetch_day"]):
         return 0
-    unfinished = F.col("fetch_date").isin([F.lit(in_utc(t)) for t in begun]) if begun else F.lit(False)
-    first = min([t for t in (committed, *begun) if t is not None])
-    if committed is not None:
-        unfinished = unfinished | (F.col("fetch_date") > F.lit(committed))
     columns = "fetch_date timestamp, fetch_year string, fetch_month string, fetch_day string"
     leftovers = (
         spark.read.schema(columns)
         .parquet(path)
-        .where(F.col("fetch_day") >= partition_values(first)["fetch_day"])
-        .where(unfinished)
+        .where(F.col("fetch_day") >= partition_values(committed)["fetch_day"])
+        .where((F.col("fetch_date") > F.lit(committed)) & ~F.col("_metadata.file_name").startswith(PREFIX))
         .select("_metadata.file_path")
         .distinct()
     )

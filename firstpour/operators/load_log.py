@@ -51,6 +51,6 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return read_records(spark, path, SCHEMA)
 
 
-def compact_log(spark: SparkSession, path: str) -> None:
+def compact_log(spark: SparkSession, path: str, grace: float = 0.0, least: int = 2) -> None:
     """Fold the records written so far into one file."""
-    compact_records(spark, path, SCHEMA, lambda records: records)
+    compact_records(spark, path, SCHEMA, lambda records: records, grace, least)

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from collections.abc import Sequence
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firstpour.functions.stamp import in_utc
+from firstpour.operators import ledger
 from firstpour.operators.records import append_records, compact_records, make_records, read_records
 
 KEY = ("src_name", "src_origin_name", "src_object_name")
 SCHEMA = (
     "src_name string, src_origin_name string, src_object_name string, "
-    "value string, type string, updated_at timestamp"
+    "value string, type string, updated_at timestamp, run string"
 )
 
 
@@ -34,41 +36,27 @@ def advance(
     value: str | None,
     type: str | None,
     updated_at: datetime,
+    run: str | None = None,
 ) -> None:
-    append_records(make_records(spark, SCHEMA, [(*key, value, type, in_utc(updated_at))]), path)
+    """Append a record; with the id of the run it commits."""
+    append_records(make_records(spark, SCHEMA, [(*key, value, type, in_utc(updated_at), run)]), path)
 
 
-def compact_begun(spark: SparkSession, begun_path: str, state_path: str) -> None:
-    """Fold the records of begun loads into one file, without those of loads that finished. To be done
-    before the state is folded, so that little of it has to stay."""
+def committed(spark: SparkSession, path: str, runs: Sequence[str]) -> set[str]:
+    """Those of a few runs that a state record has committed."""
+    if not runs:
+        return set()
+    return {row["run"] for row in read_state(spark, path).where(F.col("run").isin(list(runs))).select("run").collect()}
 
-    def fold(begun: DataFrame) -> DataFrame:
-        done = read_state(spark, state_path).select(*KEY, "updated_at").distinct()
-        return begun.distinct().join(done, [*KEY, "updated_at"], "left_anti").select(*begun.columns)
 
-    compact_records(spark, begun_path, SCHEMA, fold)
-
-
-def compact_state(spark: SparkSession, path: str, begun_path: str | None = None) -> None:
-    """Fold the records written so far into one file. Seeing old and new ones meanwhile does no
-    harm, since the latest record is the same. Records at a time at which a load still noted in
-    ``begun_path`` began stay too: without them it, or one it shared a table with, would seem
-    ``unfinished``."""
+def compact_state(spark: SparkSession, path: str, notes: str | None = None, grace: float = 0.0, least: int = 2) -> None:
+    """Fold the records written so far into one file. Records of runs that still have a note below
+    ``notes`` stay too: without them they would seem interrupted. The notes are read after the records
+    were listed, and a run leaves its note before it writes its record, so none is overlooked."""
 
     def fold(records: DataFrame) -> DataFrame:
-        latest = latest_state(records)
-        if begun_path is None:
-            return latest
-        begun = read_state(spark, begun_path).select("updated_at").distinct()
-        return latest.union(records.join(begun, "updated_at", "left_semi").select(*latest.columns)).distinct()
-
-    compact_records(spark, path, SCHEMA, fold)
-
-
-def unfinished(spark: SparkSession, begun_path: str, state_path: str, mine: Column) -> list[datetime]:
-    """Run times at which a load of the sources ``mine`` was begun and none of them finished."""
-    micros = F.unix_micros("updated_at").alias("micros")
-    begun = read_state(spark, begun_path).where(mine).select(micros).distinct()
-    done = read_state(spark, state_path).where(mine).select(micros).distinct()
-    epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
-    return [epoch + timedelta(microseconds=r["micros"]) for r in begun.join(done, "micros", "left_anti").collect()]
+        latest = latest_state(records).withColumn("run", F.lit(None).cast("string"))
+        runs = ledger.open_ids(spark, notes) if notes else []
+        return latest.union(records.where(F.col("run").isin(runs)).select(*latest.columns)) if runs else latest
+
+    compact_records(spark, path, SCHEMA, fold, grace, least)

@@ -15,7 +15,7 @@ from firstpour.functions.charset import force_encode
 from firstpour.functions.naming import bronze_name_column
 from firstpour.functions.stamp import PARTITION_COLUMNS, in_utc, partition_values
 from firstpour.functions.text import quoted, text_literal
-from firstpour.operators import load_log, state
+from firstpour.operators import ledger, load_log, state
 from firstpour.operators.land import (
     Landed,
     WriteOptions,
@@ -183,9 +183,24 @@ def next_watermark(
 
 
 def _shared(spark: SparkSession, config: BronzeConfig, source: Source) -> bool:
+    if any(run.key != source.key for run in ledger.open_runs(spark, config.notes_path, config.folder(source))):
+        return True
     own = F.struct(*state.KEY) == F.struct(*[F.lit(k) for k in source.key])
-    begun = state.read_state(spark, config.begun_path).where(sharing(config, source) & ~own)
-    return not begun.isEmpty() or not state.read_state(spark, config.state_path).where(sharing(config, source) & ~own).isEmpty()
+    return not state.read_state(spark, config.state_path).where(sharing(config, source) & ~own).isEmpty()
+
+
+def recover(spark: SparkSession, config: BronzeConfig, source: Source) -> int:
+    """Delete the files that interrupted loads have left in a source's table, by it or by another that
+    shares it, and close their runs. A run that a state record has committed is only closed."""
+    folder = config.folder(source)
+    runs = ledger.open_runs(spark, config.notes_path, folder)
+    done = state.committed(spark, config.state_path, [run.id for run in runs])
+    count = 0
+    for run in runs:
+        if run.id not in done:
+            count += ledger.undo(spark, config.ledger_path, run)
+        ledger.close(spark, config.notes_path, run)
+    return count + undo_after(spark, folder, last_commit(spark, config, source))
 
 
 def _request(config: BronzeConfig, source: Source, last: str | None) -> str:
@@ -209,8 +224,8 @@ def attempt(
     """Run one load and describe how it went; a failure is in the result, not raised.
 
     The watermark moves only after the rows are published. A load that dies in between is loaded
-    again from the old watermark, so rows may arrive twice; with ``reconcile`` what it left behind
-    is deleted first.
+    again from the old watermark, so rows may arrive twice; with ``reconcile`` the files it left
+    behind are deleted first, as the ledger of runs tells them.
     """
     run_ts = in_utc(run_ts)
     began = datetime.now(timezone.utc)
@@ -244,9 +259,7 @@ def attempt(
         if source.type not in readers(config):
             raise ValueError(f"unknown source type {source.type!r}")
         if config.reconcile and source.incremental:
-            committed = last_commit(spark, config, source)
-            begun = state.unfinished(spark, config.begun_path, config.state_path, sharing(config, source))
-            if undo_after(spark, folder, committed, begun) and spark.catalog.tableExists(table):
+            if recover(spark, config, source) and spark.catalog.tableExists(table):
                 spark.catalog.refreshTable(table)
         if source.incremental:
             attach(spark, table, folder, True)
@@ -263,11 +276,10 @@ def attempt(
         options = WriteOptions(config.compression, config.max_records_per_file, rebalance, config.files)
         criteria = source.criteria if source.incremental else None
         sending = datetime.now(timezone.utc)
-        if source.incremental and (config.reconcile or start.updated_at is None):
-            # Without a state record yet, nothing else would tell what an interrupted load left.
-            state.advance(spark, config.begun_path, source.key, None, None, run_ts)
         if source.incremental:
-            landed = land_incremental(df, folder, run_ts, criteria, options, known)
+            opened = ledger.begin(spark, config.notes_path, folder, source.key, run_ts)
+            landed = land_incremental(df, folder, run_ts, criteria, options, known, opened)
+            ledger.enter(spark, config.ledger_path, opened, landed.files)
         else:
             landed = land_full(df, folder, run_ts, criteria, options)
         rows = landed.rows
@@ -284,7 +296,8 @@ def attempt(
         if source.incremental:
             stage = "watermark"
             watermark, kind = next_watermark(spark, config, source, start, landed)
-            state.advance(spark, config.state_path, source.key, watermark, kind, run_ts)
+            state.advance(spark, config.state_path, source.key, watermark, kind, run_ts, opened.id)
+            ledger.close(spark, config.notes_path, opened)
         record("SUCCESS")
         return LoadResult(source, table, rows, decision, watermark, None, records)
     except Exception as error:
@@ -308,11 +321,20 @@ def load(spark: SparkSession, config: BronzeConfig, source: Source, run_ts: date
     prepare(spark, config)
     result = attempt(spark, config, source, run_ts)
     load_log.log_loads(spark, config.log_path, result.records)
+    compact(spark, config, config.compact_after)
     if result.error:
         raise LoadError(result.error)
     return result
 
 
+def compact(spark: SparkSession, config: BronzeConfig, least: int = 2) -> None:
+    """Fold the state, ledger and log records of past loads into one file each, where there are at
+    least ``least`` folders. Other loads, on this driver or another, may run meanwhile."""
+    state.compact_state(spark, config.state_path, config.notes_path, config.fold_grace, least)
+    ledger.compact_ledger(spark, config.ledger_path, config.fold_grace, least)
+    load_log.compact_log(spark, config.log_path, config.fold_grace, least)
+
+
 def reset_watermark(
     spark: SparkSession, config: BronzeConfig, source: Source, value: object, at: datetime
 ) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor, as_completed
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from datetime import datetime
 from time import monotonic
 
@@ -10,13 +10,13 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from firstpour import storage
 from firstpour.config import BronzeConfig, Source, source_from_row
-from firstpour.operators import load_log, state
+from firstpour.operators import load_log
 from firstpour.plans.load import (
     LoadResult,
     Watermark,
     attempt,
+    compact,
     prepare,
     refused,
     stored_watermark,
@@ -26,9 +26,9 @@ from firstpour.sources.manifest import active_sources
 
 KEY = {"src_name": "SRC_NAME", "src_origin_name": "SRC_ORIGIN_NAME", "src_object_name": "SRC_OBJECT_NAME"}
 
-# Log records written together, and the seconds they may wait: few enough to lose little with the
-# driver, many enough not to leave a file per load. Errors do not wait.
-LOG_BATCH, LOG_SECONDS = 50, 30.0
+# Log records written together, and the seconds they may wait, whatever else still runs: few enough to
+# lose little with the driver, many enough not to leave a file per load. Errors do not wait.
+LOG_BATCH, LOG_SECONDS = 50, 5.0
 
 
 def plan(
@@ -55,7 +55,7 @@ def plan(
         wrong = None
         try:
             source = source_from_row(row)
-        except (TypeError, ValueError) as error:
+        except Exception as error:  # whatever a cell holds, the other rows are loaded
             source, wrong = source_from_row({**row.asDict(), "SRC_FLAG_INCR": None}), error
         if row["updated_micros"] is None:
             start = Watermark(source.last_update)
@@ -95,24 +95,15 @@ def run(
     try:
         with ThreadPoolExecutor(max_workers=max(1, config.parallel)) as pool:
             work = inheritable_thread_target(spark)(take_turns)
-            for done in as_completed([pool.submit(work, indexes) for indexes in turns.values()]):
-                unlogged += done.result()
+            pending = {pool.submit(work, indexes) for indexes in turns.values()}
+            while pending:
+                finished, pending = wait(pending, LOG_SECONDS, FIRST_COMPLETED)
+                unlogged += [record for done in finished for record in done.result()]
                 urgent = any(r.action == "ERROR" for r in unlogged) or monotonic() - written > LOG_SECONDS
-                if urgent or len(unlogged) >= LOG_BATCH:
+                if unlogged and (urgent or len(unlogged) >= LOG_BATCH):
                     load_log.log_loads(spark, config.log_path, unlogged)
                     unlogged, written = [], monotonic()
     finally:
         load_log.log_loads(spark, config.log_path, unlogged)
     compact(spark, config, config.compact_after)
     return [results[i] for i in sorted(results)]
-
-
-def compact(spark: SparkSession, config: BronzeConfig, least: int = 2) -> None:
-    """Fold the state and log records of past loads into one file each, where there are at least
-    ``least`` folders; run while no other driver is loading. State and begun loads are folded
-    together, as a begun load is told to have finished by its state record."""
-    if any(len(storage.children(spark, path)) >= least for path in (config.begun_path, config.state_path)):
-        state.compact_begun(spark, config.begun_path, config.state_path)
-        state.compact_state(spark, config.state_path, config.begun_path)
-    if len(storage.children(spark, config.log_path)) >= least:
-        load_log.compact_log(spark, config.log_path)

@@ -41,6 +41,7 @@ def config(spark, root):
             "TPCH": LakeDatabase(f"{SF}/{{object}}.parquet"),
         },
         database=root.rpartition("/")[2].replace("-", "_"),
+        fold_grace=0.0,
     )
     prepare(spark, made)
     return made

@@ -1,0 +1,195 @@
+"""The ledger of runs, recovery by file names, and generations of the small records."""
+
+import json
+from dataclasses import replace
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from firstpour import LoadError, Source, load, storage
+from firstpour.operators import ledger, records, state
+from firstpour.operators.land import land_incremental
+from firstpour.plans import load as plans
+from firstpour.plans.load import compact
+from firstpour.sources import read_bronze
+from tests.conftest import DAY_1, DAY_2, DAY_3, rows
+
+SCHEMA = "id int, n int"
+ONE, TWO = (Source("DB", "LAKE", "MAIN", name, None, True, "n") for name in ("a b", "a_b"))
+
+
+def ids(spark, table):
+    return sorted(r["id"] for r in read_bronze(spark, table).select("id").collect())
+
+
+def broken(monkeypatch, module, name):
+    def fail(*args, **kwargs):
+        raise OSError("driver gone")
+
+    patched = monkeypatch.context()
+    with_it = patched.__enter__()
+    with_it.setattr(module, name, fail)
+    return patched
+
+
+def test_every_file_is_entered_under_its_run(spark, config, put):
+    for n, day in ((2, DAY_1), (3, DAY_2)):
+        put("a b", [(i, i) for i in range(n)], SCHEMA)
+        put("a_b", [(10 + i, i) for i in range(n)], SCHEMA)
+        load(spark, config, ONE, day)
+        load(spark, config, TWO, day)
+    table = config.table(ONE)
+    entered = ledger.read_ledger(spark, config.ledger_path)
+    held = spark.table(table).select(F.col("_metadata.file_name").alias("file"), "id", "fetch_date")
+    joined = held.join(entered, "file").where("run_ts = fetch_date").groupBy("src_object_name", "run_ts").agg(F.collect_set("id").alias("ids"))
+    assert {(r["src_object_name"], tuple(sorted(r["ids"]))) for r in joined.collect()} == {("a b", (0, 1)), ("a b", (2,)), ("a_b", (10, 11)), ("a_b", (12,))}
+    assert entered.select("file").distinct().count() == held.select("file").distinct().count() == 4
+    assert entered.where("bytes > 0 and folder = '%s'" % config.folder(ONE)).count() == 4
+    assert ledger.open_ids(spark, config.notes_path) == []
+
+
+@pytest.mark.parametrize("stage", ["publish", "next_watermark"])
+@pytest.mark.parametrize("finisher", ["same", "other"])
+def test_interrupted_source_beside_a_finished_one(spark, config, put, monkeypatch, stage, finisher):
+    """Both at one run time, in one table: only the files of the one that died go."""
+    config = replace(config, reconcile=True)
+    put("a b", [(1, 1), (2, 2)], SCHEMA)
+    put("a_b", [(3, 3), (4, 4)], SCHEMA)
+    load(spark, config, ONE, DAY_1)
+    patched = broken(monkeypatch, plans, stage)
+    with pytest.raises(LoadError):
+        load(spark, config, TWO, DAY_1)
+    patched.__exit__(None, None, None)
+    order = (TWO, ONE) if finisher == "same" else (ONE, TWO)
+    for source in order:
+        load(spark, config, source, DAY_2)
+    assert ids(spark, config.table(ONE)) == [1, 2, 3, 4]
+    assert ledger.open_ids(spark, config.notes_path) == []
+    entered = {r["file"] for r in ledger.read_ledger(spark, config.ledger_path).collect()}
+    assert entered == {r[0] for r in spark.table(config.table(ONE)).select("_metadata.file_name").collect()}
+
+
+def test_interrupted_after_the_commit_keeps_its_rows(spark, config, put, monkeypatch):
+    put("a b", [(1, 1)], SCHEMA)
+    patched = broken(monkeypatch, ledger, "close")
+    with pytest.raises(LoadError):
+        load(spark, config, ONE, DAY_1)
+    patched.__exit__(None, None, None)
+    for n in range(3):  # folding must not lose the commit
+        state.advance(spark, config.state_path, ("x", "y", "z"), str(n), None, DAY_1)
+    compact(spark, config)
+    put("a b", [(1, 1), (2, 2)], SCHEMA)
+    assert load(spark, replace(config, reconcile=True), ONE, DAY_2).rows == 1
+    assert ids(spark, config.table(ONE)) == [1, 2]
+
+
+def test_interrupted_loads_of_long_ago_are_undone_too(spark, config, put, monkeypatch):
+    """Found by their notes, however many loads have finished since, with reconcile off meanwhile."""
+    put("a b", [(1, 1)], SCHEMA)
+    patched = broken(monkeypatch, plans, "publish")
+    with pytest.raises(LoadError):
+        load(spark, config, ONE, DAY_1)
+    patched.__exit__(None, None, None)
+    load(spark, config, ONE, DAY_2)
+    assert ids(spark, config.table(ONE)) == [1, 1]
+    put("a b", [(1, 1), (2, 2)], SCHEMA)
+    load(spark, replace(config, reconcile=True), ONE, DAY_3)
+    spark.sql(f"MSCK REPAIR TABLE {config.table(ONE)}")
+    assert ids(spark, config.table(ONE)) == [1, 2]
+
+
+def test_other_tables_files_and_unnamed_ones_stay(spark, config, put):
+    folder = f"{config.root}/t"
+    frame = spark.createDataFrame([(1, 1)], SCHEMA)
+    mine, other = (ledger.begin(spark, config.notes_path, f, ("a", "b", "c"), DAY_1) for f in (folder, f"{config.root}/t2"))
+    land_incremental(frame, folder, DAY_1)
+    landed = land_incremental(frame, folder, DAY_1, run=mine)
+    assert landed.files and all(name.startswith(mine.prefix) for name, _ in landed.files)
+    land_incremental(frame, f"{config.root}/t2", DAY_1, run=other)
+    assert [r.id for r in ledger.open_runs(spark, config.notes_path, folder)] == [mine.id]
+    assert ledger.undo(spark, config.ledger_path, mine) == 1 and ledger.undo(spark, config.ledger_path, mine) == 0
+    assert spark.read.parquet(f"{folder}/increments").count() == 1
+    assert spark.read.parquet(f"{config.root}/t2/increments").count() == 1
+
+
+# ---------------------------------------------------------------- generations
+
+
+def put_state(spark, path, n, minute):
+    state.advance(spark, path, ("A", "B", f"C{n % 3}"), str(n), "int", DAY_1 + timedelta(minutes=minute))
+
+
+def test_readers_and_appenders_during_a_fold_lose_nothing(spark, config):
+    path, seen = config.state_path, {}
+    for n in range(5):
+        put_state(spark, path, n, n)
+    early = state.read_state(spark, path)  # listed before the fold, read after it
+
+    def fold(found):
+        put_state(spark, path, 5, 5)  # another driver's append, complete before the fold is
+        seen["during"] = {r["value"] for r in state.read_state(spark, path).collect()}
+        storage.make_dirs(spark, f"{path}/batch-unfinished")
+        return found
+
+    assert records.compact_records(spark, path, state.SCHEMA, fold, grace=3600.0)
+    everything = {str(n) for n in range(6)}
+    assert seen["during"] == everything
+    assert {r["value"] for r in early.collect()} == {str(n) for n in range(5)}
+    assert sorted(r["value"] for r in state.read_state(spark, path).collect()) == sorted(everything)
+    put_state(spark, path, 6, 6)
+    assert records.compact_records(spark, path, state.SCHEMA, lambda found: found)  # without grace: old folders go
+    assert sorted(r["value"] for r in state.read_state(spark, path).collect()) == sorted(everything | {"6"})
+    names = storage.children(spark, path)
+    assert len([n for n in names if n.startswith("fold-")]) == 1 and [n for n in names if n.startswith("batch-")] == ["batch-unfinished"]
+    assert len(storage.hidden(spark, path, records.GENERATION)) == 1
+
+
+def test_of_two_folds_one_wins_and_nothing_is_seen_twice(spark, config):
+    path = config.state_path
+    for n in range(4):
+        put_state(spark, path, n, n)
+
+    def fold(found):
+        assert records.compact_records(spark, path, state.SCHEMA, lambda inner: inner, grace=3600.0)
+        return found
+
+    assert not records.compact_records(spark, path, state.SCHEMA, fold, grace=3600.0)
+    assert sorted(r["value"] for r in state.read_state(spark, path).collect()) == ["0", "1", "2", "3"]
+    assert len([n for n in storage.children(spark, path) if n.startswith("fold-")]) == 1
+
+
+def test_a_fold_that_died_changes_nothing(spark, config):
+    path = config.state_path
+    for n in range(3):
+        put_state(spark, path, n, n)
+
+    def fold(found):
+        records.append_records(found.coalesce(1), path, "fold")
+        raise OSError("driver gone")
+
+    with pytest.raises(OSError):
+        records.compact_records(spark, path, state.SCHEMA, fold)
+    assert sorted(r["value"] for r in state.read_state(spark, path).collect()) == ["0", "1", "2"]
+    state.compact_state(spark, path)
+    assert sorted(r["value"] for r in state.read_state(spark, path).collect()) == ["0", "1", "2"]
+
+
+def test_load_alone_keeps_folders_bounded(spark, config, put):
+    config = replace(config, compact_after=4)
+    for n in range(7):
+        put("a b", [(i, i) for i in range(n + 1)], SCHEMA)
+        load(spark, config, ONE, DAY_1 + timedelta(hours=n))
+    for path in (config.state_path, config.ledger_path, config.log_path):
+        assert len(storage.children(spark, path)) <= 4
+    assert ids(spark, config.table(ONE)) == list(range(7))
+    assert ledger.read_ledger(spark, config.ledger_path).count() == 7
+
+
+def test_small_files_show_whole_or_not_at_all(spark, root):
+    path = f"{root}/a b/x.json"
+    assert storage.read_text(spark, path) is None
+    assert storage.write_text(spark, path, json.dumps({"é": 1})) and not storage.write_text(spark, path, "other")
+    assert json.loads(storage.read_text(spark, path)) == {"é": 1}
+    assert storage.children(spark, f"{root}/a b") == ["x.json"] and storage.hidden(spark, f"{root}/a b", ".x.json-") == []
+    assert rows(spark.createDataFrame([(1,)], "a int")) == [(1,)]

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from firstpour import run, storage
-from firstpour.operators import load_log, state
+from firstpour.operators import ledger, load_log, state
 from firstpour.plans.run import compact, plan
 from firstpour.sources import active_sources, read_bronze
 from tests.conftest import DAY_1, DAY_2, DAY_3, rows
@@ -145,26 +145,60 @@ def test_folding_does_not_undo_finished_loads(spark, config, put, reconcile):
     put("a b", [(1, 1), (2, 2)], "id int, n int")
     results = run(spark, config, manifest, DAY_2)
     assert [r.error for r in results] == [None, None]
-    sharing = F.col("src_name") == "LAKE"
-    before = state.unfinished(spark, config.begun_path, config.state_path, sharing)
+    before = ledger.open_ids(spark, config.notes_path)
     compact(spark, config)
-    assert state.unfinished(spark, config.begun_path, config.state_path, sharing) == before
+    assert len(before) == (0 if reconcile else 1) and ledger.open_ids(spark, config.notes_path) == before
     put("a b", [(1, 1), (2, 2), (3, 3)], "id int, n int")
     results = run(spark, replace(config, reconcile=True), manifest, DAY_3)
     assert [r.error for r in results] == [None, None]
     assert rows(read_bronze(spark, results[0].table).select("id")) == [(1,), (2,), (3,), (5,)]
 
 
-def test_folding_keeps_what_was_begun_and_not_finished(spark, config):
-    """Whichever of the two folders is large enough to be folded."""
-    for n, (begun, done) in enumerate([(True, False), (True, True), (True, True), (False, True)]):
-        for path, wanted in ((config.begun_path, begun), (config.state_path, done)):
-            if wanted:
-                state.advance(spark, path, ("LAKE", "MAIN", "one"), str(n), "int", DAY_1.replace(minute=n))
-    everyone = F.lit(True)
+def test_folding_keeps_the_commits_of_runs_that_still_have_a_note(spark, config):
+    """A driver may die after it has committed a run and before it takes the note away."""
+    key, folder = ("LAKE", "MAIN", "one"), f"{config.root}/one"
+    for n, (noted, done) in enumerate([(True, False), (True, True), (False, True), (False, True)]):
+        at = DAY_1.replace(minute=n)
+        opened = ledger.begin(spark, config.notes_path, folder, key, at)
+        if done:
+            state.advance(spark, config.state_path, key, str(n), "int", at, opened.id)
+        if not noted:
+            ledger.close(spark, config.notes_path, opened)
+    ids = ledger.open_ids(spark, config.notes_path)
     for _ in range(2):
-        assert state.unfinished(spark, config.begun_path, config.state_path, everyone) == [DAY_1.replace(minute=0)]
+        assert len(state.committed(spark, config.state_path, ids)) == 1
         compact(spark, config, 3)
-    assert [len(storage.children(spark, p)) for p in (config.begun_path, config.state_path)] == [1, 1]
-    assert state.read_state(spark, config.begun_path).count() == 1
+    assert len(storage.children(spark, config.state_path)) == 1
+    assert state.read_state(spark, config.state_path).count() == 2
     assert rows(state.latest_state(state.read_state(spark, config.state_path)).select("value")) == [("3",)]
+
+
+def test_odd_flags_of_every_kind_are_logged(spark, config, put):
+    put("one", [(1, 1)], "id int, n int")
+    schema = SCHEMA.replace("SRC_FLAG_INCR int", "SRC_FLAG_INCR double")
+    row = ("DB", "LAKE", "MAIN", "one", None, 1, 1.0, "n", None, None)
+    manifest = spark.createDataFrame([(*row[:3], "odd", *row[4:6], float("inf"), *row[7:]), row], schema)
+    results = {r.source.object: r.error for r in run(spark, config, manifest, DAY_1)}
+    assert results["one"] is None and "control row" in results["odd"]
+
+
+def test_short_loads_are_logged_while_a_long_one_runs(spark, config, put, monkeypatch):
+    """A driver lost during a long load keeps the log of those that had finished."""
+    from threading import Event
+
+    from firstpour.plans import run as runs
+
+    put("one", [(1, 1)], "id int, n int")
+    seen = Event()
+
+    def slow(spark, config, source, last):
+        assert seen.wait(60)
+        return spark.range(1)
+
+    written = load_log.log_loads
+    monkeypatch.setattr(runs, "LOG_SECONDS", 0.2)
+    monkeypatch.setattr(load_log, "log_loads", lambda spark, path, records: (written(spark, path, records), records and seen.set()))
+    row = ("DB", "LAKE", "MAIN", "one", None, 1, 0, None, None, None)
+    manifest = spark.createDataFrame([("SLOW", "X", "MAIN", "two", *row[4:]), row], SCHEMA)
+    results = run(spark, replace(config, readers={"SLOW": slow}), manifest, DAY_1)
+    assert [r.error for r in results] == [None, None]
