@@ -253,14 +253,29 @@ class Scorer:
 
 
 def _curve(points: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
-    """Logistic regression of labels on the highest logit and the logarithm of the number of windows."""
+    """Logistic regression of labels on the highest logit and the logarithm of the number of windows.
+
+    Newton's steps, each halved until it lowers the loss enough; the loss has one minimum, so they end
+    there wherever the points lie."""
     x = np.column_stack([np.ones(len(y)), points[:, 0], np.log(points[:, 1])])
-    beta, prior = np.array([0.0, 1.0, 0.0]), np.array([0.0, 1.0, 0.0])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        curve = (x * (p * (1 - p))[:, None]).T @ x + np.diag([0.01, 0.1, 0.1])
-        step = np.linalg.solve(curve, x.T @ (y - p) - np.array([0.01, 0.1, 0.1]) * (beta - prior))
-        beta = beta + np.clip(step, -2, 2)
+    beta, prior, weight = np.array([0.0, 1.0, 0.0]), np.array([0.0, 1.0, 0.0]), np.array([0.01, 0.1, 0.1])
+
+    def loss(b: np.ndarray) -> float:
+        z = x @ b
+        return float((np.logaddexp(0, z) - y * z).sum() + (weight * (b - prior) ** 2).sum() / 2)
+
+    now = loss(beta)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -500, 500)))
+        slope = x.T @ (p - y) + weight * (beta - prior)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(weight), slope)
+        size, then = 1.0, loss(beta - step)
+        while then > now - 1e-4 * size * (slope @ step) and size > 1e-10:
+            size /= 2
+            then = loss(beta - size * step)
+        if not then < now:
+            break
+        beta, now = beta - size * step, then
     return tuple(float(b) for b in beta)
 
 

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 
+from firstpour.llm import registry
 from firstpour.llm import toxicity as t
 from tests.llm.helpers import edges
 
@@ -84,3 +85,25 @@ def test_edges(spark):
     rows = t.score(docs, t.learn(known, labels.union(labels))).collect()
     assert len(rows) == 12 and all(0 <= r["score"] <= 1 for r in rows)
     assert t.score(docs.limit(0), none).count() == 0
+
+
+def test_curve_ends_at_the_least_loss():
+    draw = np.random.default_rng(7)
+    for share, gap, spread in ((0.5, 1, 1), (0.1, 12, 3), (0.02, 20, 8), (0.3, 0, 10), (0.5, 60, 1), (0.07, 9, 0.5)):
+        y = (draw.random(800) < share).astype(float)
+        points = np.column_stack([np.where(y > 0, gap / 2, -gap / 2) + draw.normal(0, spread, 800), 1 + draw.integers(0, 3000, 800)])
+        x = np.column_stack([np.ones(800), points[:, 0], np.log(points[:, 1])])
+        weight, prior = np.array([0.01, 0.1, 0.1]), np.array([0.0, 1.0, 0.0])
+        beta = np.array(t._curve(points, y))
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -500, 500)))
+        assert np.abs(x.T @ (p - y) + weight * (beta - prior)).max() < 1e-3
+
+
+def test_held_out_texts_of_the_given_tables(spark):
+    """Recall and precision of the query on texts whose labels it has not seen."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").groupBy("doc_id").agg({"toxic": "max"}).toDF("doc_id", "toxic")
+    found = registry.op8_toxicity(spark, sf).where("held_out").join(labels, "doc_id").groupBy("toxic", "predicted").count().collect()
+    n = {(r["toxic"] > 0, r["predicted"]): r["count"] for r in found}
+    right = n.get((True, 1), 0)
+    assert right / (right + n.get((True, 0), 0)) >= 0.85 and right / (right + n.get((False, 1), 0)) >= 0.85
