@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from firstpour import BronzeConfig, JdbcDatabase, LakeDatabase, LoadResult, Source, Split, load, run, storage
 from firstpour import testing
+from firstpour.functions.charset import code_page
 from firstpour.functions import (
     all_string as cast_all,
     bronze_name_column,
@@ -31,6 +32,7 @@ from firstpour.functions import (
     with_fetch_partitions,
 )
 from firstpour.operators import ledger, load_log as logs, records, state
+from firstpour.operators.footers import footer_watermark
 from firstpour.operators.land import WriteOptions, land_full as land_snapshot, land_incremental as land_batch
 from firstpour.operators.merge import merge_chunks as merge
 from firstpour.operators.metrics import high_watermark as highest
@@ -42,7 +44,7 @@ from firstpour.operators.publish import (
     sync_partitions as synchronise,
     table_schema,
 )
-from firstpour.plans.load import prepare
+from firstpour.plans.load import prepare, read_database
 from firstpour.sources import (
     active_sources,
     decode_sheets,
@@ -612,6 +614,68 @@ def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge(counts)
 
 
+class _Lost(BaseException):
+    """Ends a run as the loss of its driver does: no load catches it."""
+
+
+def resumed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run, cut short at one source and taken up again: rows and times in each bronze table."""
+
+    def lost(spark: SparkSession, config: BronzeConfig, source: Source, last: str | None) -> DataFrame:
+        if source.object == "lineitem":
+            raise _Lost
+        return read_database(spark, config, source, last)
+
+    config = _config(spark, sf_dir, parallel=2)
+    manifest = spark.createDataFrame(MANIFEST_ROWS, MANIFEST_SCHEMA)
+    try:
+        run(spark, replace(config, readers={"DB": lost}), manifest, DAY_1, name="night")
+    except _Lost:
+        results = run(spark, config, manifest, DAY_2, name="night")
+    times = F.countDistinct("fetch_date").alias("n_times")
+    counts = [
+        read_bronze(spark, r.table).agg(F.lit(r.source.object).alias("object"), F.count(F.lit(1)).alias("n_rows"), times)
+        for r in results
+        if spark.catalog.tableExists(r.table)
+    ]
+    return merge(counts)
+
+
+def code_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose UTF-8 bytes were read as three code pages, each repaired."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    parts = []
+    for name in ("windows-1252", "ISO-8859-15", "cp850"):
+        latin, page = "".join(map(chr, range(256))), code_page(name)
+        moved = [i for i in range(256) if latin[i] != page[i]]
+        misread = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
+        misread = F.translate(misread, "".join(latin[i] for i in moved), "".join(page[i] for i in moved))
+        parts.append(repair(documents.withColumn("text", misread), name).withColumn("page", F.lit(name)))
+    return merge(parts)
+
+
+def watermark_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Largest values of three columns of a bronze table, from the footers of its files."""
+    config, table = _two_event_days(spark, sf_dir)
+    bronze = read_bronze(spark, table)
+    high = [footer_watermark(bronze, c).withColumnRenamed("high", c) for c in ("ts", "event_id", "value")]
+    one, two, three = (h.withColumn("n", F.lit(1)) for h in high)
+    return one.join(two, "n").join(three, "n").drop("n")
+
+
+def counted_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the log says of rows that a watermark keeps out and of text that could not be repaired."""
+    config, folder = _writable(spark, count_missed=True)
+    orders = _table(spark, sf_dir, "orders")
+    orders.withColumn("o_orderdate", F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate"))).write.parquet(f"{folder}/orders")
+    load(spark, config, Source("DB", "SRC", "MAIN", "orders", None, True, "o_orderdate", "1998-01-01 00:00:00"), DAY_1)
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    odd = F.when(F.col("lang") == "en", F.concat(F.lit("\u0416"), "text")).otherwise(F.decode(F.encode("text", "UTF-8"), "ISO-8859-1"))
+    documents.withColumn("text", odd).write.parquet(f"{folder}/documents")
+    load(spark, config, Source("DB", "SRC", "MAIN", "documents", force_encode="ISO-8859-1"), DAY_1)
+    return logs.read_log(spark, config.log_path).where("ACTION = 'WARNING'").select("SRC_OBJECT_NAME", "ERROR_MESSAGE")
+
+
 def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     config, _ = _run(spark, sf_dir)
     return logs.read_log(spark, config.log_path).select(
@@ -645,7 +709,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         publish_incremental, sync_partitions, publish_decision, empty_batch, schema_first, schema_merged,
         incremental_two_batches, watermark_state, full_load_with_watermark, run_manifest, load_log,
         type_drift, watermark_float, shared_table, interrupted_first_load, interrupted_shared_table, load_ledger,
-        state_folded,
+        state_folded, resumed_run, code_pages, watermark_footers, counted_warnings,
     ]
     return {query.__name__: query for query in registered} | _llm()[0]
 
@@ -714,6 +778,28 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT CASE WHEN o_orderdate <= TIMESTAMP '1998-01-01 00:00:00' THEN '20240115' ELSE '20240116' END AS day FROM orders)
             GROUP BY day
         """,
+        "resumed_run": f"""
+            SELECT 'nation' AS object, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_times FROM nation
+            UNION ALL SELECT 'supplier', count(*), 1 FROM supplier WHERE s_acctbal >= 0
+            UNION ALL SELECT 'customer', count(*), 1 FROM customer
+            UNION ALL SELECT 'orders', count(*), 1 FROM orders WHERE {selected}
+            UNION ALL SELECT 'lineitem', count(*), 1 FROM lineitem
+            UNION ALL SELECT 'events', count(*), 1 FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00'
+        """,
+        "code_pages": """
+            SELECT doc_id, text, page FROM documents, (VALUES ('windows-1252'), ('ISO-8859-15'), ('cp850')) p(page)
+        """,
+        "watermark_footers": "SELECT max(ts) AS ts, max(event_id) AS event_id, max(value) AS value FROM events",
+        "counted_warnings": """
+            SELECT 'orders' AS "SRC_OBJECT_NAME", n || ' rows ' || said AS "ERROR_MESSAGE" FROM (
+                SELECT count(*) AS n, 'equal to the watermark 1998-01-01 00:00:00 were not loaded' AS said
+                FROM orders WHERE o_orderstatus <> 'P' AND o_orderdate = TIMESTAMP '1998-01-01 00:00:00'
+                UNION ALL SELECT count(*), 'without a value of o_orderdate were not loaded' FROM orders WHERE o_orderstatus = 'P')
+            WHERE n > 0
+            UNION ALL SELECT 'documents', n || ' values of column text are no text read under ISO-8859-1 and stay as they were' FROM (
+                SELECT count(*) AS n FROM documents WHERE lang = 'en' AND text IS NOT NULL)
+            WHERE n > 0
+        """,
         "state_folded": """
             SELECT src_name, src_object_name, value, updated_at FROM (
                 SELECT event_type AS src_name, CAST(user_id AS VARCHAR) AS src_object_name, CAST(event_id AS VARCHAR) AS value,

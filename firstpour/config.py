@@ -111,6 +111,9 @@ class BronzeConfig:
     files: int | None = None
     # Scan the whole bronze table for the watermark after every incremental load.
     exact_watermark: bool = False
+    # Count, while an increment is written, the rows that the watermark keeps out for good: those equal
+    # to it and those without a value. They are read for it.
+    count_missed: bool = False
     # Undo what an interrupted load left behind before loading again.
     reconcile: bool = False
     # Apply constraint and watermark to workbook sources too.

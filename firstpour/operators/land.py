@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation
@@ -15,19 +15,20 @@ from firstpour import storage
 from firstpour.functions.stamp import PARTITION_COLUMNS, in_utc, partition_values, stamp
 from firstpour.functions.text import quoted
 from firstpour.operators.ledger import PREFIX, Run
-from firstpour.operators.metrics import batch_metrics, observed
+from firstpour.operators.metrics import Watch, batch_metrics, observed
 
 
 @dataclass(frozen=True)
 class Landed:
     """What a landing wrote. ``high`` is the batch's largest criteria value, as text; ``files`` are the
-    names and bytes of what a run landed."""
+    names and bytes of what a run landed, ``counts`` what else was counted on the way."""
 
     path: str
     rows: int
     high: str | None
     schema: StructType
     files: tuple[tuple[str, int], ...] = ()
+    counts: dict[str, int] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -110,6 +111,7 @@ def land_full(
     run_ts: datetime,
     criteria: str | None = None,
     options: WriteOptions = WriteOptions(),
+    watch: Watch = Watch(),
 ) -> Landed:
     """Write a snapshot into a run folder of its own, under the run's day.
 
@@ -122,10 +124,10 @@ def land_full(
     observation = Observation()
     df, renamed = make_room(df, ("fetch_date",))
     criteria = landed_criteria(criteria, renamed)
-    batch = observed(options.prepare(stamp(df, run_ts)), observation, criteria)
+    batch = watch.written(observed(options.prepare(stamp(df, run_ts)), observation, criteria, watch), criteria)
     try:
         options.writer(batch).mode("errorifexists").parquet(path)
-        rows, high = batch_metrics(
+        rows, high, counts = batch_metrics(
             observation, lambda: spark.read.schema(batch.schema).parquet(path), criteria
         )
     except Exception:
@@ -133,7 +135,7 @@ def land_full(
         raise
     if rows == 0:
         storage.delete(spark, path)
-    return Landed(path, rows, high, batch.schema)
+    return Landed(path, rows, high, batch.schema, counts=counts)
 
 
 def land_incremental(
@@ -144,6 +146,7 @@ def land_incremental(
     options: WriteOptions = WriteOptions(),
     schema: StructType | None = None,
     run: Run | None = None,
+    watch: Watch = Watch(),
 ) -> Landed:
     """Append a batch to the run's day partition, keeping every file already there.
 
@@ -155,7 +158,7 @@ def land_incremental(
     df, renamed = make_room(df, ("fetch_date", *PARTITION_COLUMNS))
     criteria = landed_criteria(criteria, renamed)
     plain = conform(stamp(df, run_ts), schema)
-    batch = observed(options.prepare(plain), observation, criteria)
+    batch = watch.written(observed(options.prepare(plain), observation, criteria, watch), criteria)
     days = {name: F.lit(value) for name, value in partition_values(run_ts).items()}
     path = increments(folder)
     day = "/".join([path, *(f"{name}={value}" for name, value in partition_values(run_ts).items())])
@@ -176,9 +179,9 @@ def land_incremental(
         # Another source of the same table may have landed at the same run time: not its files.
         return written.where(~F.col("_metadata.file_name").isin(before)) if before else written
 
-    rows, high = batch_metrics(observation, landed, criteria)
+    rows, high, counts = batch_metrics(observation, landed, criteria)
     files = storage.files(df.sparkSession, day, run.prefix) if run else []
-    return Landed(path, rows, high, batch.schema, tuple(files))
+    return Landed(path, rows, high, batch.schema, tuple(files), counts)
 
 
 def drop_other_runs(spark, landed_path: str) -> None:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from firstpour.operators.records import append_records, compact_records, make_records, read_records
 
@@ -51,6 +52,13 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return read_records(spark, path, SCHEMA)
 
 
+def last_durations(spark: SparkSession, path: str) -> dict[tuple[str, str, str], float]:
+    """Seconds each source took the last time it was loaded: as many values as there are sources."""
+    key = ("SRC_NAME", "SRC_ORIGIN_NAME", "SRC_OBJECT_NAME")
+    done = read_log(spark, path).where("ACTION = 'SUCCESS'").groupBy(*key)
+    return {tuple(r[k] for k in key): r["took"] for r in done.agg(F.max_by("TOTAL_DURATION", "START_TIME").alias("took")).collect()}
+
+
 def compact_log(spark: SparkSession, path: str, grace: float = 0.0, least: int = 2) -> None:
     """Fold the records written so far into one file."""
     compact_records(spark, path, SCHEMA, lambda records: records, grace, least)

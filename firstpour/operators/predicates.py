@@ -36,17 +36,19 @@ def constrain(df: DataFrame, text: str | None) -> DataFrame:
     return df.where(F.expr(condition(text))) if condition(text) else df
 
 
-def since(df: DataFrame, column: str | None, value: str | None) -> DataFrame:
+def since(df: DataFrame, column: str | None, value: str | None, missed: bool = False) -> DataFrame:
     """Rows strictly past the watermark. Without a column or a value there is no filter: comparing
-    with null would keep nothing. Rows whose own value is null or equal are not picked up."""
+    with null would keep nothing. Rows whose own value is null or equal are not picked up, but for
+    ``missed``, to be counted."""
     if not column or value is None:
         return df
-    return df.where(criteria_column(df, column) > F.lit(value).cast(field_type(df, column)))
+    own, mark = criteria_column(df, column), F.lit(value).cast(field_type(df, column))
+    return df.where((own >= mark) | own.isNull() if missed else own > mark)
 
 
 def select_rows(
-    df: DataFrame, where: str | None = None, column: str | None = None, value: str | None = None
+    df: DataFrame, where: str | None = None, column: str | None = None, value: str | None = None, missed: bool = False
 ) -> DataFrame:
     """Constraint AND watermark. Each is its own condition, so ``a OR b`` as a constraint means
     ``(a OR b) AND column > value``."""
-    return since(constrain(df, where), column, value)
+    return since(constrain(df, where), column, value, missed)

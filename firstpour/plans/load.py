@@ -8,10 +8,11 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from firstpour import storage
 from firstpour.config import BronzeConfig, JdbcDatabase, Source, watermark_to_text
-from firstpour.functions.charset import force_encode
+from firstpour.functions.charset import force_encode, unrepaired
 from firstpour.functions.naming import bronze_name_column
 from firstpour.functions.stamp import PARTITION_COLUMNS, in_utc, partition_values
 from firstpour.functions.text import quoted, text_literal
@@ -23,14 +24,19 @@ from firstpour.operators.land import (
     land_incremental,
     undo_after,
 )
-from firstpour.operators.metrics import high_watermark, watermark_text
-from firstpour.operators.predicates import field_type, select_rows
+from firstpour.operators.footers import footer_watermark
+from firstpour.operators.metrics import Watch, high_watermark, watermark_text
+from firstpour.operators.predicates import column_name, field_type, select_rows
 from firstpour.operators.publish import attach, is_partitioned, publish, table_schema
 from firstpour.sources.jdbc import full_table_name, request_text, scan_jdbc
 from firstpour.sources.lake import scan_parquet
 from firstpour.sources.sheets import LEADING_ROWS, scan_sheets
 
 
+#: Column of a batch with the names of the columns whose text could not be repaired; it is not landed.
+UNREPAIRED = "_unrepaired_"
+
+
 class LoadError(Exception):
     """A load that stopped; the stage and the cause are in the message and in the load log."""
 
@@ -63,14 +69,20 @@ def read_database(spark: SparkSession, config: BronzeConfig, source: Source, las
     if isinstance(database, JdbcDatabase):
         df = scan_jdbc(
             spark, database, source.origin, source.object, source.constraint, source.criteria, last,
-            charset=source.force_encode,
+            charset=source.force_encode, missed=_counts_missed(config, source),
         )
         if source.force_encode and database.convert:
             return df
     else:
         scan = scan_parquet(spark, database.path(source.origin, source.object))
-        df = select_rows(scan, source.constraint, source.criteria, last)
-    return force_encode(df, source.force_encode)
+        df = select_rows(scan, source.constraint, source.criteria, last, _counts_missed(config, source))
+    if not source.force_encode:
+        return df
+    return force_encode(df.withColumn(UNREPAIRED, unrepaired(df, source.force_encode)), source.force_encode)
+
+
+def _counts_missed(config: BronzeConfig, source: Source) -> bool:
+    return config.count_missed and source.incremental
 
 
 def read_file(spark: SparkSession, config: BronzeConfig, source: Source, last: str | None) -> DataFrame:
@@ -78,7 +90,9 @@ def read_file(spark: SparkSession, config: BronzeConfig, source: Source, last: s
     if source.name not in LEADING_ROWS:
         raise ValueError(f"unknown workbook source {source.name!r}")
     df = scan_sheets(spark, source.origin, source.object, LEADING_ROWS[source.name])
-    return select_rows(df, source.constraint, source.criteria, last) if config.filter_files else df
+    if not config.filter_files:
+        return df
+    return select_rows(df, source.constraint, source.criteria, last, _counts_missed(config, source))
 
 
 READERS: dict[str, Callable[[SparkSession, BronzeConfig, Source, str | None], DataFrame]] = {
@@ -173,7 +187,8 @@ def next_watermark(
     type = field_type(bronze, criteria)
     by_hand = start.updated_at is not None and not start.recorded
     if (config.exact_watermark or by_hand) and not _shared(spark, config, source):
-        frame = high_watermark(bronze, criteria)
+        named = column_name(bronze, criteria)
+        frame = footer_watermark(bronze, named) if named else high_watermark(bronze, criteria)
     else:
         values = [F.lit(value).cast(type) for value in (landed.high, start.value)]
         frame = spark.sql("VALUES (1)").select(F.greatest(*values, F.lit(None).cast(type)).alias("high"))
@@ -214,6 +229,23 @@ def _request(config: BronzeConfig, source: Source, last: str | None) -> str:
     )
 
 
+def _watch(config: BronzeConfig, source: Source, df: DataFrame, last: str | None) -> tuple[Watch, dict[str, str]]:
+    """What to count while a batch is written, and what the log says of each count."""
+    said = {
+        "equal": f"rows equal to the watermark {last} were not loaded",
+        "empty": f"rows without a value of {source.criteria} were not loaded",
+    }
+    past = last if _counts_missed(config, source) and source.criteria and (source.type != "FILE" or config.filter_files) else None
+    if not source.force_encode or UNREPAIRED not in df.columns:
+        return Watch(past), said
+    counts = {}
+    for i, f in enumerate(df.schema.fields):
+        if isinstance(f.dataType, StringType):
+            counts[f"u{i}"] = F.count_if(F.array_contains(F.col(UNREPAIRED), f.name))
+            said[f"u{i}"] = f"values of column {f.name} are no text read under {source.force_encode} and stay as they were"
+    return Watch(past, counts, (UNREPAIRED,)), said
+
+
 def attempt(
     spark: SparkSession,
     config: BronzeConfig,
@@ -275,15 +307,19 @@ def attempt(
         rebalance = narrow if config.rebalance is None else config.rebalance
         options = WriteOptions(config.compression, config.max_records_per_file, rebalance, config.files)
         criteria = source.criteria if source.incremental else None
+        watch, said = _watch(config, source, df, last)
         sending = datetime.now(timezone.utc)
         if source.incremental:
             opened = ledger.begin(spark, config.notes_path, folder, source.key, run_ts)
-            landed = land_incremental(df, folder, run_ts, criteria, options, known, opened)
+            landed = land_incremental(df, folder, run_ts, criteria, options, known, opened, watch)
             ledger.enter(spark, config.ledger_path, opened, landed.files)
         else:
-            landed = land_full(df, folder, run_ts, criteria, options)
+            landed = land_full(df, folder, run_ts, criteria, options, watch)
         rows = landed.rows
         send = (datetime.now(timezone.utc) - sending).total_seconds()
+        for name, count in landed.counts.items():
+            if count:
+                record("WARNING", None, f"{count} {said[name]}")
         if rows == 0:
             record("WARNING", None, "no rows to land")
             attach(spark, table, folder, source.incremental)

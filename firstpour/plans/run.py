@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+from dataclasses import replace
 from datetime import datetime
 from time import monotonic
 
@@ -22,6 +24,7 @@ from firstpour.plans.load import (
     stored_watermark,
     stored_watermarks,
 )
+from firstpour.plans.progress import Progress
 from firstpour.sources.manifest import active_sources
 
 KEY = {"src_name": "SRC_NAME", "src_origin_name": "SRC_ORIGIN_NAME", "src_object_name": "SRC_OBJECT_NAME"}
@@ -66,16 +69,31 @@ def plan(
 
 
 def run(
-    spark: SparkSession, config: BronzeConfig, manifest: DataFrame, run_ts: datetime
+    spark: SparkSession, config: BronzeConfig, manifest: DataFrame, run_ts: datetime, name: str | None = None
 ) -> list[LoadResult]:
     """One load per active source, ``config.parallel`` at a time; sources that share a bronze table
     take turns in table order. A failed load or an odd control row is logged and does not stop the
-    others. Grown state and log folders are folded at the end."""
+    others. Where sources have to wait, those that took longest the last time come first. Grown state
+    and log folders are folded at the end.
+
+    With a ``name``, a run that was cut short goes on when it is started again under that name: with
+    the time it began with, and with what it has not loaded yet. What the lost driver left half done
+    is undone first, as with ``reconcile``.
+    """
     prepare(spark, config)
+    progress = Progress(spark, config, name, run_ts) if name else None
+    if progress:
+        run_ts = progress.at
+        config = replace(config, reconcile=config.reconcile or progress.resumed)
     planned = plan(spark, config, manifest)
     turns: dict[str, list[int]] = {}
     for i, (source, _, _) in enumerate(planned):
         turns.setdefault(config.table(source), []).append(i)
+    order = list(turns.values())
+    if len(order) > config.parallel:
+        took = load_log.last_durations(spark, config.log_path)
+        # sources never loaded before may be the longest of all
+        order.sort(key=lambda indexes: -sum(took.get(planned[i][0].key, math.inf) for i in indexes))
     results: dict[int, LoadResult] = {}
     unlogged: list[load_log.LogRecord] = []
     written = monotonic()
@@ -87,15 +105,18 @@ def run(
             if wrong is not None:
                 results[i] = refused(config, source, wrong)
                 continue
+            before = progress.loaded(source, start) if progress and source.key not in seen else None
             # A source listed twice starts its second turn from what the first one stored.
-            results[i] = attempt(spark, config, source, run_ts, None if source.key in seen else start)
+            results[i] = before or attempt(spark, config, source, run_ts, None if source.key in seen else start)
             seen.add(source.key)
+            if progress and before is None:
+                progress.note(results[i])
         return [record for i in indexes for record in results[i].records]
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, config.parallel)) as pool:
             work = inheritable_thread_target(spark)(take_turns)
-            pending = {pool.submit(work, indexes) for indexes in turns.values()}
+            pending = {pool.submit(work, indexes) for indexes in order}
             while pending:
                 finished, pending = wait(pending, LOG_SECONDS, FIRST_COMPLETED)
                 unlogged += [record for done in finished for record in done.result()]

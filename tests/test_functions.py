@@ -3,6 +3,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from firstpour.functions.charset import code_page, unrepaired
 from firstpour.functions import all_string, force_encode, partition_values, stamp, with_fetch_partitions
 from firstpour.functions.naming import bronze_name, bronze_name_column
 from tests.conftest import DAY_1, rows
@@ -84,3 +85,33 @@ def test_name_column_agrees_with_name(spark):
     df = spark.createDataFrame(sources, "t string, n string, o string, b string")
     made = df.select(bronze_name_column(F.col("t"), F.col("n"), F.col("o"), F.col("b")).alias("name"))
     assert [r["name"] for r in made.collect()] == [bronze_name(*s) for s in sources]
+
+
+PAGES = ("windows-1252", "ISO-8859-15", "cp850", "cp037", "koi8-r")
+
+
+@pytest.mark.parametrize("charset", PAGES)
+def test_code_pages_round_trip_like_the_codecs(spark, charset):
+    page = code_page(charset)
+    for b in range(256):
+        try:
+            assert page[b] == bytes([b]).decode(charset)
+        except UnicodeDecodeError:
+            assert page[b] == chr(b)
+    texts = ["plain", "café – “x” € ñ", "日本語 😀", "".join(map(chr, range(1, 0x250))), "", "ß" * 300]
+    df = spark.createDataFrame([(i, "".join(page[b] for b in t.encode())) for i, t in enumerate(texts)] + [(9, None)], "id int, t string")
+    assert [r["t"] for r in force_encode(df, charset).orderBy("id").collect()] == [*texts, None]
+    assert [r["t"] for r in force_encode(df, charset, errors="raise").orderBy("id").collect()] == [*texts, None]
+    assert df.select(unrepaired(df, charset).alias("u")).where("size(u) > 0").count() == 0
+
+
+def test_values_no_code_page_explains_stay_and_are_named(spark):
+    df = spark.createDataFrame([(1, "Ω", "cafÃ©"), (2, "é", "ok"), (3, None, "日")], "id int, a string, b string")
+    assert rows(force_encode(df, "windows-1252")) == [(1, "Ω", "café"), (2, "é", "ok"), (3, None, "日")]
+    assert rows(df.select("id", unrepaired(df, "windows-1252").alias("u"))) == [(1, ["a"]), (2, ["a"]), (3, ["b"])]
+    with pytest.raises(Exception, match="not text in WINDOWS-1252"):
+        force_encode(df, "windows-1252", errors="raise").collect()
+
+
+def test_charsets_of_several_bytes_are_no_code_pages():
+    assert [code_page(c) for c in ("shift_jis", "gbk", "utf-7", "base64", "nowhere")] == [None] * 5

@@ -1,11 +1,12 @@
 from dataclasses import replace
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from firstpour import run, storage
 from firstpour.operators import ledger, load_log, state
+from firstpour.operators.land import land_incremental
 from firstpour.plans.run import compact, plan
 from firstpour.sources import active_sources, read_bronze
 from tests.conftest import DAY_1, DAY_2, DAY_3, rows
@@ -202,3 +203,62 @@ def test_short_loads_are_logged_while_a_long_one_runs(spark, config, put, monkey
     manifest = spark.createDataFrame([("SLOW", "X", "MAIN", "two", *row[4:]), row], SCHEMA)
     results = run(spark, replace(config, readers={"SLOW": slow}), manifest, DAY_1)
     assert [r.error for r in results] == [None, None]
+
+
+class Killed(BaseException):
+    """What ends a driver: no load catches it."""
+
+
+def dying(objects):
+    from firstpour.plans.load import read_database
+
+    def read(spark, config, source, last):
+        if source.object in objects:
+            raise Killed
+        return read_database(spark, config, source, last)
+
+    return {"DB": read}
+
+
+def test_a_run_cut_short_is_taken_up_again(spark, config, put, monkeypatch):
+    row = ("DB", "LAKE", "MAIN", "one", None, 1, 1, "n", None, None)
+    names = ["one", "two", "three", "four"]
+    for name in names:
+        put(name, [(1, 1), (2, 2)], "id int, n int")
+    manifest = spark.createDataFrame([(*row[:3], n, *row[4:6], int(n != "two"), *row[7:]) for n in names], SCHEMA)
+    lone = replace(config, parallel=1, readers=dying(["three"]))
+    with pytest.raises(Killed):
+        run(spark, lone, manifest, DAY_1, name="night 15")
+    # the load of three died with its rows landed, too
+    opened = ledger.begin(spark, config.notes_path, f"{config.root}/lake_main_three", ("LAKE", "MAIN", "three"), DAY_1)
+    land_incremental(spark.createDataFrame([(1, 1)], "id int, n int"), f"{config.root}/lake_main_three", DAY_1, run=opened)
+    results = run(spark, replace(config, parallel=1), manifest, DAY_2, name="night 15")
+    assert [(r.source.object, r.rows, r.error) for r in results] == [(n, 2, None) for n in names]
+    before = {r.source.object for r in results if r.decision == "loaded before"}
+    assert before and "three" not in before
+    for r in results:
+        held = read_bronze(spark, r.table)
+        assert rows(held.select("id")) == [(1,), (2,)] and held.select("fetch_date").distinct().count() == 1
+        assert {x["d"] for x in held.select(F.date_format("fetch_date", "yyyyMMdd").alias("d")).collect()} == {"20240115"}
+    again = run(spark, config, manifest, DAY_3, name="night 15")
+    assert {r.decision for r in again} == {"loaded before"}
+    # a note may be lost: the watermark record has the run's time
+    storage.delete(spark, f"{config.root}/_control/runs")
+    assert [r.rows for r in run(spark, config, manifest.where("SRC_OBJECT_NAME <> 'two'"), DAY_1, name="night 15")] == [0, 0, 0]
+    assert rows(read_bronze(spark, results[0].table).select("id")) == [(1,), (2,)]
+
+
+def test_longest_loads_come_first(spark, config, put):
+    began = []
+
+    def slow(spark, config, source, last):
+        began.append(source.object)
+        return spark.range(1)
+
+    def record(name, seconds, day):
+        return load_log.LogRecord(day, day + timedelta(seconds=seconds), ("X", "M", name), "", "SLOW", "SUCCESS")
+
+    load_log.log_loads(spark, config.log_path, [record("a", 5, DAY_1), record("b", 60, DAY_1), record("c", 99, DAY_1), record("c", 1, DAY_2)])
+    manifest = spark.createDataFrame([("SLOW", "X", "M", n, None, 1, 0, None, None, None) for n in "abcd"], SCHEMA)
+    run(spark, replace(config, parallel=1, readers={"SLOW": slow}), manifest, DAY_3)
+    assert began == ["d", "b", "a", "c"]
