@@ -42,7 +42,7 @@ STRIDE = 8
 HIDDEN, VECTOR = 8, 4
 NGRAMS = (4, 5, 6)
 #: Words a task remembers, and windows it scores at a time.
-REMEMBERED, BATCH = 500_000, 8192
+REMEMBERED, BATCH = 500_000, 4096
 WORD = re.compile(r"\w+")
 
 
@@ -74,8 +74,24 @@ class Inputs:
         """A learned vector's place for each kept word; 0 is for all others."""
         return {w: i + 1 for i, w in enumerate(sorted(self.words))}
 
+    @cached_property
+    def _odds(self) -> tuple[dict[str, float], dict[str, float]]:
+        """A third of the odds of each kept word and n-gram."""
+        n = (self.n_toxic, self.n_other)
+        words, grams = ({f: odds(*counts, *n) / 3 for f, counts in held.items()} for held in (self.words, self.grams))
+        return words, grams
+
     def values(self, word: str, label: int = -1) -> tuple[float, float, float, float]:
         """Odds of a word and the highest, lowest and mean odds of its n-grams, without one text of ``label``."""
+        if label < 0:
+            words, known = self._odds
+            marked, parts = f"^{word}$", []
+            for n in NGRAMS:
+                for i in range(len(marked) - n + 1):
+                    own = known.get(marked[i : i + n])
+                    if own is not None:
+                        parts.append(own)
+            return words.get(word, 0.0), max(parts, default=0.0), min(parts, default=0.0), sum(parts) / (len(parts) + 1)
         less_toxic, less_other = int(label == 1), int(label == 0)
         n = (self.n_toxic - less_toxic, self.n_other - less_other)
 
@@ -90,6 +106,14 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
+def _squash(x: np.ndarray) -> None:
+    """1 - 2 / (1 + exp(x)), in place."""
+    np.exp(x, out=x)
+    x += 1
+    np.divide(-2, x, out=x)
+    x += 1
+
+
 class Network:
     """Two gated recurrent layers, one for each direction, attention over their states, one logit."""
 
@@ -133,6 +157,63 @@ class Network:
             store.append((states, e, weight, pooled))
         return (pooled @ self.p["o"])[:, 0] + self.p["k"][0]
 
+    def tables(self, values: np.ndarray, places: np.ndarray) -> tuple[list[tuple[np.ndarray, ...]], np.ndarray]:
+        """For ``logits``: per direction what distinct words give to the gates, the weights of the state,
+        and the state after a first word; and the weights of attention and output.
+
+        Hidden units come first, and signs and factors are such that a gate is 1 / (1 + exp(x)) and a
+        candidate 1 - 2 / (1 + exp(x)). Row 0 is the place without a word.
+        """
+        made = []
+        for d, x in zip("fb", self.projected(values, places), strict=True):
+            scale = np.concatenate([np.full(2 * HIDDEN, -1), np.full(HIDDEN, 2)]).astype(np.float32)[:, None]
+            gates, u = (x.T * scale).astype(np.float32), self.p[f"u{d}"].T * scale
+            with np.errstate(over="ignore"):
+                first = (1 - 2 / (1 + np.exp(gates[2 * HIDDEN :]))) / (1 + np.exp(gates[:HIDDEN]))
+            first[:, 0] = 0
+            made.append(tuple(np.ascontiguousarray(m, np.float32) for m in (gates, u[: 2 * HIDDEN], u[2 * HIDDEN :], first)))
+        return made, np.ascontiguousarray(np.concatenate([2 * self.p["a"], self.p["o"]], axis=1).T, np.float32)
+
+    def logits(self, tables: tuple[list[tuple[np.ndarray, ...]], np.ndarray], window: np.ndarray) -> np.ndarray:
+        """What ``run`` gives, for windows (time, windows) of rows of the tables."""
+        steps, n = window.shape
+        words = window > 0
+        full = bool(words.all())
+        states = np.empty((steps, 2 * HIDDEN, n), np.float32)
+        with np.errstate(over="ignore"):
+            for d, (gates, u_gates, u_new, first) in enumerate(tables[0]):
+                h = None
+                for t in range(steps) if d == 0 else range(steps - 1, -1, -1):
+                    into = states[t, d * HIDDEN : (d + 1) * HIDDEN]
+                    if h is None:
+                        np.take(first, window[t], axis=1, out=into, mode="clip")
+                        h = into
+                        continue
+                    x = gates.take(window[t], axis=1, mode="clip")
+                    zr, c = x[: 2 * HIDDEN], x[2 * HIDDEN :]
+                    zr += u_gates @ h
+                    np.exp(zr, out=zr)
+                    zr += 1
+                    np.reciprocal(zr, out=zr)
+                    zr[HIDDEN:] *= h
+                    c += u_new @ zr[HIDDEN:]
+                    _squash(c)
+                    c -= h
+                    c *= zr[:HIDDEN]
+                    if not full:
+                        c *= words[t]
+                    np.add(h, c, out=into)
+                    h = into
+            found = tables[1] @ states
+            e = found[:, :HIDDEN]
+            _squash(e)
+        weight = np.einsum("k,tkn->tn", self.p["v"][:, 0], e)
+        if not full:
+            weight += np.where(words, 0, -30).astype(np.float32)
+        weight -= weight.max(axis=0)
+        np.exp(weight, out=weight)
+        return (weight * found[:, HIDDEN]).sum(axis=0) / weight.sum(axis=0) + self.p["k"][0]
+
     def gradients(self, values: np.ndarray, places: np.ndarray, mask: np.ndarray, y: np.ndarray, w: np.ndarray) -> dict[str, np.ndarray]:
         """Of the weighted logistic loss, by going back through time; inputs are (time, windows, ...)."""
         store: list = []
@@ -225,10 +306,11 @@ class Scorer:
         return [np.fromiter(map(known.__getitem__, own), np.int32, len(own)) for own in cut]
 
     def peaks(self, texts: list[str]) -> list[tuple[float, int]]:
-        """The highest window logit of each text, and its number of windows."""
+        """The highest window logit of each text, and its number of windows. Windows of equal words give
+        equal logits, which are computed once."""
         rows = self._rows([words(t) for t in texts])
         inputs = np.array(self._table["inputs"], np.float32)
-        gates = [g.astype(np.float32) for g in self.network.projected(inputs[:, :4], inputs[:, 4].astype(int))]
+        tables = self.network.tables(inputs[:, :4], inputs[:, 4].astype(int))
         counts = [1 + max(0, len(r) - WINDOW) for r in rows]
         flat = np.zeros(sum(n - 1 + WINDOW for n in counts), np.int32)
         starts, at = [], 0
@@ -237,10 +319,11 @@ class Scorer:
             starts.append(at + np.arange(n))
             at += n - 1 + WINDOW
         begin = np.concatenate(starts) if starts else np.empty(0, int)
-        logits = np.empty(len(begin), np.float32)
-        for i in range(0, len(begin), BATCH):
-            window = flat[begin[i : i + BATCH] + np.arange(WINDOW)[:, None]]
-            logits[i : i + BATCH] = self.network.run([g[window] for g in gates], (window > 0).astype(np.float32))
+        once, same = _distinct(flat, begin)
+        logits = np.empty(len(once), np.float32)
+        for i in range(0, len(once), BATCH):
+            logits[i : i + BATCH] = self.network.logits(tables, flat[once[i : i + BATCH] + np.arange(WINDOW)[:, None]])
+        logits = logits[same]
         edges = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(int)
         top = np.maximum.reduceat(logits, edges) if len(texts) else []
         return [(float(t), n) for t, n in zip(top, counts, strict=True)]
@@ -252,6 +335,24 @@ class Scorer:
         return [1 / (1 + math.exp(-max(-30, min(30, bias + slope * top + length * math.log(n))))) for top, n in self.peaks(texts)]
 
 
+def _distinct(flat: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where one of each kind of equal windows begins, and which of these each window equals."""
+    mixed = (flat.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(29)
+    key = np.zeros(len(begin), np.uint64)
+    for k in range(WINDOW):
+        key = key * np.uint64(0xBF58476D1CE4E5B9) + mixed[begin + k]
+    _, first, same = np.unique(key, return_index=True, return_inverse=True)
+    once = begin[first]
+    other = np.zeros(len(begin), bool)  # of equal keys and different words, should that ever be
+    for k in range(WINDOW):
+        other |= flat[begin + k] != flat[once[same] + k]
+    if other.any():
+        same[other] = len(once) + np.arange(other.sum())
+        once = np.concatenate([once, begin[other]])
+    return once, same
+
+
 def _curve(points: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     """Logistic regression of labels on the highest logit and the logarithm of the number of windows.
 

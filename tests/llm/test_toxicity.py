@@ -74,6 +74,31 @@ def test_every_window_is_scored():
         assert n == len(parts) and np.isclose(top, max(x for x, _ in scorer.peaks(parts)), atol=1e-5)
 
 
+def test_scoring_gives_what_training_sees():
+    draw = np.random.default_rng(3)
+    network = t.Network(5)
+    for name in network.p:
+        network.p[name] = (3 * draw.normal(size=network.p[name].shape)).astype(np.float32)
+    values = draw.normal(0, 4, (40, 4)).astype(np.float32)
+    places = draw.integers(0, 6, 40)
+    window = draw.integers(1, 40, (t.WINDOW, 300))
+    for padded in (False, True):
+        if padded:
+            for i in range(300):
+                window[draw.integers(0, t.WINDOW + 1) :, i] = 0
+        expected = network.run([g[window] for g in network.projected(values, places)], (window > 0).astype(np.float32))
+        assert np.abs(network.logits(network.tables(values, places), window) - expected).max() < 1e-4
+
+
+def test_equal_windows_are_told_and_odd_keys_do_no_harm():
+    draw = np.random.default_rng(5)
+    flat = draw.integers(0, 2, 400).astype(np.int32)
+    begin = np.concatenate([np.arange(300), np.arange(100)])
+    once, same = t._distinct(flat, begin)
+    assert len(once) <= 300 and all((flat[once[s] : once[s] + 16] == flat[b : b + 16]).all() for s, b in zip(same, begin))
+    assert [len(x) for x in t._distinct(flat, begin[:0])] == [0, 0]
+
+
 def test_edges(spark):
     docs = edges(spark)
     none = t.learn(docs, spark.createDataFrame([(4, None), (None, 1)], "doc_id long, toxic int"))
