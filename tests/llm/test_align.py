@@ -128,6 +128,16 @@ def test_random_texts(pair):
                 assert Counter((p // pair.size_b, p % pair.size_b) for p in closed.pairs.repeat(closed.times).tolist()) == Counter(expected[3])
 
 
+def test_both_encoders_give_the_same_ids(pair):
+    pair.size_b  # noqa: B018
+    draw, letters = random.Random(12), "ab1'!sé日٣² \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2003\u2028\u200b\u3000\ufeff"
+    texts = ["".join(draw.choice(letters) for _ in range(draw.randint(1, 30))) for _ in range(5000)]
+    points = [chr(c) for c in range(1, 0x110000, 7) if not 0xD800 <= c <= 0xDFFF]
+    texts += [" ".join(f"a{c}1{c} {c}" for c in points[i : i + 100]) for i in range(0, len(points), 100)]
+    for text in texts:
+        assert pair.quick.encode_ordinary(text) == pair.one.encode(text, add_special_tokens=False).ids
+
+
 def test_no_bytes_change_nothing(pair):
     some = pair.fragment("some words here", 0, 3, 9)
     for parts in ([align.EMPTY, some], [some, align.EMPTY], [some]):
