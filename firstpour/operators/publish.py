@@ -87,19 +87,51 @@ def create_partitioned(spark: SparkSession, table: str, path: str, schema: Struc
 
 
 def sync_partitions(
-    spark: SparkSession, table: str, partition: Mapping[str, str] | None = None
-) -> None:
-    """Register partitions that exist as folders.
+    spark: SparkSession, table: str, partition: Mapping[str, str] | None = None, newer: bool = False
+) -> int:
+    """Register partitions that exist as folders; returns how many were looked at as unknown.
 
     A load knows the one partition it wrote, and adding that is a single catalog call whatever the
-    length of the history. Without a partition the whole folder tree is compared with the catalog.
+    length of the history. Without a partition the day folders are compared with the catalog: one
+    listing a month, of folders only, and only what the catalog lacks is added. With ``newer`` only
+    days from the catalog's last one on are listed, a month or two.
     """
     if partition:
-        spec = ", ".join(f"{name} = '{value}'" for name, value in partition.items())
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec})")
+        unknown = [dict(partition)]
     else:
-        spark.sql(f"MSCK REPAIR TABLE {table}")
+        known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+        last = max((name.rpartition("=")[2] for name in known), default="") if newer else ""
+        folders = _days(spark, _location(spark, table), last)
+        unknown = [dict(part.split("=", 1) for part in day.split("/")) for day in folders if day not in known]
+    for first in range(0, len(unknown), 100):
+        specs = " ".join(
+            "PARTITION (" + ", ".join(f"{name} = {text_literal(value)}" for name, value in day.items()) + ")"
+            for day in unknown[first : first + 100]
+        )
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
     spark.catalog.refreshTable(table)
+    return len(unknown)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    # The table's details follow its columns, one of which may have the same name.
+    return described[-1]["data_type"]
+
+
+def _days(spark: SparkSession, path: str, first: str = "") -> Iterator[str]:
+    """Day folders, as year/month/day below a table's folder, oldest first, from a day on; folders of
+    earlier years and months are not opened."""
+
+    def below(folder: str, name: str, size: int) -> list[str]:
+        names = [n for n in storage.children(spark, folder) if n.startswith(f"{name}=")]
+        return [n for n in names if n.partition("=")[2] >= first[:size]]
+
+    names = PARTITION_COLUMNS
+    for year in below(path, names[0], 4):
+        for month in below(f"{path}/{year}", names[1], 6):
+            for day in below(f"{path}/{year}/{month}", names[2], 8):
+                yield f"{year}/{month}/{day}"
 
 
 def _day_folders(spark: SparkSession, path: str) -> Iterator[str]:

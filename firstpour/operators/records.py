@@ -112,8 +112,11 @@ def compact_records(
     """
     sweep(spark, path, grace)
     now = generation(spark, path)
-    old = [name for name in live(spark, path, now) if storage.exists(spark, f"{path}/{name}/_SUCCESS")]
-    if len(old) < max(2, least):
+    names = live(spark, path, now)
+    if len(names) < max(2, least):
+        return True
+    old = [name for name in names if storage.exists(spark, f"{path}/{name}/_SUCCESS")]
+    if len(old) < 2:
         return True
     records = spark.read.schema(schema).parquet(*[f"{path}/{name}" for name in old])
     base = append_records(fold(records).coalesce(1), path, "fold")

@@ -6,7 +6,7 @@ from firstpour.functions import partition_values
 from firstpour.operators import metrics
 from firstpour.operators.land import WriteOptions, conform, land_full, land_incremental
 from firstpour.operators.merge import merge_chunks
-from firstpour.operators.publish import attach, is_partitioned, publish, sync_partitions, table_schema
+from firstpour.operators.publish import attach, create_partitioned, is_partitioned, publish, sync_partitions, table_schema
 from firstpour.sources import file_count, landed_files, last_sequence, read_bronze
 from tests.conftest import DAY_1, DAY_1_LATER, DAY_2, rows
 
@@ -241,3 +241,26 @@ def test_merged_read_of_a_table_with_a_column_named_like_its_details(spark, fold
     source = spark.range(1).withColumn("Location", F.lit("here"))
     publish(spark, table, land_incremental(source, folder, DAY_1), True, partition_values(DAY_1))
     assert read_bronze(spark, table, merge_schema=True).first()["Location"] == "here"
+
+
+def test_folders_are_compared_like_a_repair_over_many_days(spark, config):
+    """A thousand days, a few of which the catalog does not know."""
+    folder = f"{config.root}/many/increments"
+    days = spark.range(1000).selectExpr("id", "date_add(DATE '2021-01-01', CAST(id AS INT)) AS d").selectExpr(
+        "id", "date_format(d, 'yyyy') AS fetch_year", "date_format(d, 'yyyyMM') AS fetch_month", "date_format(d, 'yyyyMMdd') AS fetch_day"
+    )
+    days.coalesce(1).write.partitionBy("fetch_year", "fetch_month", "fetch_day").parquet(folder)
+    own, repaired = f"`{config.schema}`.own", f"`{config.schema}`.repaired"
+    for table in (own, repaired):
+        create_partitioned(spark, table, folder, spark.range(1).schema)
+    spark.sql(f"MSCK REPAIR TABLE {repaired}")
+    assert sync_partitions(spark, own) == 1000
+    for day in ("2021-02-03", "2022-07-09", "2023-09-27"):
+        y, m, d = day[:4], day[:4] + day[5:7], day.replace("-", "")
+        spark.sql(f"ALTER TABLE {own} DROP PARTITION (fetch_year = '{y}', fetch_month = '{m}', fetch_day = '{d}')")
+    assert spark.table(own).count() == 997
+    assert sync_partitions(spark, own, newer=True) == 1
+    assert sync_partitions(spark, own) == 2 and sync_partitions(spark, own) == 0
+    listed = [sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {t}").collect()) for t in (own, repaired)]
+    assert listed[0] == listed[1] and len(listed[0]) == 1000
+    assert rows(spark.table(own)) == rows(spark.table(repaired))
