@@ -2,6 +2,10 @@
 
 Each stage works on all that its predecessor kept and returns the columns of ``documents``, the last
 one the tokens. Between stages the rows are written to the shared folder and read again.
+
+Null and empty texts, and texts without a letter, have no language and go in the first stage. Of rows
+with one id, one stays if its text is that of its group's smallest id; rows without an id all stay.
+Other columns of the documents pass through all stages but the last. An empty table gives an empty one.
 """
 
 from __future__ import annotations

@@ -9,12 +9,14 @@ bytes still left. Escapes cost what method D gives them: half a count for each d
 starts after five boundary bytes and ends with one, so its probability covers where it stops.
 
 The counts grow with the corpus and are never gathered in one place. Probabilities are worked out per
-last two bytes of the context, each group bounded by the 16.7 million ways to go on; only contexts of
-one byte, at most 65,536 counts, go to all tasks. Texts are then dealt into blocks of about
-``BLOCK_BYTES``, and each block gets the probabilities of just the sequences it holds. Word counts of the base score travel the same way. A block is bounded by its size, or one text.
+last two bytes of the context; the largest such group holds about a fiftieth of all distinct sequences of
+a usual corpus, and grows with it. Only contexts of one byte, at most 65,536 counts, go to all tasks.
+Texts are then dealt into blocks of about ``BLOCK_BYTES``, and each block gets the probabilities of just
+the sequences it holds. Word counts of the base score travel the same way. A block is bounded by its
+size, by one text, or by the rows that have one id and one beginning of a text, which share a block.
 
 A-Z count as a-z throughout. Null and empty texts have no words and only their end. Without training
-texts all bytes are equally likely. Repeated rows count once each and get repeated results; an empty
+texts all bytes are equally likely. Rows without an id are like any other. Repeated rows count once each and get repeated results; an empty
 table gives none. Other columns are not read.
 """
 
