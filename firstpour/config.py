@@ -16,7 +16,7 @@ class Split:
 
     ``column`` is a column of numbers, dates or times. The source counts its rows by ranges of it, and
     the ranges are chosen to hold equal numbers of rows. A value that holds more rows than a task should
-    get, or nulls that do, are split by ``then``, by default whichever other such column has the most
+    get, or nulls that do, are split by ``then``, by default whichever of the first eight other such columns has the most
     values there. ``expression`` is for what counting cannot serve: source SQL that yields a bucket
     number from 0 to ``partitions - 1``, such as a hash of the primary key taken modulo ``partitions``.
     """
@@ -25,6 +25,9 @@ class Split:
     column: str | None = None
     expression: str | None = None
     then: str | None = None
+    # Count the rows at the source. Without, ranges of the column are equal in width, cut between its
+    # smallest and largest value: two grouped queries less, and even only where the values are.
+    even: bool = True
 
     def __post_init__(self) -> None:
         if (self.column is None) == (self.expression is None):

@@ -73,14 +73,18 @@ def rename(spark: SparkSession, source: str, target: str) -> bool:
     fs, old = _open(spark, source)
     new = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(target))
     conf = spark._jsparkSession.sessionState().newHadoopConf()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
     keep = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
     try:
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
         context.rename(fs.makeQualified(old), new, keep)
     except Py4JJavaError as error:
-        if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+        name = error.java_exception.getClass().getSimpleName()
+        if name == "FileAlreadyExistsException":
+            return False
+        if name != "UnsupportedFileSystemException":
             raise
-        return False
+        # a store without that interface: its own rename, after a look
+        return not fs.exists(new) and fs.rename(old, new)
     return True
 
 

@@ -45,7 +45,11 @@ def test_default_scan_is_one_task_and_whole(spark, url, orders):
 
 
 @pytest.mark.parametrize(
-    "split", [Split(4, column="o_orderkey"), Split(4, column="o_orderdate"), Split(4, expression='MOD("o_custkey", 4)')]
+    "split",
+    [
+        Split(4, column="o_orderkey"), Split(4, column="o_orderdate"), Split(4, column="o_totalprice", even=False),
+        Split(4, column="o_orderdate", even=False), Split(4, expression='MOD("o_custkey", 4)'),
+    ],
 )
 def test_split_scan_is_whole(spark, url, orders, split):
     df = scan_jdbc(spark, database(url, orders=split), "", "orders")
