@@ -16,7 +16,6 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from firstpour import storage
 from firstpour.functions.stamp import in_utc, partition_values
@@ -63,6 +62,12 @@ def close(spark: SparkSession, notes: str, run: Run) -> None:
     storage.delete(spark, _note(notes, run))
 
 
+def close_empty(spark: SparkSession, notes: str, run: Run) -> None:
+    """Take away the note of a run that failed before any file of it was landed."""
+    if not storage.files(spark, run.day, run.prefix):
+        close(spark, notes, run)
+
+
 def open_runs(spark: SparkSession, notes: str, folder: str) -> list[Run]:
     """Runs into a table that have a note: under way, interrupted, or committed a moment ago."""
     own = f"{notes}/{folder.rpartition('/')[2]}"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
@@ -10,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from firstpour import storage
 from firstpour.config import BronzeConfig, JdbcDatabase, Source, watermark_to_text
 from firstpour.functions.charset import force_encode, unrepaired
 from firstpour.functions.naming import bronze_name_column
@@ -265,6 +265,7 @@ def attempt(
     folder = config.folder(source)
     stage, rows, send, decision, last = "start", 0, None, "nothing", None
     records: list[load_log.LogRecord] = []
+    opened: ledger.Run | None = None
 
     def record(action: str, error_type: str | None = None, message: str | None = None) -> None:
         records.append(
@@ -339,6 +340,9 @@ def attempt(
     except Exception as error:
         message = f"{stage}: {error}"
         record("ERROR", type(error).__name__, message)
+        if opened is not None and stage == "land":
+            with suppress(Exception):  # a note too many does no harm
+                ledger.close_empty(spark, config.notes_path, opened)
         return LoadResult(source, table, rows, decision, last, message, records)
 
 
