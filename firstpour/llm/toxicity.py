@@ -106,6 +106,15 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
+def _times(weights: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """A product of matrices in parts too small for a library to start threads over: a task has one core,
+    and for matrices this narrow threads mostly wait for each other."""
+    out = np.empty((len(weights), x.shape[1]), np.float32)
+    for at in range(0, x.shape[1], 1024):
+        np.matmul(weights, x[:, at : at + 1024], out=out[:, at : at + 1024])
+    return out
+
+
 def _squash(x: np.ndarray) -> None:
     """1 - 2 / (1 + exp(x)), in place."""
     np.exp(x, out=x)
@@ -191,12 +200,12 @@ class Network:
                         continue
                     x = gates.take(window[t], axis=1, mode="clip")
                     zr, c = x[: 2 * HIDDEN], x[2 * HIDDEN :]
-                    zr += u_gates @ h
+                    zr += _times(u_gates, h)
                     np.exp(zr, out=zr)
                     zr += 1
                     np.reciprocal(zr, out=zr)
                     zr[HIDDEN:] *= h
-                    c += u_new @ zr[HIDDEN:]
+                    c += _times(u_new, zr[HIDDEN:])
                     _squash(c)
                     c -= h
                     c *= zr[:HIDDEN]
@@ -204,7 +213,7 @@ class Network:
                         c *= words[t]
                     np.add(h, c, out=into)
                     h = into
-            found = tables[1] @ states
+            found = np.stack([_times(tables[1], h) for h in states])
             e = found[:, :HIDDEN]
             _squash(e)
         weight = np.einsum("k,tkn->tn", self.p["v"][:, 0], e)
