@@ -27,6 +27,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -75,22 +76,24 @@ class Inputs:
         return {w: i + 1 for i, w in enumerate(sorted(self.words))}
 
     @cached_property
-    def _odds(self) -> tuple[dict[str, float], dict[str, float]]:
-        """A third of the odds of each kept word and n-gram."""
+    def _odds(self) -> tuple[dict[str, float], ahocorasick.Automaton | None]:
+        """A third of the odds of each kept word, and an automaton that finds those of kept n-grams."""
         n = (self.n_toxic, self.n_other)
         words, grams = ({f: odds(*counts, *n) / 3 for f, counts in held.items()} for held in (self.words, self.grams))
-        return words, grams
+        found = ahocorasick.Automaton()
+        for g, value in grams.items():
+            found.add_word(g, value)
+        found.make_automaton()
+        return words, found if grams else None
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_odds"}
 
     def values(self, word: str, label: int = -1) -> tuple[float, float, float, float]:
         """Odds of a word and the highest, lowest and mean odds of its n-grams, without one text of ``label``."""
         if label < 0:
-            words, known = self._odds
-            marked, parts = f"^{word}$", []
-            for n in NGRAMS:
-                for i in range(len(marked) - n + 1):
-                    own = known.get(marked[i : i + n])
-                    if own is not None:
-                        parts.append(own)
+            words, found = self._odds
+            parts = [value for _, value in found.iter(f"^{word}$")] if found else []
             return words.get(word, 0.0), max(parts, default=0.0), min(parts, default=0.0), sum(parts) / (len(parts) + 1)
         less_toxic, less_other = int(label == 1), int(label == 0)
         n = (self.n_toxic - less_toxic, self.n_other - less_other)
