@@ -29,11 +29,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from firstpour import storage
-from firstpour.llm.tasks import map_text
+from firstpour.functions.text import quoted
+from firstpour.llm.tasks import map_text, unused
 
 #: Hash minima in a signature.
 MINIMA = 240
@@ -41,6 +42,8 @@ MINIMA = 240
 BLOCK = 512
 #: Words whose hashes a task remembers.
 REMEMBERED = 250_000
+#: Words of 64 bits that mark which ids may be among many; a power of two.
+MARKS = 1 << 18
 
 
 def banding(percent: int, minima: int = MINIMA) -> tuple[int, int]:
@@ -300,20 +303,43 @@ def near_duplicates(
     )
 
 
+def _marked(docs: DataFrame, ids: DataFrame, id: str, into: str) -> DataFrame:
+    """``docs`` with a flag that holds for all rows whose id is in ``ids``, and for few others.
+
+    A bit is set for the hash of each id; at most ``MARKS`` words of them go to all tasks, so no text is
+    shuffled to set the flag.
+    """
+    word, bits = unused(docs, "word"), unused(docs, "bits")
+
+    def at(column: str) -> tuple[Column, Column]:
+        hashed = F.xxhash64(F.col(quoted(column)).cast("long"))
+        return hashed.bitwiseAND(MARKS - 1), F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(hashed, 58).cast("int"))
+
+    own, bit = at(ids.columns[0])
+    marks = ids.select(own.alias(word), bit.alias(bits)).groupBy(word).agg(F.bit_or(bits).alias(bits))
+    own, bit = at(id)
+    joined = docs.withColumn(word, own).join(F.broadcast(marks), word, "left")
+    flag = F.coalesce(F.col(bits).bitwiseAND(bit) != 0, F.lit(False)).alias(into)
+    return joined.select(*[F.col(quoted(c)) for c in docs.columns], flag)
+
+
 def deduplicate(
     docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text", folder: str | None = None
 ) -> DataFrame:
     """One row of ``docs`` for each group of near duplicates: that with the smallest id.
 
     Of rows with one id, one stays if their text is that of a group's smallest id; rows without an id
-    all stay.
+    all stay. Only rows whose id may be a dropped or repeated one are shuffled with their texts.
     """
     folder = folder or storage.scratch(docs.sparkSession, "dedup")
     found = near_duplicates(docs.select(id, text), words, percent, id, text, folder).where(F.col(id).isNotNull())
     by = _saved(found.groupBy(F.col(id).alias("id")).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), folder, "kept")
     once, many = by.where("not kept or n > 1").select("id"), by.where("kept and n > 1").select("id")
+    flag = unused(docs, "flag")
+    marked = _marked(docs, once, id, flag)
     once, many = once.withColumnRenamed("id", id), many.withColumnRenamed("id", id)
-    out = docs.join(once, docs[id] == once[id], "left_anti")
+    looked_up = marked.where(F.col(flag)).drop(flag)
+    out = marked.where(~F.col(flag)).drop(flag).union(looked_up.join(once, looked_up[id] == once[id], "left_anti"))
     if not many.isEmpty():
-        out = out.union(docs.join(many, docs[id] == many[id], "left_semi").dropDuplicates([id]))
+        out = out.union(looked_up.join(many, looked_up[id] == many[id], "left_semi").dropDuplicates([id]))
     return out

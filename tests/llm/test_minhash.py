@@ -77,6 +77,24 @@ def test_edges(spark):
     assert minhash.deduplicate(edges(spark).limit(0)).count() == 0
 
 
+def test_only_rows_that_may_go_are_shuffled(spark):
+    """Texts of rows whose id is surely not dropped take no part in an exchange."""
+    docs = spark.createDataFrame([(i % 9_000 or None, f"t{i}") for i in range(10_000)], "doc_id long, text string")
+    ids = spark.range(0, 9_000, 20).toDF("id")
+    marked = {(r["doc_id"], r["text"]): r["flag"] for r in minhash._marked(docs, ids, "doc_id", "flag").collect()}
+    assert len(marked) == 10_000 and all(f for (i, _), f in marked.items() if i is not None and i % 20 == 0)
+    assert sum(marked.values()) < 700
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts = [(i, " ".join(f"w{(i if i % 10 else 1) * 31 + k}" for k in range(40))) for i in range(1, 400)]
+        kept = minhash.deduplicate(spark.createDataFrame([*texts, texts[6]], "doc_id long, text string"))
+        plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "strategy=broadcast" in plan
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted([i for i in range(1, 400) if i % 10])
+
+
 def test_chains_become_one_component(spark):
     edges_ = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = dict(map(tuple, minhash.components(edges_, storage.scratch(spark, "chain")).collect()))
