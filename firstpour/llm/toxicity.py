@@ -94,7 +94,9 @@ class Inputs:
         if label < 0:
             words, found = self._odds
             parts = [value for _, value in found.iter(f"^{word}$")] if found else []
-            return words.get(word, 0.0), max(parts, default=0.0), min(parts, default=0.0), sum(parts) / (len(parts) + 1)
+            if not parts:
+                return words.get(word, 0.0), 0.0, 0.0, 0.0
+            return words.get(word, 0.0), max(parts), min(parts), sum(parts) / (len(parts) + 1)
         less_toxic, less_other = int(label == 1), int(label == 0)
         n = (self.n_toxic - less_toxic, self.n_other - less_other)
 
@@ -188,12 +190,19 @@ class Network:
 
     def logits(self, tables: tuple[list[tuple[np.ndarray, ...]], np.ndarray], window: np.ndarray) -> np.ndarray:
         """What ``run`` gives, for windows (time, windows) of rows of the tables."""
+        return self.logits_at(tables, window.ravel(), np.arange(window.size).reshape(window.shape))
+
+    def logits_at(self, tables: tuple[list[tuple[np.ndarray, ...]], np.ndarray], rows: np.ndarray, window: np.ndarray) -> np.ndarray:
+        """What ``run`` gives, for windows (time, windows) of places in ``rows`` of the tables.
+
+        What a place gives to the gates is looked up once; the windows that share it find it nearby."""
         steps, n = window.shape
-        words = window > 0
+        words = (rows > 0)[window]
         full = bool(words.all())
         states = np.empty((steps, 2 * HIDDEN, n), np.float32)
         with np.errstate(over="ignore"):
             for d, (gates, u_gates, u_new, first) in enumerate(tables[0]):
+                gates, first = gates.take(rows, axis=1, mode="clip"), first.take(rows, axis=1, mode="clip")
                 h = None
                 for t in range(steps) if d == 0 else range(steps - 1, -1, -1):
                     into = states[t, d * HIDDEN : (d + 1) * HIDDEN]
@@ -307,13 +316,14 @@ class Scorer:
             known.clear()
             table["row"].clear()
             del table["inputs"][1:]
-        place = self.inputs.place
-        for w in {w for own in cut for w in own}.difference(known):
-            key = (*(round(v, 2) for v in self.inputs.values(w)), place.get(w, 0))
-            row = table["row"].get(key)
+        place, values, row_of, inputs = self.inputs.place, self.inputs.values, table["row"], table["inputs"]
+        for w in set().union(*cut).difference(known):
+            a, b, c, d = values(w)
+            key = (round(a, 2), round(b, 2), round(c, 2), round(d, 2), place.get(w, 0))
+            row = row_of.get(key)
             if row is None:
-                row = table["row"][key] = len(table["inputs"])
-                table["inputs"].append(key)
+                row = row_of[key] = len(inputs)
+                inputs.append(key)
             known[w] = row
         return [np.fromiter(map(known.__getitem__, own), np.int32, len(own)) for own in cut]
 
@@ -332,9 +342,12 @@ class Scorer:
             at += n - 1 + WINDOW
         begin = np.concatenate(starts) if starts else np.empty(0, int)
         once, same = _distinct(flat, begin)
+        order = np.argsort(once)
         logits = np.empty(len(once), np.float32)
         for i in range(0, len(once), BATCH):
-            logits[i : i + BATCH] = self.network.logits(tables, flat[once[i : i + BATCH] + np.arange(WINDOW)[:, None]])
+            own = order[i : i + BATCH]
+            places, at = _places(once[own])
+            logits[own] = self.network.logits_at(tables, flat[places], at + np.arange(WINDOW)[:, None])
         logits = logits[same]
         edges = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(int)
         top = np.maximum.reduceat(logits, edges) if len(texts) else []
@@ -347,6 +360,14 @@ class Scorer:
         return [1 / (1 + math.exp(-max(-30, min(30, bias + slope * top + length * math.log(n))))) for top, n in self.peaks(texts)]
 
 
+def _places(begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places that windows with rising beginnings cover, each once, and where each window begins in them."""
+    new = np.minimum(np.diff(begin, prepend=begin[0] - WINDOW), WINDOW)  # places no earlier window covers
+    end = np.cumsum(new)
+    places = np.repeat(begin + WINDOW - end, new) + np.arange(end[-1])
+    return places, end - WINDOW
+
+
 def _distinct(flat: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where one of each kind of equal windows begins, and which of these each window equals."""
     mixed = (flat.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)

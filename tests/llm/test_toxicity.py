@@ -99,6 +99,21 @@ def test_equal_windows_are_told_and_odd_keys_do_no_harm():
     assert [len(x) for x in t._distinct(flat, begin[:0])] == [0, 0]
 
 
+def test_windows_share_what_a_place_gives():
+    draw = np.random.default_rng(6)
+    for n, least in ((1, 1), (40, 1), (40, 9), (9, 40)):
+        begin = np.cumsum(draw.integers(least, least + 20, n))
+        places, at = t._places(begin)
+        assert (places[at + np.arange(t.WINDOW)[:, None]] == begin + np.arange(t.WINDOW)[:, None]).all()
+        assert len(set(places.tolist())) == len(places) == len({b + k for b in begin for k in range(t.WINDOW)})
+    network, flat = t.Network(5), draw.integers(0, 40, 400).astype(np.int32)
+    tables = network.tables(draw.normal(0, 4, (40, 4)).astype(np.float32), draw.integers(0, 6, 40))
+    begin = np.sort(draw.choice(380, 90, replace=False))
+    places, at = t._places(begin)
+    expected = network.logits(tables, flat[begin + np.arange(t.WINDOW)[:, None]])
+    assert np.allclose(network.logits_at(tables, flat[places], at + np.arange(t.WINDOW)[:, None]), expected, atol=1e-5)
+
+
 def test_edges(spark):
     docs = edges(spark)
     none = t.learn(docs, spark.createDataFrame([(4, None), (None, 1)], "doc_id long, toxic int"))
