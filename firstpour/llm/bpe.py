@@ -32,6 +32,8 @@ from firstpour.llm.tasks import map_text, ship
 
 #: Words, parts and pairs of tokens whose results a task remembers; beyond it the memory is emptied, results stay the same.
 REMEMBERED = 250_000
+#: Words of a text that are looked up together.
+AT_ONCE = 50_000
 #: What Unicode calls white space, the runs that the normaliser turns into a blank.
 SPACE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
@@ -87,8 +89,12 @@ class WordBpe:
             self.made.setdefault(token, (rank, a, b))
             self.symbol.setdefault(token, self.symbol[a] + self.symbol[b])
         self.automaton = ahocorasick.Automaton()
+        self.single = [-1] * 512  # the token of each symbol alone, which needs no automaton
         for token, symbols in self.symbol.items():
-            self.automaton.add_word(symbols, (len(symbols), token))
+            if len(symbols) > 1:
+                self.automaton.add_word(symbols, (1 - len(symbols), token))
+            else:
+                self.single[ord(symbols)] = token
         self.automaton.make_automaton()
         self.starts: dict[int, list[tuple[int, int]]] = {}
         self.compatible: dict[int, bool] = {}
@@ -123,46 +129,57 @@ class WordBpe:
             else:
                 end, q = made_q[0] + 1, made_q[1]
 
-    def _matches(self, symbols: str) -> array:
+    def _matches(self, symbols: str) -> list[int]:
         """The longest token that starts at each place of a word, or -1, from one pass of the automaton
         over it. Every other match there is one of the token's ``_starts``."""
-        longest = array("i", [-1]) * len(symbols)
-        for end, (size, token) in self.automaton.iter(symbols):
-            longest[end - size + 1] = token  # a place's matches come by their ends, the longest last
+        longest = list(map(self.single.__getitem__, map(ord, symbols)))
+        for end, (back, token) in self.automaton.iter(symbols):
+            longest[end + back] = token  # a place's matches come by their ends, the longest last
         return longest
 
     def _starts(self, token: int) -> list[tuple[int, int]]:
         """Tokens that a token starts with, itself included, shortest first: (symbols, token)."""
         found = self.starts.get(token)
         if found is None:
-            matches = self.automaton.iter(self.symbol[token]) if token >= 0 else ()
-            found = self.starts[token] = [match for end, match in matches if end + 1 == match[0]]
+            symbols = self.symbol[token] if token >= 0 else ""
+            found = [(1, self.single[ord(c)]) for c in symbols[:1]]
+            found += [(1 - back, match) for end, (back, match) in self.automaton.iter(symbols) if end + back == 0]
+            self.starts[token] = found
         return found
 
     def _word(self, symbols: str) -> list[int]:
-        open_ = bytearray(b"\1") * (len(symbols) + 1)
+        end, starts, compatible = len(symbols), self.starts, self.compatible
+        open_ = bytearray(b"\1") * (end + 1)
         tokens: list[int] = []
         trail: list[tuple[list[tuple[int, int]], int]] = []  # the matches left at each token's start
         longest = self._matches(symbols)
-        place, matches = 0, self._starts(longest[0])
+        place, before, matches = 0, -1, self._starts(longest[0])
         left = len(matches)
-        while place < len(symbols):
+        while place < end:
             while left:
                 left -= 1
                 size, token = matches[left]
-                if open_[place + size] and (not tokens or self._fits(tokens[-1], token)):
-                    tokens.append(token)
-                    trail.append((matches, left))
-                    place += size
-                    matches = self._starts(longest[place]) if place < len(symbols) else []
+                if not open_[place + size]:
+                    continue
+                if before >= 0:
+                    fits = compatible.get(before << 32 | token)
+                    if not fits and (fits is not None or not self._fits(before, token)):
+                        continue
+                tokens.append(token)
+                trail.append((matches, left))
+                place += size
+                before = token
+                if place < end:
+                    matches = starts.get(longest[place]) or self._starts(longest[place])
                     left = len(matches)
-                    break
+                break
             else:
                 if not tokens:
                     raise ValueError("the vocabulary lacks a byte")
                 open_[place] = 0
                 place -= len(self.symbol[tokens.pop()])
                 matches, left = trail.pop()
+                before = tokens[-1] if tokens else -1
         return tokens
 
     def _fits(self, left: int, right: int) -> bool:
@@ -215,15 +232,20 @@ class WordBpe:
         """Token ids of a text, as 32-bit integers."""
         self._built  # noqa: B018
         known, out = self.words, []
-        for chunk in text.split() if not ODD_SPACE.search(text) else SPACE.split(text):
-            ids = known.get(chunk)
-            if ids is None:
-                if len(known) > REMEMBERED:
-                    known.clear()
-                ids = self._chunk(chunk)
-                if len(chunk) < 50:
-                    known[chunk] = ids
-            out.append(ids)
+        chunks = text.split() if not ODD_SPACE.search(text) else SPACE.split(text)
+        for first in range(0, len(chunks), AT_ONCE):
+            part = chunks[first : first + AT_ONCE]
+            if len(known) > REMEMBERED:
+                known.clear()
+            found = list(map(known.get, part))
+            if None in found:
+                for i, ids in enumerate(found):
+                    if ids is None:
+                        chunk = part[i]
+                        found[i] = ids = known.get(chunk) or self._chunk(chunk)
+                        if len(chunk) < 50:
+                            known[chunk] = ids
+            out += found
         return b"".join(out)
 
     def decode(self, ids: np.ndarray) -> str:

@@ -54,6 +54,16 @@ def test_one_pass_finds_every_match(own):
             assert own._starts(token) == [(len(c), ids[c]) for c in cuts if c in ids]
 
 
+def test_single_symbols_need_no_automaton(own, library, monkeypatch):
+    own.encode("x")
+    assert all(len(own.symbol[token]) > 1 for _, token in own.automaton.values())
+    assert all(own._matches(chr(c)) == [own.single[c]] for c in range(512))
+    monkeypatch.setattr(bpe, "AT_ONCE", 7)
+    monkeypatch.setattr(bpe, "REMEMBERED", 20)
+    draw = random.Random(9)
+    assert same(own, library, " ".join("x" * draw.randint(1, 60) + draw.choice("abc") for _ in range(300)))
+
+
 def test_query_like_the_library(spark, library):
     digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
     found = {r["doc_id"]: tuple(r)[1:] for r in registry.op10_bpe(spark, SF).collect()}
