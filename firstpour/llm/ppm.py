@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -58,6 +59,12 @@ def sequences(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return codes[: starts[-1] - ORDER + 1][inner[: starts[-1] - ORDER + 1]] if texts else codes[:0], starts[:-1] - (ORDER - 1) * np.arange(len(texts))
 
 
+def _distinct(parts: list[np.ndarray]) -> np.ndarray:
+    """Distinct codes in order; sorting them is several times as fast as numpy's hashing."""
+    codes = np.sort(np.concatenate(parts))
+    return codes[np.concatenate([np.ones(min(1, len(codes)), bool), codes[1:] != codes[:-1]])]
+
+
 def _word_codes(words: Iterable[bytes]) -> np.ndarray:
     """63 bits of a hash below zero, where no sequence's code is."""
     return np.array([xxhash.xxh3_64_intdigest(w) | 1 << 63 for w in words], np.uint64).view(np.int64)
@@ -118,7 +125,7 @@ def probabilities(totals: DataFrame) -> DataFrame:
         shorter = {}  # order -> contexts, and how many longer contexts show each byte there
         for order in range(ORDER - 1, 1, -1):
             bits = (1 << 8 * (order + 2)) - 1
-            longer = np.unique(known & bits)
+            longer = _distinct([known & bits])
             shorter[order] = np.unique(longer & (bits >> 8), return_counts=True)
         rest = (order_1[int(context[0] & 255)], (order_1 > 0).sum(axis=0))
         longest, at = np.unique(context, return_inverse=True)
@@ -165,17 +172,15 @@ class Leaves:
     """Values of codes, by open addressing; only codes it was made of are asked for."""
 
     def __init__(self, codes: np.ndarray, values: np.ndarray):
-        self.bits = max(4, int(len(codes) * 3).bit_length())
+        self.bits = max(4, int(len(codes) * 1.5).bit_length())
         self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits)
         at = self._slot(codes)
         while len(codes):
             free = self.keys[at] < 0
-            slots, first = np.unique(at[free], return_index=True)
-            placed = np.flatnonzero(free)[first]
-            self.keys[slots], self.values[slots] = codes[placed], values[placed]
-            left = np.ones(len(codes), bool)
-            left[placed] = False
-            codes, values, at = codes[left], values[left], (at[left] + 1) & (len(self.keys) - 1)
+            self.keys[at[free]] = codes[free]
+            placed = self.keys[at] == codes  # of several at one place, the last
+            self.values[at[placed]] = values[placed]
+            codes, values, at = codes[~placed], values[~placed], (at[~placed] + 1) & (len(self.keys) - 1)
 
     def _slot(self, codes: np.ndarray) -> np.ndarray:
         return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -189,19 +194,17 @@ class Leaves:
         return self.values[at]
 
 
-def _slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    first = held = 0
-    for i, t in enumerate(texts):
-        if i > first and held + len(t) > STEP_BYTES:
-            yield first, i
-            first, held = i, 0
-        held += len(t)
-    if len(texts) > first:
-        yield first, len(texts)
+def _known(codes: np.ndarray, values: np.ndarray) -> tuple[Leaves, np.ndarray, np.ndarray]:
+    """Values of sequences, and the codes of words in order with theirs."""
+    grams = codes >= 0
+    leaves = Leaves(codes[grams], values[grams])
+    codes, values = codes[~grams], values[~grams]
+    order = np.argsort(codes)
+    return leaves, codes[order], values[order]
 
 
-def _raw(table: pa.Table) -> list[bytes]:
-    return [(t or b"").lower() for t in table.column("text").cast(pa.binary()).to_pylist()]
+def _raw(table: pa.Table | pa.RecordBatch) -> list[bytes]:
+    return [(t or b"").lower() for t in table.column(table.schema.get_field_index("text")).cast(pa.binary()).to_pylist()]
 
 
 def scored(docs: DataFrame, train: Column, id: str = "doc_id", text: str = "text", folder: str | None = None) -> DataFrame:
@@ -227,48 +230,69 @@ def scored(docs: DataFrame, train: Column, id: str = "doc_id", text: str = "text
     dealt = own.withColumn("block", block.cast("int"))
 
     def held(table: pa.Table) -> pa.Table:
-        texts, parts, found = _raw(table), [], set()
-        for a, b in _slices(texts):
-            parts.append(np.unique(sequences(texts[a:b])[0]))
-            for t in texts[a:b]:
-                found.update(t.split())
+        parts: list[np.ndarray] = []
+        for rows in slices(table, "text", STEP_BYTES):  # texts are taken apart a step at a time, too
+            texts = _raw(rows)
+            parts.append(_distinct([sequences(texts)[0], _word_codes(set().union(*(t.split() for t in texts)))]))
             if len(parts) > 8:
-                parts = [np.unique(np.concatenate(parts))]
-        codes = np.concatenate([np.unique(np.concatenate(parts)), np.unique(_word_codes(found))])
+                parts = [_distinct(parts)]
+        codes = _distinct(parts)
         at = pa.array(np.full(len(codes), table.column("block")[0].as_py(), np.int32))
         return pa.table([at, pa.array(codes)], names=["block", "code"])
 
     values = probabilities(totals).union(totals.where("code < 0").select("code", F.col("n").cast("double")))
-    needed = dealt.groupBy("block").applyInArrow(held, "block int, code long").join(values, "code").select("block", "code", "value")
-
-    def score(table: pa.Table, known: pa.Table) -> pa.Table:
-        texts = _raw(table)
-        codes, value = (known.column(c).to_numpy() for c in ("code", "value"))
-        grams = codes >= 0
-        leaves = Leaves(codes[grams], value[grams])
-        order = np.argsort(codes[~grams])
-        word_codes, word_counts = codes[~grams][order], value[~grams][order]
-        del codes, value, grams, order
-        unknown = np.log10(0.5 / below)
-        end = np.log10((learned + 0.5) / below)
-        seen: dict[bytes, float] = {}
-        n_tokens, n_known, base, total = [], [], [], []
-        for a, b in _slices(texts):
-            own_codes, starts = sequences(texts[a:b])
-            total += (np.add.reduceat(leaves(own_codes), starts) / np.log(10)).tolist()
-            cut = [t.split() for t in texts[a:b]]
-            new = list({w for words in cut for w in words}.difference(seen))
-            if new:
-                c = word_counts[np.searchsorted(word_codes, _word_codes(new))]
-                seen.update(zip(new, np.log10((c + 0.5) / below).tolist(), strict=True))
-            for words in cut:
-                each = np.fromiter(map(seen.__getitem__, words), float, len(words))
-                n_tokens.append(len(words) + 1)
-                n_known.append(int((each != unknown).sum()) + (learned > 0))
-                base.append(float(each.sum()) + end)
-        columns = [table.column("id"), table.column("train"), pa.array(n_tokens), pa.array(n_known), pa.array([tokens] * len(texts)), pa.array(base), pa.array(total)]
-        return pa.table(columns, names=["id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+    needed = dealt.select("block", "text").groupBy("block").applyInArrow(held, "block int, code long").join(values, "code").select("block", "code", "value")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows by block, in each the codes and what is known of them first, then the texts."""
+        block, codes, values, model = None, [], [], None
+        for batch in batches:
+            blocks = batch.column(0).to_numpy()
+            texts = batch.column(1).to_numpy()
+            edges = np.flatnonzero((blocks[1:] != blocks[:-1]) | ((texts[1:] > 0) != (texts[:-1] > 0))) + 1
+            for begin, end in pairwise([0, *edges.tolist(), len(blocks)]):
+                part = batch.slice(begin, end - begin)
+                if blocks[begin] != block:
+                    block, codes, values, model = blocks[begin], [], [], None
+                if not texts[begin]:
+                    codes.append(part.column(3).to_numpy())
+                    values.append(part.column(2).to_numpy())
+                    continue
+                if model is None:
+                    model = _known(np.concatenate(codes), np.concatenate(values))
+                    codes, values = [], []
+                for rows in slices(part, "text", STEP_BYTES):
+                    yield scores(rows, *model)
+        del codes, values, model
+        pa.default_memory_pool().release_unused()
+
+    unknown = np.log10(0.5 / below)
+    end_score = np.log10((learned + 0.5) / below)
+
+    def scores(rows: pa.RecordBatch, leaves: Leaves, word_codes: np.ndarray, word_counts: np.ndarray) -> pa.RecordBatch:
+        texts = _raw(rows)
+        own_codes, starts = sequences(texts)
+        total = np.add.reduceat(leaves(own_codes), starts) / np.log(10)
+        cut = [t.split() for t in texts]
+        distinct = list(set().union(*cut))
+        c = word_counts[np.searchsorted(word_codes, _word_codes(distinct))]
+        seen = dict(zip(distinct, np.log10((c + 0.5) / below).tolist(), strict=True))
+        n_tokens, n_known, base = [], [], []
+        for words in cut:
+            each = np.fromiter(map(seen.__getitem__, words), float, len(words))
+            n_tokens.append(len(words) + 1)
+            n_known.append(int((each != unknown).sum()) + (learned > 0))
+            base.append(float(each.sum()) + end_score)
+        train = pa.array(rows.column(1).to_numpy() == 2)
+        columns = [rows.column(3), train, pa.array(n_tokens), pa.array(n_known), pa.array([tokens] * len(texts)), pa.array(base), pa.array(total)]
+        return pa.RecordBatch.from_arrays(columns, names=["id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     made = "id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    found = dealt.groupBy("block").cogroup(needed.groupBy("block")).applyInArrow(score, made)
+    # a block's rows come one batch after the other, so no task holds its texts at once; what changes
+    # from row to row stands together, which packs better
+    kind = F.when(F.col("train"), 2).otherwise(1)
+    none = F.lit(None)
+    rows = needed.select("block", F.lit(0).alias("kind"), "value", "code", none.cast("string").alias("text"))
+    rows = rows.union(dealt.select("block", kind, none.cast("double"), "id", "text"))
+    found = rows.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(score, made)
     return found.withColumnRenamed("id", id)

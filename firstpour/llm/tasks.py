@@ -41,7 +41,7 @@ def remainder(id_column: str | Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
+def slices[Rows: (pa.RecordBatch, pa.Table)](batch: Rows, text: str, limit: int = SLICE_CHARS) -> Iterator[Rows]:
     """Runs of rows with at most ``limit`` bytes of text, or one row that has more."""
     column = batch.column(batch.schema.get_field_index(text))
     start = held = 0

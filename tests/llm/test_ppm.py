@@ -100,3 +100,32 @@ def test_probabilities_add_up_to_one():
     draw = np.random.default_rng(1)
     levels = tuple((draw.random((20, 256)) < share) * draw.integers(1, 9, (20, 256)) for share in (0.01, 0.05, 0.2, 0.5))
     assert np.allclose(np.exp(ppm.predicted(levels)).sum(axis=1), 1)
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 1000, 1500, 2796, 44_000, 90_000])
+def test_leaves_take_little_memory(n):
+    codes = np.unique(np.random.default_rng(n).integers(0, 1 << 48, n))
+    leaves = ppm.Leaves(codes, codes * 0.5)
+    assert leaves.keys.nbytes + leaves.values.nbytes <= max(256, 48 * len(codes))
+    asked = np.random.default_rng(1).permutation(np.repeat(codes, 3))
+    assert (leaves(asked) == asked * 0.5).all()
+
+
+def test_distinct_codes():
+    draw = np.random.default_rng(4)
+    for n in (0, 1, 2, 500):
+        parts = [draw.integers(-50, 50, n), draw.integers(-50, 50, n // 2)]
+        assert (ppm._distinct(parts) == np.unique(np.concatenate(parts))).all()
+
+
+def test_blocks_in_small_batches_score_the_same(spark):
+    """No task needs a block's texts at once: batches of a few rows cut blocks anywhere."""
+    docs = spark.createDataFrame([(n // 2, t) for n, (_, t) in enumerate(EDGES * 3)], "doc_id long, text string")
+    whole = sorted(map(tuple, ppm.scored(docs, F.col("doc_id") % 3 != 0).collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        made = ppm.scored(docs, F.col("doc_id") % 3 != 0)
+        assert sorted(map(tuple, made.collect())) == whole
+        assert "CoGroups" not in made._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
