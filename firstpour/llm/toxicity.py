@@ -26,6 +26,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cached_property
+from itertools import pairwise
 
 import ahocorasick
 import numpy as np
@@ -106,6 +107,24 @@ class Inputs:
         parts = [one(self.grams[g]) for g in grams(word) if g in self.grams]
         return one(self.words.get(word)), max(parts, default=0.0), min(parts, default=0.0), sum(parts) / (len(parts) + 1)
 
+    def telling(self, words: list[str]) -> dict[str, tuple[float, float, float, float]]:
+        """What ``values`` gives for distinct words, without those that have neither odds nor n-grams.
+
+        One search finds the n-grams of all: marks are at a word's ends only, so none reaches into the next."""
+        odds, found = self._odds
+        none = (0.0, 0.0, 0.0)
+        made = {w: (odds[w], *none) for w in words if w in odds}
+        if not found or not words:
+            return made
+        hits = list(found.iter("^" + "$^".join(words) + "$"))
+        ends = np.cumsum([len(w) + 2 for w in words])
+        at = np.searchsorted(ends, np.array([end for end, _ in hits], np.int64), side="right")
+        edges = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), len(hits)] if hits else [0]
+        for begin, end in pairwise(edges):
+            w, parts = words[at[begin]], [value for _, value in hits[begin:end]]
+            made[w] = odds.get(w, 0.0), max(parts), min(parts), sum(parts) / (len(parts) + 1)
+        return made
+
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
@@ -316,15 +335,18 @@ class Scorer:
             known.clear()
             table["row"].clear()
             del table["inputs"][1:]
-        place, values, row_of, inputs = self.inputs.place, self.inputs.values, table["row"], table["inputs"]
-        for w in set().union(*cut).difference(known):
-            a, b, c, d = values(w)
-            key = (round(a, 2), round(b, 2), round(c, 2), round(d, 2), place.get(w, 0))
-            row = row_of.get(key)
-            if row is None:
-                row = row_of[key] = len(inputs)
+        place, row_of, inputs = self.inputs.place, table["row"], table["inputs"]
+
+        def row(key: tuple[float, float, float, float, int]) -> int:
+            if key not in row_of:
+                row_of[key] = len(inputs)
                 inputs.append(key)
-            known[w] = row
+            return row_of[key]
+
+        new = list(set().union(*cut).difference(known))
+        known.update(dict.fromkeys(new, row((0.0, 0.0, 0.0, 0.0, 0))))
+        for w, (a, b, c, d) in self.inputs.telling(new).items():
+            known[w] = row((round(a, 2), round(b, 2), round(c, 2), round(d, 2), place.get(w, 0)))
         return [np.fromiter(map(known.__getitem__, own), np.int32, len(own)) for own in cut]
 
     def peaks(self, texts: list[str]) -> list[tuple[float, int]]:
@@ -370,16 +392,19 @@ def _places(begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _distinct(flat: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where one of each kind of equal windows begins, and which of these each window equals."""
-    mixed = (flat.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= mixed >> np.uint64(29)
-    key = np.zeros(len(begin), np.uint64)
-    for k in range(WINDOW):
-        key = key * np.uint64(0xBF58476D1CE4E5B9) + mixed[begin + k]
-    _, first, same = np.unique(key, return_index=True, return_inverse=True)
+    key = (flat.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    width = 1
+    while width < WINDOW and len(key) > width:  # keys of twice as many places from two that meet; WINDOW is a power of 2
+        key ^= key >> np.uint64(29)
+        key = key[:-width] * np.uint64(0xBF58476D1CE4E5B9) + key[width:]
+        width *= 2
+    _, first, same = np.unique(key[begin], return_index=True, return_inverse=True)
     once = begin[first]
     other = np.zeros(len(begin), bool)  # of equal keys and different words, should that ever be
+    repeated = np.flatnonzero(once[same] != begin)
+    a, b = begin[repeated], once[same[repeated]]
     for k in range(WINDOW):
-        other |= flat[begin + k] != flat[once[same] + k]
+        other[repeated] |= flat[a + k] != flat[b + k]
     if other.any():
         same[other] = len(once) + np.arange(other.sum())
         once = np.concatenate([once, begin[other]])

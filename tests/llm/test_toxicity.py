@@ -114,6 +114,33 @@ def test_windows_share_what_a_place_gives():
     assert np.allclose(network.logits_at(tables, flat[places], at + np.arange(t.WINDOW)[:, None]), expected, atol=1e-5)
 
 
+def test_words_are_looked_up_together():
+    draw = random.Random(9)
+    own = ["".join(draw.choices("abc\u00e9_1", k=draw.randint(1, 9))) for _ in range(400)]
+    held = {g: (draw.randint(0, 9), draw.randint(0, 9)) for w in own[:40] for g in t.grams(w)}
+    for grams in (held, {}):
+        inputs = t.Inputs({w: (draw.randint(0, 9), draw.randint(0, 9)) for w in own[20:60]}, grams, 50, 70)
+        for words in (list(dict.fromkeys(own)), [], ["zzz"]):
+            made, none = inputs.telling(words), (0.0, 0.0, 0.0, 0.0)
+            assert all(made.get(w, none) == inputs.values(w) for w in words)
+            assert made.keys() >= {w for w in words if w in inputs.place}
+            assert all(w in inputs.place or any(g in grams for g in t.grams(w)) for w in made)
+    # those that tell nothing are never looked up one by one
+    inputs.values = None
+    scorer = t.Scorer(inputs, t.Network(len(inputs.place)))
+    assert scorer.peaks(["zzz " * 40, " ".join(own)])[0][1] == 25
+
+
+def test_equal_windows_in_texts_of_any_size():
+    draw = np.random.default_rng(8)
+    for size in (16, 17, 31, 40, 300):
+        flat = draw.integers(0, 2, size).astype(np.int32)
+        begin = np.arange(size - t.WINDOW + 1)
+        once, same = t._distinct(flat, begin)
+        kinds = {tuple(flat[b : b + t.WINDOW]) for b in begin}
+        assert len(once) == len(kinds) and all((flat[once[s] : once[s] + 16] == flat[b : b + 16]).all() for s, b in zip(same, begin))
+
+
 def test_edges(spark):
     docs = edges(spark)
     none = t.learn(docs, spark.createDataFrame([(4, None), (None, 1)], "doc_id long, toxic int"))
