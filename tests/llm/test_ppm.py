@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,3 +130,32 @@ def test_blocks_in_small_batches_score_the_same(spark):
         assert "CoGroups" not in made._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_texts_are_packed_for_a_shuffle(spark, monkeypatch):
+    draw = np.random.default_rng(2)
+    lines = [" ".join(draw.choice(["river", "Stone", "of the", "it was", "\u00e9t\u00e9"], 300)) for _ in range(200)]
+    texts = [(n % 3, t) for n, t in enumerate([*lines, None, "", "", "x" * 5000])]
+    docs = spark.createDataFrame(texts, "block int, text string").coalesce(2)
+    for step in (100, 4000, 2_000_000):
+        monkeypatch.setattr(ppm, "STEP_BYTES", step)
+        rows = ppm.packed(docs).collect()
+        assert sum(len(r["texts"]) for r in rows) < sum(len((t or "").encode()) for _, t in texts) / 2
+        for block in range(3):
+            own = [(r["sizes"], bytes(r["texts"])) for r in rows if r["block"] == block]
+            table = pa.table([pa.array([x[0] for x in own], pa.list_(pa.int32())), pa.array([x[1] for x in own], pa.binary())], names=["sizes", "texts"])
+            steps = list(ppm.unpacked(table))
+            assert sorted(t for s in steps for t in s) == sorted((t or "").translate(LOWER).encode() for b, t in texts if b == block)
+            assert all(sum(map(len, s)) < step + max(step, 5000) for s in steps)
+
+
+def test_counts_are_added():
+    draw = np.random.default_rng(6)
+    for sizes in ((0,), (0, 0), (1, 0, 5), (400, 300, 7)):
+        parts = [(draw.integers(-30, 30, n), draw.integers(0, 9, n)) for n in sizes]
+        sums = Counter()
+        for codes, n in parts:
+            for code, k in zip(codes.tolist(), n.tolist(), strict=True):
+                sums[code] += k
+        codes, n = ppm._added(parts)
+        assert dict(zip(codes.tolist(), n.tolist(), strict=True)) == sums and (np.diff(codes) > 0).all() and n.dtype == np.int64
