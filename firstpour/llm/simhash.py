@@ -306,7 +306,8 @@ def links(sets: DataFrame, n: int, differ: int, folder: str, tile: int = TILE, m
     keys = F.array([F.xxhash64(F.lit(i), F.col("point").bitwiseAND(F.lit(m).cast("long"))) for i, m in enumerate(masks)])
     placed = sets.select("fingerprint", point.alias("point")).select("fingerprint", F.explode(keys).alias("key"))
     shared = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = placed.join(shared, "key")
+    # never broadcast: Spark sizes the keys as if the explode made no rows, and there are many for each fingerprint
+    members = placed.join(shared.hint("merge"), "key")
     cells = members.where(F.col("n") <= tile).groupBy("key").agg(F.collect_list("fingerprint").alias("members"))
     found = _of_cells(cells, differ)
     large = _saved(members.where(F.col("n") > tile), folder, "large")  # key, fingerprint, n

@@ -128,6 +128,15 @@ def test_every_way_finds_the_same_components(spark, tile, most):
     assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(expected.values())) < high
 
 
+def test_keys_of_cells_are_not_broadcast(spark):
+    """A fingerprint has many keys, which Spark's size of the table does not tell."""
+    folder = storage.scratch(spark, "test")
+    frame = spark.createDataFrame([(simhash._signed(p), i) for i, p in enumerate(crowd(600, 11))], "fingerprint long, rep long")
+    sets = simhash._saved(frame, folder, "sets")
+    plan = simhash.links(sets, sets.count(), 3, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_stretches_do_not_change_fingerprints():
     draw = random.Random(4)
     for _ in range(300):
