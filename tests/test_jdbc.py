@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StringType, TimestampNTZType, TimestampType
 
+import __spark_entry__ as registry
 from firstpour import BronzeConfig, JdbcDatabase, Source, Split, load, storage
 from firstpour.sources import read_bronze, scan_jdbc
 from firstpour.sources.jdbc import _bucket_predicates, _loosened, full_table_name, request_text, source_literal
@@ -189,3 +190,8 @@ def test_text_is_converted_at_the_source(spark, url, orders):
 def test_zoned_watermarks_are_loosened_at_the_source():
     assert _loosened("2024-01-03 02:00:00+00:00", TimestampType()) == "2024-01-02 00:00:00"
     assert _loosened("2024-01-03 02:00:00", TimestampNTZType()) == "2024-01-03 02:00:00"
+
+
+def test_query_where_scratch_is_a_file_uri(spark, orders, monkeypatch, tmp_path):
+    monkeypatch.setattr(storage, "scratch", lambda spark, label: f"file://{tmp_path}/{label}")
+    assert rows(registry.queries()["scan_jdbc"](spark, SF)) == rows(orders)
