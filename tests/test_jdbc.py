@@ -195,3 +195,9 @@ def test_zoned_watermarks_are_loosened_at_the_source():
 def test_query_where_scratch_is_a_file_uri(spark, orders, monkeypatch, tmp_path):
     monkeypatch.setattr(storage, "scratch", lambda spark, label: f"file://{tmp_path}/{label}")
     assert rows(registry.queries()["scan_jdbc"](spark, SF)) == rows(orders)
+
+
+def test_filtered_query_where_scratch_is_a_file_uri(spark, orders, monkeypatch, tmp_path):
+    monkeypatch.setattr(storage, "scratch", lambda spark, label: f"file://{tmp_path}/{label}")
+    expected = orders.where("o_orderstatus IN ('F', 'O') AND o_orderdate > '1998-01-01'")
+    assert rows(registry.queries()["scan_jdbc_filtered"](spark, SF)) == rows(expected)
