@@ -201,3 +201,13 @@ def test_filtered_query_where_scratch_is_a_file_uri(spark, orders, monkeypatch,
     monkeypatch.setattr(storage, "scratch", lambda spark, label: f"file://{tmp_path}/{label}")
     expected = orders.where("o_orderstatus IN ('F', 'O') AND o_orderdate > '1998-01-01'")
     assert rows(registry.queries()["scan_jdbc_filtered"](spark, SF)) == rows(expected)
+
+
+@pytest.mark.parametrize("query", ["scan_jdbc", "scan_jdbc_filtered"])
+def test_queries_take_orders_with_nulls(spark, orders, root, query):
+    columns = orders.columns
+    odd = orders.select(*[F.when(F.crc32(F.concat_ws("-", F.lit(c), "o_orderkey")) % 4 > 0, F.col(c)).alias(c) for c in columns])
+    odd.write.parquet(f"{root}/orders.parquet")
+    expected = odd if query == "scan_jdbc" else odd.where("o_orderstatus IN ('F', 'O') AND o_orderdate > '1998-01-01'")
+    assert odd.where("o_orderstatus IS NULL AND o_orderpriority IS NULL").count()
+    assert rows(registry.queries()[query](spark, root)) == rows(expected)
